@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.checks.registry import check, table
+from silverlode.operators.joins import enrich
 from silverlode.operators.project import type_columns
 from silverlode.plans.templates import ingest_registered
 from silverlode.session import new_folder
@@ -160,3 +161,45 @@ def copied_tables(spark: SparkSession, folder: str) -> DataFrame:
     sinks.copy_tables(spark, {n: f"{folder.rstrip('/')}/{n}.parquet" for n in names}, target)
     counts = [spark.read.parquet(f"{target}/{n}").agg(F.lit(n).alias("name"), F.count(F.lit(1)).alias("n")) for n in names]
     return counts[0].unionByName(counts[1])
+
+
+@check(
+    """SELECT l_orderkey, l_linenumber, l_partkey, r_name AS region, 'inner' AS kind
+    FROM lineitem JOIN region ON l_linenumber = r_regionkey
+    UNION ALL SELECT l_orderkey, l_linenumber, l_partkey, r_name, 'left'
+    FROM lineitem LEFT JOIN region ON l_linenumber = r_regionkey"""
+)
+def stream_enriched(spark: SparkSession, folder: str) -> DataFrame:
+    """A stream joined to a static reference: inner drops unknown codes, left keeps them."""
+    root, region = new_folder(spark, "enriched"), table(spark, folder, "region")
+    schema = table(spark, folder, "lineitem").schema
+    for how in ("inner", "left"):
+        lines = files.stream_table(spark, folder, schema, "lineitem.parquet")
+        lines = lines.select("l_orderkey", "l_linenumber", "l_partkey")
+        known = enrich(lines, region, {"l_linenumber": "r_regionkey"}, {"region": "r_name"}, how=how)
+        append_stream(known.withColumn("kind", F.lit(how)), f"{root}/{how}", f"{root}/checkpoint-{how}")
+    return spark.read.parquet(f"{root}/inner").unionByName(spark.read.parquet(f"{root}/left"))
+
+
+@check("SELECT o_orderstatus, count(*) AS n, max(o_orderdate) AS latest FROM orders GROUP BY o_orderstatus")
+def table_replaced(spark: SparkSession, folder: str) -> DataFrame:
+    """A summary written twice as a tagged table, then read by name."""
+    path = new_folder(spark, "summary")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    orders = table(spark, folder, "orders")
+    summary = orders.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("n"), F.max("o_orderdate").alias("latest"))
+    for _ in range(2):
+        sinks.overwrite_table(summary, name, path, comment="orders by status", tier="gold")
+    return spark.table(name)
+
+
+@check(ORDERS)
+def stream_to_registered_table(spark: SparkSession, folder: str) -> DataFrame:
+    """A triggered stream into a folder, and a table registered on it."""
+    root = new_folder(spark, "registered")
+    name = root.rsplit("/", 1)[1].replace("-", "_")
+    stream = files.stream_table(spark, folder, table(spark, folder, "orders").schema, "orders.parquet")
+    rows = stream.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    append_stream(rows, f"{root}/data", f"{root}/checkpoint", name=name)
+    sinks.register_table(spark, name, f"{root}/data")
+    return spark.table(name)

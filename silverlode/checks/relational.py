@@ -186,20 +186,19 @@ def max_with_ties(spark: SparkSession, folder: str) -> DataFrame:
 
 
 @check(
-    """SELECT c_custkey AS key, c_name AS name, c_acctbal AS balance FROM customer WHERE c_nationkey < 5
-    UNION SELECT s_suppkey, s_name, s_acctbal FROM supplier
-    UNION SELECT c_custkey, c_name, c_acctbal FROM customer WHERE c_acctbal > 0"""
+    """SELECT round(sum(c_acctbal), 0) AS balance, c_nationkey AS location FROM customer GROUP BY c_nationkey
+    UNION SELECT round(sum(s_acctbal), 0), s_nationkey FROM supplier GROUP BY s_nationkey
+    UNION SELECT round(sum(c_acctbal), 0), c_nationkey FROM customer GROUP BY c_nationkey"""
 )
 def union_distinct(spark: SparkSession, folder: str) -> DataFrame:
-    customers = table(spark, folder, "customer").selectExpr(
-        "c_custkey AS key", "c_name AS name", "c_acctbal AS balance", "c_nationkey"
-    )
-    suppliers = table(spark, folder, "supplier").selectExpr("s_suppkey AS key", "s_name AS name", "s_acctbal AS balance")
-    return joins.union_distinct(
-        customers.where("c_nationkey < 5").drop("c_nationkey"),
-        suppliers,
-        customers.where("balance > 0").drop("c_nationkey"),
-    )
+    """Balances of customers and suppliers by nation; the customers come twice and collapse."""
+
+    def by_nation(name: str, nation: str, balance: str) -> DataFrame:
+        grouped = table(spark, folder, name).groupBy(F.col(nation).alias("location"))
+        return grouped.agg(F.round(F.sum(balance), 0).alias("balance"))
+
+    customers = by_nation("customer", "c_nationkey", "c_acctbal")
+    return joins.union_distinct(customers, by_nation("supplier", "s_nationkey", "s_acctbal"), customers)
 
 
 @check(
@@ -333,3 +332,17 @@ def text_sentiment(spark: SparkSession, folder: str) -> DataFrame:
     ordered = scored.orderBy(F.col("scores")["compound"].desc(), "doc_id")
     entries = [F.round(F.col("scores")[name], 6).alias(name) for name in ("neg", "neu", "pos", "compound")]
     return ordered.select("doc_id", *entries)
+
+
+@check(
+    """SELECT event_type, count(*) AS n, round(sum(value * CASE event_type WHEN 'purchase' THEN 3 WHEN 'view' THEN 1 END), 2)
+           AS weighted FROM events WHERE event_type IN ('purchase', 'view') GROUP BY event_type"""
+)
+def inline_rows(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows given inline as VALUES, joined to a table."""
+    return spark.sql(
+        """SELECT event_type, count(*) AS n, round(sum(value * weight), 2) AS weighted
+        FROM {events} AS e JOIN (VALUES ('purchase', 3), ('view', 1)) AS w (kind, weight) ON e.event_type = w.kind
+        GROUP BY event_type""",
+        events=table(spark, folder, "events"),
+    )

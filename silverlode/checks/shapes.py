@@ -116,20 +116,18 @@ def rollup_agg(spark: SparkSession, folder: str) -> DataFrame:
     return reshape.rollup_agg(table(spark, folder, "lineitem"), ["l_returnflag", "l_linestatus"], totals)
 
 
-@check("SELECT l_orderkey, l_partkey, l_linenumber, l_quantity, l_shipdate FROM lineitem")
+@check("SELECT * FROM lineitem")
 def layout_zorder(spark: SparkSession, folder: str) -> DataFrame:
     lines = table(spark, folder, "lineitem")
-    lines = lines.select("l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_shipdate")
     path = new_folder(spark, "zorder")
     layout.zorder(lines, ["l_partkey", "l_shipdate"], partitions=16).write.parquet(path)
     return spark.read.parquet(path)
 
 
-@check("SELECT o_orderkey, o_custkey, o_totalprice FROM orders")
+@check("SELECT * FROM orders")
 def layout_compact(spark: SparkSession, folder: str) -> DataFrame:
     root = new_folder(spark, "compact")
-    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice")
-    orders.repartition(24).write.parquet(f"{root}/many")
+    table(spark, folder, "orders").repartition(24).write.parquet(f"{root}/many")
     layout.compact(spark, f"{root}/many", f"{root}/few")
     return spark.read.parquet(f"{root}/few")
 

@@ -194,10 +194,15 @@ def merge_changes(
     and the target does not move. Unlike the sequence-ordered forms, no sequence is compared
     with the target's rows: give batches in order.
     """
-    keys = list(keys)
     source = latest_per_key(changes, keys, seq, tiebreak) if seq else require_unique(changes, keys)
-    verdict = F.expr(delete_when)
-    acting = source.withColumn("_delete", verdict)
+    return _merge_unique(target, source, keys, delete_when, null_operation)
+
+
+def _merge_unique(
+    target: DataFrame, source: DataFrame, keys: Sequence[str], delete_when: str, null_operation: str = "skip"
+) -> DataFrame:
+    keys = list(keys)
+    acting = source.withColumn("_delete", F.expr(delete_when))
     if null_operation == "skip":
         acting = acting.where(F.col("_delete").isNotNull())
     else:
@@ -305,7 +310,7 @@ def propagate_changes(
     latest = latest_feed_rows(feed, keys)
     for name, text in (clean or {}).items():
         latest = latest.withColumn(name, F.expr(text))
-    return merge_changes(target, latest, keys, f"{CHANGE_TYPE} = 'delete'")
+    return _merge_unique(target, latest, keys, f"{CHANGE_TYPE} = 'delete'")
 
 
 def as_of(

@@ -8,22 +8,27 @@ from pyspark.sql import functions as F
 from silverlode.operators.joins import rows_at_group_max
 
 # The field names of the event log's JSON details.
-DETAILS = """
-    flow_definition STRUCT<
-        output_dataset: STRING, input_datasets: ARRAY<STRING>, flow_type: STRING,
-        schema: STRING, explain_text: STRING>,
-    flow_progress STRUCT<
-        metrics: STRUCT<num_output_rows: BIGINT>,
-        data_quality: STRUCT<
-            dropped_records: BIGINT,
-            expectations: ARRAY<STRUCT<
-                name: STRING, dataset: STRING, passed_records: BIGINT, failed_records: BIGINT>>>>
-"""
-
-
-def parsed(log: DataFrame) -> DataFrame:
-    """``details`` parsed once; Spark reads only the JSON fields that are used afterwards."""
-    return log.withColumn("_d", F.from_json("details", DETAILS))
+FLOW_DEFINITION = """flow_definition STRUCT<
+    output_dataset: STRING, input_datasets: ARRAY<STRING>, flow_type: STRING,
+    schema: STRING, explain_text: STRING>"""
+FLOW_PROGRESS = """flow_progress STRUCT<
+    metrics: STRUCT<num_output_rows: BIGINT>,
+    data_quality: STRUCT<
+        dropped_records: BIGINT,
+        expectations: ARRAY<STRUCT<
+            name: STRING, dataset: STRING, passed_records: BIGINT, failed_records: BIGINT>>>>"""
+
+
+def _parsed(log: DataFrame, event_type: str, schema: str) -> DataFrame:
+    """Events of one type with the fields of their JSON object as columns.
+
+    The filter on the type reaches the scan. The object is unpacked by a generator, which later
+    filters and projections are not merged into, so every text is parsed once; events
+    without the object give no row.
+    """
+    rows = log.where(F.col("event_type") == event_type)
+    found = F.from_json("details", schema)[event_type]
+    return rows.select("id", "timestamp", F.inline(F.array_compact(F.array(found))))
 
 
 def path(column: str, fields: str) -> Column:
@@ -35,23 +40,20 @@ def raw_events(log: DataFrame) -> DataFrame:
     return log.orderBy("timestamp", "id")
 
 
-def _definitions(log: DataFrame) -> DataFrame:
-    rows = parsed(log.where(F.col("event_type") == "flow_definition"))
-    return rows.where(F.col("_d.flow_definition").isNotNull()).select("id", "timestamp", "_d.flow_definition.*")
+def definitions(log: DataFrame) -> DataFrame:
+    """One row per definition of an output dataset."""
+    return _parsed(log, "flow_definition", FLOW_DEFINITION)
 
 
 def datasets(log: DataFrame) -> DataFrame:
     """Output datasets by flow type and schema with the time of their latest definition."""
-    return (
-        _definitions(log)
-        .groupBy("output_dataset", "flow_type", "schema")
-        .agg(F.max("timestamp").alias("latest_change"))
-    )
+    by_schema = definitions(log).groupBy("output_dataset", "flow_type", "schema")
+    return by_schema.agg(F.max("timestamp").alias("latest_change"))
 
 
 def lineage(log: DataFrame) -> DataFrame:
     """One row per (definition, input dataset); a definition without inputs gives a NULL input."""
-    return _definitions(log).select(
+    return definitions(log).select(
         "timestamp",
         "output_dataset",
         F.explode_outer("input_datasets").alias("input_dataset"),
@@ -62,26 +64,27 @@ def lineage(log: DataFrame) -> DataFrame:
 
 
 def latest_lineage(log: DataFrame) -> DataFrame:
-    """Definitions at each output dataset's latest time, ties kept."""
-    return rows_at_group_max(_definitions(log), ["output_dataset"], "timestamp")
+    """Definitions at each output dataset's latest time, ties kept.
+
+    The latest ones are found by the dataset name alone; only they are parsed in full.
+    """
+    named = log.where(F.col("event_type") == "flow_definition").withColumn(
+        "_dataset", path("details", "flow_definition.output_dataset")
+    )
+    return definitions(rows_at_group_max(named, ["_dataset"], "timestamp"))
 
 
 def expectation_metrics(log: DataFrame) -> DataFrame:
     """One row per (event, expectation)."""
-    rows = parsed(log.where(F.col("event_type") == "flow_progress"))
-    return rows.select(
-        "id", "timestamp", F.explode("_d.flow_progress.data_quality.expectations").alias("_e")
-    ).select("id", "timestamp", "_e.*")
+    progress = _parsed(log, "flow_progress", FLOW_PROGRESS)
+    return progress.select("id", "timestamp", F.inline("data_quality.expectations"))
 
 
 def flow_progress(log: DataFrame) -> DataFrame:
     """Output and dropped row counts; events without metrics are left out."""
-    rows = parsed(log.where(F.col("event_type") == "flow_progress"))
-    return rows.where(F.col("_d.flow_progress.metrics").isNotNull()).select(
-        "id",
-        "timestamp",
-        F.col("_d.flow_progress.metrics.num_output_rows").alias("num_output_rows"),
-        F.col("_d.flow_progress.data_quality.dropped_records").alias("dropped_records"),
+    progress = _parsed(log, "flow_progress", FLOW_PROGRESS)
+    return progress.where(F.col("metrics").isNotNull()).select(
+        "id", "timestamp", "metrics.num_output_rows", "data_quality.dropped_records"
     )
 
 

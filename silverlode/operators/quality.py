@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 from silverlode.operators.sizing import broadcast_if_fits
 
 WARN, DROP, FAIL = "warn", "drop", "fail"
+METRICS_SCHEMA = "dataset string, name string, passed_records long, failed_records long, dropped_records long"
 
 
 class ExpectationFailed(Exception):

@@ -5,7 +5,7 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.operators import cdc, quality
@@ -106,7 +106,7 @@ def load_new_files(spark: SparkSession, landing: str, channels: DataFrame, root:
     """One triggered update: new landing files go through bronze into silver and quarantine.
 
     Each silver batch writes its rows, its quarantine and its rule counts under its batch id, so
-    that a replay replaces all three.
+    that a replay replaces all three. The rules are counted while the rows are written.
     """
     layers = Layers(root)
     append_stream(
@@ -114,10 +114,11 @@ def load_new_files(spark: SparkSession, landing: str, channels: DataFrame, root:
     )
 
     def judge(batch: DataFrame, batch_id: int) -> None:
-        clean = cleansed(batch, channels)
-        write_batch(silver_changes(clean), layers.silver, batch_id)
+        clean, seen = cleansed(batch, channels), Observation()
+        write_batch(silver_changes(quality.observe(clean, RULES, seen)), layers.silver, batch_id)
         write_batch(quarantine(clean), layers.quarantine, batch_id)
-        write_batch(quality.metrics(clean, RULES, "customers"), layers.metrics, batch_id)
+        counted = quality.observed_metrics(seen.get, RULES, "customers")
+        write_batch(batch.sparkSession.createDataFrame(counted, quality.METRICS_SCHEMA), layers.metrics, batch_id)
 
     each_batch(stream_table(spark, layers.bronze), judge, layers.checkpoint("silver"))
     return layers

@@ -9,9 +9,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.sources.storage import exists
+from silverlode.sources.storage import exists, newest_files
 
 CORRUPT = "_corrupt_record"
+SCHEMA_SAMPLE_FILES = 1000
 
 
 def with_file_lineage(df: DataFrame, name: str = "input_file_name", full_path: bool = False) -> DataFrame:
@@ -42,12 +43,17 @@ def ingest_files(
 
 
 def infer_schema(
-    spark: SparkSession, path: str, fmt: str = "json", options: Mapping[str, str] | None = None
+    spark: SparkSession,
+    path: str,
+    fmt: str = "json",
+    options: Mapping[str, str] | None = None,
+    sample_files: int = SCHEMA_SAMPLE_FILES,
 ) -> T.StructType:
+    """The merged schema of the newest ``sample_files`` files. Only inference samples; reads are whole."""
     reader = spark.read.format(fmt).options(**dict(options or {}))
     if fmt == "csv":
         reader = reader.option("header", "true").option("inferSchema", "true")
-    return reader.load(path).schema
+    return reader.load(newest_files(spark, path, sample_files) or path).schema
 
 
 def infer_and_pin_schema(
@@ -60,8 +66,8 @@ def infer_and_pin_schema(
 ) -> T.StructType:
     """Infer once, keep the schema at ``schema_location`` and use it from then on.
 
-    ``samplingRatio`` in ``options`` bounds what inference reads. With ``evolve`` columns that
-    new files bring are appended to the pinned schema; known columns keep their types.
+    With ``evolve`` columns that new files bring are appended to the pinned schema; known columns
+    keep their types.
     """
     pinned = None
     if exists(spark, schema_location):

@@ -8,6 +8,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
+from silverlode.operators.layout import has_map
 from silverlode.operators.sizing import measured
 from silverlode.sources.storage import names, rename
 
@@ -73,7 +74,7 @@ def publish_csv(
 
 def _fingerprint(df: DataFrame) -> list[Column]:
     """Row count and an order-free sum of row hashes."""
-    row = F.xxhash64(F.to_json(F.struct(*df.columns), {"ignoreNullFields": "false"}))
+    row = F.xxhash64(*[F.to_json(f.name) if has_map(f.dataType) else F.col(f"`{f.name}`") for f in df.schema.fields])
     return [F.count(F.lit(1)).alias("rows"), F.coalesce(F.sum(row.cast("decimal(20,0)")), F.lit(0)).alias("hash")]
 
 

@@ -20,6 +20,17 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(location)) if system.exists(location) else []
 
 
+def newest_files(spark: SparkSession, path: str, limit: int) -> list[str]:
+    """Up to ``limit`` data files of a folder, file or glob, the latest first."""
+    system, location = _at(spark, path)
+    found = [s for s in system.globStatus(location) or []]
+    if len(found) == 1 and found[0].isDirectory():
+        found = list(system.listStatus(location))
+    files = [s for s in found if s.isFile() and s.getPath().getName()[0] not in "._"]
+    files.sort(key=lambda s: s.getModificationTime(), reverse=True)
+    return [s.getPath().toString() for s in files[:limit]]
+
+
 def rename(spark: SparkSession, source: str, target: str) -> None:
     """Move one file, replacing the target."""
     system, location = _at(spark, source)
