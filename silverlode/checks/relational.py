@@ -273,8 +273,8 @@ def ordered_first_value(spark: SparkSession, folder: str) -> DataFrame:
 def tz_convert(spark: SparkSession, folder: str) -> DataFrame:
     return table(spark, folder, "events").select(
         "event_id",
-        from_utc("ts", "America/Toronto").cast("timestamp_ntz").alias("local_ts"),
-        to_utc("ts", "America/Toronto").cast("timestamp_ntz").alias("utc_ts"),
+        from_utc("ts", "America/Toronto").alias("local_ts"),
+        to_utc("ts", "America/Toronto").alias("utc_ts"),
     )
 
 

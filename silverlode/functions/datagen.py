@@ -12,6 +12,8 @@ from datetime import datetime, timedelta
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from silverlode.functions.scalar import moment
+
 # The ranges used where the schema names none.
 DEFAULT_MINIMUM, DEFAULT_MAXIMUM = -10000, 100000
 NUMBER_CENTS = 500
@@ -57,7 +59,7 @@ def _field(name: str, spec: Mapping, seed: int, at: datetime, choices: Mapping[s
     if name in choices:
         return _choice(name, seed, choices[name])
     if name == "date":
-        return _iso(F.lit(at))
+        return _iso(moment(at))
     if name.endswith("currency_code"):
         return _choice(name, seed, CURRENCIES)
     if name.endswith("country_code"):
@@ -80,7 +82,7 @@ def _field(name: str, spec: Mapping, seed: int, at: datetime, choices: Mapping[s
         if spec.get("format") == "date-time":
             start = at - timedelta(days=365 * YEARS_BACK)
             seconds = (YEARS_BACK + YEARS_AHEAD) * 365 * 86400
-            return _iso(F.timestamp_seconds(F.unix_seconds(F.lit(start)) + _draw(name, seed, seconds)))
+            return _iso(F.timestamp_seconds(F.unix_seconds(moment(start)) + _draw(name, seed, seconds)))
         return _choice(name, seed, WORDS)
     return None  # arrays and references are not generated
 

@@ -2,17 +2,28 @@
 
 from __future__ import annotations
 
+from datetime import datetime
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def from_utc(instant: Column | str, zone: str) -> Column:
-    """Wall clock of ``zone`` at a UTC instant, with the zone's historic daylight rules."""
-    return F.from_utc_timestamp(instant, zone)
+def from_utc(utc_clock: Column | str, zone: str) -> Column:
+    """Wall clock of ``zone`` for a UTC clock time, with the zone's historic daylight rules.
+
+    Both are timestamps without zone, so the session's own zone plays no part.
+    """
+    return F.convert_timezone(F.lit("UTC"), F.lit(zone), utc_clock)
 
 
 def to_utc(wall_clock: Column | str, zone: str) -> Column:
-    return F.to_utc_timestamp(wall_clock, zone)
+    """UTC clock time for a wall clock of ``zone``."""
+    return F.convert_timezone(F.lit(zone), F.lit("UTC"), wall_clock)
+
+
+def moment(at: datetime | None) -> Column:
+    """A fixed time read in the session's zone, or the current time."""
+    return F.lit(at.isoformat(" ")).cast("timestamp") if at is not None else F.current_timestamp()
 
 
 def strip_quotes(text: Column | str) -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.operators.skew import CHECK_ABOVE_BYTES, KEY_HASH, MIN_ROWS, SHARE, SLICE, add_slices
+from silverlode.operators.skew import CHECK_ABOVE_BYTES, KEY_HASH, MIN_ROWS, SHARE, SLICE, Slices, add_slices
 
 CHANGE_TYPE = "change_type"
 COMMIT_VERSION = "commit_version"
@@ -105,39 +105,36 @@ def apply_changes_scd2(
     and cut into ranges of the sequence first.
     """
     keys = list(keys)
-    rows, heavy = add_slices(usable(changes, keys, seq), keys, seq, share, check_above, min_rows)
-    kept_columns = [c for c in changes.columns if c not in except_columns]
+    slices = add_slices(usable(changes, keys, seq), keys, seq, share, check_above, min_rows)
     ranked = _rank_columns(changes, keys, seq, tiebreak)
-    if heavy:
-        rows = _combine_copies(rows, heavy, keys, ranked)
+    rows = _combine_copies(slices, keys, ranked) if slices.copies else slices.rows
     in_order = Window.partitionBy(*keys, SLICE).orderBy(*ranked)
     following = F.lead(seq).over(in_order)
     # Copies with the same (key, sequence) are neighbours; only the last of them has a
     # different successor. Equal pairs always share a slice.
     versions = rows.withColumn("_next", following).where(F.col("_next").isNull() | (F.col("_next") != F.col(seq)))
-    if heavy:
-        versions = _next_across_slices(rows, versions, heavy, keys, seq)
+    if slices.heavy:
+        versions = _next_across_slices(slices, versions, keys, seq)
     return versions.where(~_is_true(delete_when)).select(
-        *kept_columns, F.col(seq).alias("start_at"), F.col("_next").alias("end_at")
+        *[c for c in changes.columns if c not in except_columns],
+        F.col(seq).alias("start_at"),
+        F.col("_next").alias("end_at"),
     )
 
 
-def _combine_copies(rows: DataFrame, heavy: Sequence[int], keys: Sequence[str], ranked: Sequence[str]) -> DataFrame:
+def _combine_copies(slices: Slices, keys: Sequence[str], ranked: Sequence[str]) -> DataFrame:
     """Collapse equal (key, sequence) rows of heavy keys by a map-side combined aggregate.
 
     Without it a re-delivered file with a third of all rows could meet in one slice.
     """
-    is_heavy = F.col(KEY_HASH).isin(list(heavy))
     same = [*keys, ranked[0], SLICE, KEY_HASH]
-    combined = _greatest_row(rows.where(is_heavy), same, [*ranked[1:]] or [ranked[0]])
-    return rows.where(~is_heavy).unionByName(combined)
+    combined = _greatest_row(slices.rows.where(slices.is_heavy()), same, [*ranked[1:]] or [ranked[0]])
+    return slices.rows.where(~slices.is_heavy()).unionByName(combined)
 
 
-def _next_across_slices(
-    rows: DataFrame, versions: DataFrame, heavy: Sequence[int], keys: Sequence[str], seq: str
-) -> DataFrame:
+def _next_across_slices(slices: Slices, versions: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """The last row of a slice is followed by the first row of the key's next slice."""
-    starts = rows.where(F.col(KEY_HASH).isin(list(heavy))).groupBy(*keys, SLICE).agg(F.min(seq).alias("_first"))
+    starts = slices.rows.where(slices.is_heavy()).groupBy(*keys, SLICE).agg(F.min(seq).alias("_first"))
     by_slice = Window.partitionBy(*keys).orderBy(SLICE)
     # One row per slice of a heavy key: at most 2 / share rows, so the broadcast is bounded.
     stitched = starts.select(

@@ -9,6 +9,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.functions.scalar import moment
+
 
 def type_columns(df: DataFrame, types: Mapping[str, str], strict: bool = False) -> DataFrame:
     """Cast the named columns; text that does not parse becomes NULL unless ``strict``."""
@@ -32,7 +34,7 @@ def with_audit(df: DataFrame, procedure: str, at: datetime | None = None, princi
     """Ingest time, procedure name and principal; pass ``at`` to get the same rows on each run."""
     return df.withColumns(
         {
-            "ingest_dt": F.lit(at) if at is not None else F.current_timestamp(),
+            "ingest_dt": moment(at),
             "ingest_procedure": F.lit(procedure),
             "ingest_principal": F.lit(principal) if principal is not None else F.current_user(),
         }

@@ -7,6 +7,7 @@ are cut into consecutive ranges of the ordering column, so that a window can run
 
 from __future__ import annotations
 
+from dataclasses import dataclass, field
 from math import ceil, isqrt
 
 from pyspark.sql import Column, DataFrame
@@ -21,9 +22,9 @@ KEY_HASH = "_hash"
 # can be heavy and the slices of all of them number at most 2 / SHARE, whatever the data.
 SHARE = 1 / 1000
 # Inputs below this estimate fit one task even if a single key owns every row.
-CHECK_ABOVE_BYTES = 512 << 20
+CHECK_ABOVE_BYTES = 2 << 30
 # A key below this many rows is no burden for one task, whatever its share.
-MIN_ROWS = 2_000_000
+MIN_ROWS = 10_000_000
 # Entries of the frequency sketch; every item above 1/3000 of the rows is sure to be found.
 SKETCH_ITEMS = 8192
 
@@ -32,24 +33,31 @@ PER_MILLE = f"array({', '.join(str(i / 1000) for i in range(1, 1000))})"
 _SLICEABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
 
 
-def key_hash(keys: list[str]) -> Column:
-    return F.xxhash64(*keys)
+@dataclass(frozen=True)
+class Slices:
+    """Rows with their ``_slice``; where keys are heavy the rows also carry ``_hash``."""
+
+    rows: DataFrame
+    heavy: list[int] = field(default_factory=list)
+    # Whether equal (key, order) pairs alone could fill a task.
+    copies: bool = False
+
+    def is_heavy(self) -> Column:
+        return F.col(KEY_HASH).isin(self.heavy)
 
 
 def heavy_keys(
     df: DataFrame, keys: list[str], share: float = SHARE, min_rows: int = MIN_ROWS
-) -> dict[int, float]:
-    """Hash -> share of rows of each heavy key, from one mergeable sketch (no shuffle by key)."""
+) -> tuple[int, dict[int, int]]:
+    """(row count, hash -> rows of each heavy key) from one mergeable sketch; no shuffle by key."""
     found = df.agg(
         F.count(F.lit(1)).alias("rows"),
         F.expr(
-            f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), "
-            f"{int(1 / share)}, {SKETCH_ITEMS})"
+            f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {int(1 / share)}, {SKETCH_ITEMS})"
         ).alias("top"),
     ).first()
-    total = found["rows"] or 0
-    floor = max(share * total, min_rows)
-    return {t["item"]: t["count"] / total for t in found["top"] or [] if t["count"] > floor}
+    floor = max(share * found["rows"], min_rows)
+    return found["rows"], {t["item"]: t["count"] for t in found["top"] or [] if t["count"] > floor}
 
 
 def add_slices(
@@ -59,50 +67,46 @@ def add_slices(
     share: float = SHARE,
     check_above: int = CHECK_ABOVE_BYTES,
     min_rows: int = MIN_ROWS,
-) -> tuple[DataFrame, list[int]]:
-    """Add ``_slice``: rows of a heavy key are numbered by range of ``order``, others get 0.
+) -> Slices:
+    """Number the rows of a heavy key by range of ``order``; all other rows get slice 0.
 
-    Equal (key, order) rows always share a slice. Returns the frame and the hashes of the
-    heavy keys (at most 1 / share); where there are any the frame also has ``_hash``.
+    Equal (key, order) rows always share a slice.
     """
-    flat = df.withColumn(SLICE, F.lit(0))
+    flat = Slices(df.withColumn(SLICE, F.lit(0)))
     if not isinstance(df.schema[order].dataType, _SLICEABLE) or input_bytes(df) < check_above:
-        return flat, []
-    heavy = heavy_keys(df, keys, share, min_rows)
+        return flat
+    total, heavy = heavy_keys(df, keys, share, min_rows)
     if not heavy:
-        return flat, []
-
-    spark = df.sparkSession
-    pieces = {item: min(ceil(part / share), int(1 / share)) for item, part in heavy.items()}
-    sizes = spark.createDataFrame(list(pieces.items()), f"{KEY_HASH} long, _pieces int")
-    quantiles = (
-        df.select(key_hash(keys).alias(KEY_HASH), F.col(order).alias("_at"))
-        .where(F.col(KEY_HASH).isin(list(pieces)))
+        return flat
+
+    most = int(1 / share)
+    wanted = {item: min(max(ceil(rows / (share * total)), 2), most) for item, rows in heavy.items()}
+    hashed = df.withColumn(KEY_HASH, F.xxhash64(*keys))
+    # One row per heavy key: at most 1 / share rows, each with at most 1 / share cuts.
+    found = (
+        hashed.where(F.col(KEY_HASH).isin(list(heavy)))
         .groupBy(KEY_HASH)
-        .agg(F.expr(f"percentile_approx(_at, {PER_MILLE}, 10000)").alias("_q"))
-        .join(F.broadcast(sizes), KEY_HASH)
-    )
-    # One cut per piece, picked from the per-mille quantiles and made distinct.
-    cuts = F.array_distinct(
-        F.transform(
-            F.sequence(F.lit(1), F.greatest(F.col("_pieces") - 1, F.lit(1))),
-            lambda i: F.element_at("_q", F.greatest(F.floor(i * 999 / F.col("_pieces")).cast("int"), F.lit(1))),
+        .agg(
+            F.expr(f"percentile_approx(`{order}`, {PER_MILLE}, 10000)").alias("quantiles"),
+            F.expr(f"coalesce(get(approx_top_k(xxhash64(`{order}`), 1, {SKETCH_ITEMS}), 0).count, 0)").alias("copies"),
         )
+        .collect()
     )
-    block = isqrt(int(1 / share)) + 1
-    bounds = quantiles.select(KEY_HASH, cuts.alias("_cuts")).select(
-        KEY_HASH,
-        "_cuts",
-        F.expr(f"filter(_cuts, (c, i) -> i % {block} = {block - 1})").alias("_coarse"),
-    )
-    # Bounded: at most 1 / SHARE rows and 2 / SHARE cuts in all.
-    bounds = spark.createDataFrame(bounds.collect(), bounds.schema)
+    block = isqrt(most) + 1
+    bounds = []
+    for row in found:
+        pieces = wanted[row[KEY_HASH]]
+        cuts = sorted({row["quantiles"][i * 999 // pieces] for i in range(1, pieces)})
+        bounds.append((row[KEY_HASH], cuts, cuts[block - 1 :: block]))
+    kind = df.schema[order].dataType.simpleString()
+    cut_points = df.sparkSession.createDataFrame(bounds, f"{KEY_HASH} long, _cuts array<{kind}>, _coarse array<{kind}>")
+    # Coarse, then fine counting: about 2 / sqrt(share) comparisons for a row of a heavy key.
     coarse = F.size(F.filter("_coarse", lambda c: c <= F.col(order))) * block
     fine = F.size(F.filter(F.slice("_cuts", coarse + 1, block), lambda c: c <= F.col(order)))
-    sliced = (
-        df.withColumn(KEY_HASH, key_hash(keys))
-        .join(F.broadcast(bounds), KEY_HASH, "left")
-        .withColumn(SLICE, F.coalesce(coarse + fine, F.lit(0)))
+    numbered = (
+        hashed.join(F.broadcast(cut_points), KEY_HASH, "left")
+        .withColumn(SLICE, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(coarse + fine))
         .drop("_cuts", "_coarse")
     )
-    return sliced, list(pieces)
+    crowded = max(row["copies"] for row in found) > max(share * total, min_rows)
+    return Slices(numbered, list(heavy), crowded)

@@ -46,10 +46,17 @@ def continent_maximum(
 
 
 def run(
-    spark: SparkSession, in_dir: str, out_dir: str, date_from: str, date_to: str, as_of: date | None = None
+    spark: SparkSession,
+    countries_path: str,
+    daily_path: str,
+    out_dir: str,
+    out_file: str,
+    date_from: str,
+    date_to: str,
+    as_of: date | None = None,
 ) -> list[str]:
-    """Batch job: CSV in, published CSV out."""
-    countries = with_file_lineage(read_csv(spark, f"{in_dir}/Countries-Continents*", REFERENCE_SCHEMA))
-    daily = with_file_lineage(read_csv(spark, f"{in_dir}/countries-aggregated*", DAILY_SCHEMA))
+    """Batch job: CSV in (paths or globs), published CSV out."""
+    countries = with_file_lineage(read_csv(spark, countries_path, REFERENCE_SCHEMA))
+    daily = with_file_lineage(read_csv(spark, daily_path, DAILY_SCHEMA))
     gold = continent_maximum(silver(daily, countries), as_of, date_from, date_to)
-    return publish_csv(gold, out_dir, "ContinentMaxDeaths.csv")
+    return publish_csv(gold, out_dir, out_file)

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.functions.scalar import full_name
+from silverlode.functions.scalar import full_name, moment
 from silverlode.operators.joins import enrich
 from silverlode.operators.quality import DROP, FAIL, WARN, Rule, expect, with_failed_rules, with_set_measure
 
@@ -32,7 +32,7 @@ def silver(employees: DataFrame, departments: DataFrame, at: datetime | None = N
     return expect(named, SILVER_RULES).select(
         full_name("fname", "lname").alias("full_name"),
         "deptName",
-        (F.lit(at) if at else F.current_timestamp()).alias("update_dt"),
+        moment(at).alias("update_dt"),
     )
 
 

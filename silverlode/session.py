@@ -33,14 +33,11 @@ def shared_folder(spark: SparkSession) -> str:
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     context = spark.sparkContext
-    if not configured:
-        if not context.master.startswith("local"):
-            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
-        configured = tempfile.mkdtemp(prefix="silverlode-")
-        spark.conf.set("spark.checkpoint.dir", configured)
     if context.getCheckpointDir() is None:
-        context.setCheckpointDir(configured)
-    return configured
+        if not configured and not context.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that every executor can reach")
+        context.setCheckpointDir(configured or tempfile.mkdtemp(prefix="silverlode-"))
+    return configured or context.getCheckpointDir()
 
 
 def new_folder(spark: SparkSession, label: str) -> str:

@@ -8,6 +8,7 @@ from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
 from silverlode.operators import cdc
+from silverlode.operators.skew import add_slices
 from silverlode.sources.files import read_change_feed
 from silverlode.sources.storage import Snapshots
 from silverlode.streaming import changes as streams
@@ -147,7 +148,7 @@ def test_applying_a_diff_gives_the_new_snapshot(spark, a, b):
 
 
 def test_one_key_with_most_rows(spark):
-    """A heavy key is cut into ranges, and re-delivered copies of it collapse."""
+    """A heavy key is cut into ranges, and copies of its rows collapse."""
     rows = spark.range(40000).select(
         F.when(F.col("id") % 3 == 0, F.col("id")).otherwise(-1).alias("k"), F.col("id").alias("seq"), F.lit("v").alias("v")
     )
@@ -156,14 +157,21 @@ def test_one_key_with_most_rows(spark):
     sliced = cdc.apply_changes_scd2(twice, ["k"], "seq", share=0.01, check_above=0, min_rows=0)
     assert plain.count() == sliced.count() == 40000
     assert plain.exceptAll(sliced).count() == 0
-    from silverlode.operators.skew import add_slices
-
-    cut, heavy = add_slices(rows, ["k"], "seq", 0.01, 0, 0)
-    assert len(heavy) == 1
-    sizes = [r["count"] for r in cut.where("k = -1").groupBy("_slice").count().collect()]
+    slices = add_slices(rows, ["k"], "seq", 0.01, 0, 0)
+    assert len(slices.heavy) == 1 and not slices.copies
+    sizes = [r["count"] for r in slices.rows.where("k = -1").groupBy("_slice").count().collect()]
     assert len(sizes) > 50 and max(sizes) < 3 * 26667 / len(sizes)
 
 
+def test_one_pair_with_most_rows(spark):
+    """Re-delivered copies of one change, a third of all rows, are combined before they meet."""
+    rows = spark.range(9000).selectExpr("IF(id % 2 = 0, -1, id) AS k", "IF(id % 3 = 0, 0, id) AS seq", "'v' AS v")
+    assert add_slices(rows, ["k"], "seq", 0.01, 0, 0).copies
+    plain = cdc.apply_changes_scd2(rows, ["k"], "seq")
+    sliced = cdc.apply_changes_scd2(rows, ["k"], "seq", share=0.01, check_above=0, min_rows=0)
+    assert table(plain) == table(sliced) and plain.where("k = -1 AND seq = 0").count() == 1
+
+
 def stream_of(spark, folder, batches, schema):
     for i, rows in enumerate(batches):
         spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(f"{folder}/in")

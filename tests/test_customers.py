@@ -16,21 +16,21 @@ T3, T4 = "2022-01-13 16:16:42.453", "2022-01-14 09:01:12"
 T5, T6 = "2022-01-14 10:00:01.579", "2022-01-14 11:01:02.179"
 
 STEPS = {
-    "customer-1-insert.csv": [
+    "step-1.csv": [
         f"1001,Ada,Stone,a@x.org,1,1,9999-12-31,{T1},load",
         f"1002,Bo,Stone,b@x.org,2,1,9999-12-31,{T1},load",
     ],
-    "customer-2-append.csv": [
+    "step-2.csv": [
         f"1003,Cy,Reed,c@x.org,2,1,9999-12-31,{T2},load",
         f"1004,Di,Lane,d@x.org,3,1,9999-12-31,{T2},load",
     ],
-    "customer-3-update.csv": [f"1002,Bea,Stone,b@x.org,1,1,9999-12-31,{T3},load"],
-    "customer-4-delete.csv": [f"1002,Bea,Stone,b@x.org,1,0,2022-01-14,{T4},load"],
-    "customer-98-bad.csv": [
+    "step-3.csv": [f"1002,Bea,Stone,b@x.org,1,1,9999-12-31,{T3},load"],
+    "step-4.csv": [f"1002,Bea,Stone,b@x.org,1,0,2022-01-14,{T4},load"],
+    "step-5-bad.csv": [
         f"1007,Eve,,e@x.org,,1,9999-12-31,{T5},load",
         f"1008,Flo,Park,f@x.org,0,-1,9999-12-31,{T5},load",
     ],
-    "customer-99-missing.csv": [
+    "step-6-late.csv": [
         f"1005,Gus,Hill,g@x.org,3,1,9999-12-31,{T6},load",
         f"1006,Hal,Lane,h@x.org,4,1,9999-12-31,{T6},load",
     ],

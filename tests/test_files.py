@@ -26,22 +26,25 @@ def write(folder, name, text):
 
 
 def test_country_cases_to_csv(spark, folder):
-    write(folder, "in/Countries-Continents.csv", "Continent,Country\nEurope,A\nEurope,B\nAsia,C\n")
+    write(folder, "in/continents.csv", "Continent,Country\nEurope,A\nEurope,B\nAsia,C\n")
     write(
         folder,
-        "in/countries-aggregated.csv",
+        "in/daily-cases.csv",
         "Date,Country,Confirmed,Recovered,Deaths\n2021-01-01,A,9,1,7\n2021-01-02,A,9,1,7\n2021-01-01,B,9,1,7\n"
         "2021-01-01,C,9,1,2\n2021-06-01,C,9,1,99\n2021-01-01,Nowhere,9,1,500\n",
     )
-    out = country_cases.run(spark, f"{folder}/in", f"{folder}/out", "2021-01-01", "2021-03-31", date(2021, 4, 1))
-    assert out == [f"{folder}/out/ContinentMaxDeaths.csv"]
+    out = country_cases.run(
+        spark, f"{folder}/in/continents*", f"{folder}/in/daily*", f"{folder}/out", "maximum.csv",
+        "2021-01-01", "2021-03-31", date(2021, 4, 1),
+    )
+    assert out == [f"{folder}/out/maximum.csv"]
     lines = Path(out[0]).read_text().splitlines()
     assert lines[0] == "AsOfDate,Continent,CountryWithMax,ContinentMaxDeaths"
     assert sorted(lines[1:]) == [
         "2021-04-01,Asia,C,2", "2021-04-01,Europe,A,7", "2021-04-01,Europe,A,7", "2021-04-01,Europe,B,7",
     ]
-    daily = files.read_csv(spark, f"{folder}/in/countries-aggregated.csv", country_cases.DAILY_SCHEMA)
-    countries = files.read_csv(spark, f"{folder}/in/Countries-Continents.csv", country_cases.REFERENCE_SCHEMA)
+    daily = files.read_csv(spark, f"{folder}/in/daily-cases.csv", country_cases.DAILY_SCHEMA)
+    countries = files.read_csv(spark, f"{folder}/in/continents.csv", country_cases.REFERENCE_SCHEMA)
     assert [r.Country for r in country_cases.quarantine(daily, countries).collect()] == ["Nowhere"]
 
 
