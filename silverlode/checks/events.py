@@ -120,8 +120,7 @@ def ev_progress(spark: SparkSession, folder: str) -> DataFrame:
 def ev_written_metrics(spark: SparkSession, folder: str) -> DataFrame:
     """Metrics of the events table written as a log entry and read back from it."""
     rules = [Rule("high_value", "value > 50"), Rule("no_error", "event_type <> 'error'", quality.DROP)]
-    counted = quality.metrics(table(spark, folder, "events"), rules, "events")
-    log = eventlog.progress_events(counted, F.lit("2024-02-01").cast("timestamp_ntz"), F.lit(0))
+    log = eventlog.progress_event(table(spark, folder, "events"), rules, "events", F.lit("2024-02-01").cast("timestamp_ntz"))
     return eventlog.expectation_metrics(log).drop("timestamp")
 
 

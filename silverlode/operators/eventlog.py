@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.operators.joins import rows_at_group_max
+from silverlode.operators.quality import Rule, count_rules
 
 # The field names of the event log's JSON details.
 FLOW_DEFINITION = """flow_definition STRUCT<
@@ -88,26 +91,19 @@ def flow_progress(log: DataFrame) -> DataFrame:
     )
 
 
-def progress_events(metric_rows: DataFrame, at: Column, num_output_rows: Column) -> DataFrame:
-    """Rows of ``quality.metrics`` as event-log rows, one event per dataset.
-
-    The rules of one dataset are a handful, so the collected list is small.
-    """
-    rule = F.struct("name", "dataset", "passed_records", "failed_records")
-    events = metric_rows.groupBy("dataset").agg(
-        F.sort_array(F.collect_list(rule)).alias("expectations"), F.max("dropped_records").alias("dropped_records")
-    )
+def progress_event(df: DataFrame, rules: Sequence[Rule], dataset: str, at: Column) -> DataFrame:
+    """The rule counts of a dataset as one progress event of the log."""
     details = F.struct(
         F.struct(
-            F.struct(num_output_rows.cast("long").alias("num_output_rows")).alias("metrics"),
+            F.struct((F.col("row_count") - F.col("dropped_records")).alias("num_output_rows")).alias("metrics"),
             F.struct("dropped_records", "expectations").alias("data_quality"),
         ).alias("flow_progress")
     )
-    return events.select(
-        F.concat(F.col("dataset"), F.lit("-progress")).alias("id"),
+    return count_rules(df, rules, dataset).select(
+        F.lit(f"{dataset}-progress").alias("id"),
         at.alias("timestamp"),
         F.lit("flow_progress").alias("event_type"),
-        F.concat(F.lit("progress of "), F.col("dataset")).alias("message"),
+        F.lit(f"progress of {dataset}").alias("message"),
         F.lit("METRICS").alias("level"),
         F.to_json(details).alias("details"),
     )

@@ -111,25 +111,32 @@ def _metric_columns(rules: Sequence[Rule]) -> list[Column]:
     return counts + [F.count_if(r.passes()).alias(f"_pass_{i}") for i, r in enumerate(rules)]
 
 
-def metrics(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
-    """(dataset, name, passed_records, failed_records, dropped_records), one row per rule.
+def count_rules(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
+    """One row: row_count, dropped_records and an array with the counts of each rule.
 
     All rules are counted in a single aggregate pass.
     """
     counted = df.agg(*_metric_columns(rules))
-    rows = F.array(
-        *[
-            F.struct(
-                F.lit(dataset).alias("dataset"),
-                F.lit(r.name).alias("name"),
-                F.col(f"_pass_{i}").alias("passed_records"),
-                (F.col("_rows") - F.col(f"_pass_{i}")).alias("failed_records"),
-                F.col("_dropped").alias("dropped_records"),
-            )
-            for i, r in enumerate(rules)
-        ]
+    results = [
+        F.struct(
+            F.lit(dataset).alias("dataset"),
+            F.lit(r.name).alias("name"),
+            F.col(f"_pass_{i}").alias("passed_records"),
+            (F.col("_rows") - F.col(f"_pass_{i}")).alias("failed_records"),
+        )
+        for i, r in enumerate(rules)
+    ]
+    return counted.select(
+        F.col("_rows").alias("row_count"),
+        F.col("_dropped").alias("dropped_records"),
+        F.array(*results).alias("expectations"),
     )
-    return counted.select(F.inline(rows))
+
+
+def metrics(df: DataFrame, rules: Sequence[Rule], dataset: str) -> DataFrame:
+    """(dataset, name, passed_records, failed_records, dropped_records), one row per rule."""
+    counted = count_rules(df, rules, dataset)
+    return counted.select(F.inline("expectations"), "dropped_records")
 
 
 def observe(df: DataFrame, rules: Sequence[Rule], observation: Observation | str) -> DataFrame:
