@@ -121,6 +121,15 @@ def cdc_merge_stream(spark: SparkSession, folder: str) -> DataFrame:
     return Snapshots(spark, f"{root}/silver").read()
 
 
+@check(scd1())
+def cdc_merge_log_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The same merge as an append-only log that is resolved on read."""
+    log = new_folder(spark, "merge-log")
+    stream = stream_table(spark, folder, _events(spark, folder).schema, "events.parquet")
+    streams.merge_log_stream(stream, KEYS, SEQ, DELETED, log, f"{log}-checkpoint")
+    return streams.merged_table(spark, log, KEYS, DELETED)
+
+
 @check(SCD2)
 def cdc_scd2(spark: SparkSession, folder: str) -> DataFrame:
     return cdc.apply_changes_scd2(_events(spark, folder), KEYS, SEQ, DELETED, ["event_id"])

@@ -58,7 +58,7 @@ def feature_pivot(
     never see a cell without rows.
     """
     values = list(values) if values is not None else most_frequent(df, column, top_n)
-    first = F.min_by(F.col(value).cast("double"), F.struct(*order, value))
+    first = F.min(F.struct(*order, F.col(value).cast("double").alias("_value")))["_value"]
     wide = pivot(df, [group], column, first, values, prefix)
     return wide.fillna(default, subset=[f"{prefix}{_label(v)}" for v in values])
 

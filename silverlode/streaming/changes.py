@@ -5,12 +5,15 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from silverlode.operators import cdc
 from silverlode.sources.storage import Snapshots
 from silverlode.streaming.writers import each_batch, write_batch
 
+VERSION = "batch_id"
+
 
 def upsert_stream(
     changes: DataFrame,
@@ -69,6 +72,52 @@ def stateful_upserts(
     return each_batch(newest, lambda batch, i: write_batch(batch, folder, i), checkpoint, every, mode="update")
 
 
+def merge_log_stream(
+    changes: DataFrame,
+    keys: Sequence[str],
+    seq: str,
+    delete_when: str,
+    folder: str,
+    checkpoint: str,
+    every: str | None = None,
+) -> StreamingQuery:
+    """MERGE as a log: each batch appends its newest acting row per key, nothing is rewritten.
+
+    The form for large targets. A change whose delete condition is NULL does nothing. Later
+    batches win over earlier ones, as with a MERGE run per batch.
+    """
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        newest = cdc.latest_per_key(batch, keys, seq)
+        write_batch(newest.where(F.expr(delete_when).isNotNull()), folder, batch_id)
+
+    return each_batch(changes, add, checkpoint, every)
+
+
+def _merged(log: DataFrame, keys: Sequence[str], delete_when: str) -> DataFrame:
+    return cdc.apply_changes_scd1(log, keys, VERSION, delete_when, except_columns=[VERSION])
+
+
+def merged_table(
+    spark: SparkSession, folder: str, keys: Sequence[str], delete_when: str, version: int | None = None
+) -> DataFrame:
+    """Rows of a merge log, now or as of a version (a batch id; later batches are not read)."""
+    log = spark.read.parquet(folder)
+    return _merged(log if version is None else log.where(F.col(VERSION) <= version), keys, delete_when)
+
+
+def merged_feed(
+    spark: SparkSession, folder: str, keys: Sequence[str], delete_when: str, version: int
+) -> DataFrame:
+    """Change feed of one version of a merge log, from the states of the keys it touched."""
+    keys = list(keys)
+    log = spark.read.parquet(folder)
+    touched = log.where(F.col(VERSION) == version).select(*keys)
+    own = log.where(F.col(VERSION) <= version).join(touched, keys, "left_semi")
+    before = _merged(own.where(F.col(VERSION) < version), keys, delete_when)
+    return cdc.snapshot_diff(before, _merged(own, keys, delete_when), keys, version)
+
+
 def merge_stream(
     changes: DataFrame,
     target: str,
@@ -83,7 +132,8 @@ def merge_stream(
     """MERGE each micro-batch into a table of snapshots, and append its change feed to ``feed``.
 
     Batch N reads the newest version before N + 1 and writes version N + 1, so a replay
-    rewrites the same folders. Version 0 is the empty table.
+    rewrites the same folders. Version 0 is the empty table. The whole target is rewritten
+    each time; see ``merge_log_stream`` for large ones.
     """
     keys = list(keys)
 

@@ -189,6 +189,7 @@ def test_streams_equal_batch_and_survive_reruns(spark, folder):
     for i, stream in stream_of(spark, folder, batches, schema):
         streams.upsert_stream(stream, ["k"], "seq", f"{folder}/log", f"{folder}/c1")
         streams.stateful_upserts(stream, ["k"], "seq", f"{folder}/state", f"{folder}/c2")
+        streams.merge_log_stream(stream, ["k"], "seq", "gone", f"{folder}/merge-log", f"{folder}/c5")
         streams.merge_stream(stream, f"{folder}/merged", f"{folder}/c3", "k int, v string", ["k"], "seq", "gone", f"{folder}/feed")
     want = table(cdc.apply_changes_scd1(spark.read.parquet(f"{folder}/in"), ["k"], "seq", "gone"))
     assert table(streams.upserted_table(spark, f"{folder}/log", ["k"], "seq", "gone")) == want
@@ -202,6 +203,14 @@ def test_streams_equal_batch_and_survive_reruns(spark, folder):
     assert table(merged.read()) == [(1, "late"), (2, "late"), (3, "d")]
     assert table(merged.read(2)) == [(2, "c")]
 
+    # The log form gives the same versions and the same feeds (its version is the batch id).
+    for version in merged.versions()[1:]:
+        logged = streams.merged_table(spark, f"{folder}/merge-log", ["k"], "gone", version - 1)
+        assert table(logged, "k", "v") == table(merged.read(version))
+        fed = streams.merged_feed(spark, f"{folder}/merge-log", ["k"], "gone", version - 1)
+        whole = read_change_feed(spark, f"{folder}/feed", version).where(F.col("commit_version") == version)
+        assert table(fed, "k", "v", "change_type") == table(whole, "k", "v", "change_type")
+
     feed = read_change_feed(spark, f"{folder}/feed", 1, stream=True)
     streams.propagate_stream(feed, f"{folder}/gold", f"{folder}/c4", "k int, v string", ["k"], {"v": "upper(v)"})
     assert table(Snapshots(spark, f"{folder}/gold").read()) == [(1, "LATE"), (2, "LATE"), (3, "D")]
