@@ -7,6 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from silverlode.functions.scalar import lenient_cast
 from silverlode.operators.sizing import broadcast_if_fits
 
 
@@ -31,8 +32,8 @@ def enrich(
     left_keys = [F.col(k) for k in on]
     right_keys = [F.col(v) for v in on.values()]
     if compare_as:
-        left_keys = [k.try_cast(compare_as) for k in left_keys]
-        right_keys = [k.try_cast(compare_as) for k in right_keys]
+        left_keys = [lenient_cast(F.col(k), facts.schema[k].dataType, compare_as) for k in on]
+        right_keys = [lenient_cast(F.col(v), reference.schema[v].dataType, compare_as) for v in on.values()]
     names = [f"_key{i}" for i in range(len(on))]
     left = facts.withColumns(dict(zip(names, left_keys)))
     right = reference.select(

@@ -9,13 +9,13 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.functions.scalar import moment
+from silverlode.functions.scalar import lenient_cast, moment
 
 
 def type_columns(df: DataFrame, types: Mapping[str, str], strict: bool = False) -> DataFrame:
     """Cast the named columns; text that does not parse becomes NULL unless ``strict``."""
     cast = {
-        name: (F.col(name).cast(kind) if strict else F.col(name).try_cast(kind))
+        name: F.col(name).cast(kind) if strict else lenient_cast(F.col(name), df.schema[name].dataType, kind)
         for name, kind in types.items()
     }
     return df.withColumns(cast)

@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from silverlode.functions.datagen import accounting_treatments, generate
-from silverlode.functions.scalar import from_utc, to_utc
+from silverlode.functions.scalar import from_utc, lenient_cast, to_utc
 from silverlode.functions.textscore import lexicon_sentiment
 from silverlode.operators import layout, project, reshape
 from silverlode.checks.shapes import SCHEMA
@@ -140,3 +140,13 @@ def test_projections(spark):
     assert rows(project.update_where(df, "d = 5", {"v": "upper(v)"}).select("v")) == [("Y",), ("x",)]
     audited = project.with_audit(df, "p").first()
     assert audited.ingest_procedure == "p" and audited.ingest_dt is not None and audited.ingest_principal
+
+
+def test_lenient_cast_is_try_cast(spark):
+    texts = ["1", " 7 ", "+5", "-3", "1.5", "1e3", "", "abc", "a1", "2022-01-01", "NaN", "-Infinity", "inf", "9" * 12, "\t4\n", None]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    for kind in ("int", "bigint", "double", "decimal(10,2)", "date", "boolean"):
+        guarded = lenient_cast(F.col("t"), df.schema["t"].dataType, kind).cast("string")
+        assert [r[0] for r in df.select(guarded).collect()] == [
+            r[0] for r in df.select(F.col("t").try_cast(kind).cast("string")).collect()
+        ]
