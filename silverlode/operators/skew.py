@@ -70,7 +70,8 @@ def add_slices(
 ) -> Slices:
     """Number the rows of a heavy key by range of ``order``; all other rows get slice 0.
 
-    Equal (key, order) rows always share a slice.
+    Equal (key, order) rows always share a slice. Only numbers, dates and timestamps are cut; a
+    key ordered by another type stays in one task.
     """
     flat = Slices(df.withColumn(SLICE, F.lit(0)))
     if not isinstance(df.schema[order].dataType, _SLICEABLE) or input_bytes(df) < check_above:
@@ -96,10 +97,14 @@ def add_slices(
     bounds = []
     for row in found:
         pieces = wanted[row[KEY_HASH]]
-        cuts = sorted({row["quantiles"][i * 999 // pieces] for i in range(1, pieces)})
-        bounds.append((row[KEY_HASH], cuts, cuts[block - 1 :: block]))
+        bounds.append((row[KEY_HASH], [row["quantiles"][i * 999 // pieces] for i in range(1, pieces)]))
     kind = df.schema[order].dataType.simpleString()
-    cut_points = df.sparkSession.createDataFrame(bounds, f"{KEY_HASH} long, _cuts array<{kind}>, _coarse array<{kind}>")
+    # Sorted by Spark's own order of the type, on which the counting below relies.
+    cut_points = (
+        df.sparkSession.createDataFrame(bounds, f"{KEY_HASH} long, _cuts array<{kind}>")
+        .withColumn("_cuts", F.array_sort(F.array_distinct("_cuts")))
+        .withColumn("_coarse", F.filter("_cuts", lambda _, i: i % block == block - 1))
+    )
     # Coarse, then fine counting: about 2 / sqrt(share) comparisons for a row of a heavy key.
     coarse = F.size(F.filter("_coarse", lambda c: c <= F.col(order))) * block
     fine = F.size(F.filter(F.slice("_cuts", coarse + 1, block), lambda c: c <= F.col(order)))
