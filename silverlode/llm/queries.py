@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import rans
+from silverlode.llm import packing, rans
 from silverlode.llm.frames import table
 from silverlode.session import new_folder
 
@@ -27,3 +27,8 @@ def op3_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read.select(
         "doc_id", "start", (F.octet_length("ids") / 4).cast("bigint").alias("n_tokens"), F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query
+def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, 4096)
