@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import packing, rans
+from silverlode.llm import packing, rans, suffixes
 from silverlode.llm.frames import table
 from silverlode.session import new_folder
 
@@ -32,3 +32,17 @@ def op3_rans_files(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op1_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"), 1, 4096)
+
+
+@query
+def op5_suffix_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    digest = {"whole": F.sha2(F.col("text").cast("binary"), 256)}
+    cut = suffixes.remove_repeats(table(spark, sf_dir, "documents"), 400, extra=digest)
+    removed = F.aggregate("spans", F.lit(0).cast("bigint"), lambda n, s: n + s["end"] - s["start"])
+    return cut.select(
+        "doc_id",
+        "n_bytes",
+        removed.alias("n_removed"),
+        F.size("spans").cast("bigint").alias("n_spans"),
+        F.when(F.col("kept").isNull(), F.col("whole")).otherwise(F.sha2("kept", 256)).alias("kept_sha256"),
+    )
