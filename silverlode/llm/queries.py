@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import packing, rans, suffixes
+from silverlode.llm import order_minhash, packing, rans, suffixes
 from silverlode.llm.frames import table
 from silverlode.session import new_folder
 
@@ -46,3 +46,8 @@ def op5_suffix_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.size("spans").cast("bigint").alias("n_spans"),
         F.when(F.col("kept").isNull(), F.col("whole")).otherwise(F.sha2("kept", 256)).alias("kept_sha256"),
     )
+
+
+@query
+def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return order_minhash.near_duplicates(table(spark, sf_dir, "documents"))
