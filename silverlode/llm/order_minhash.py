@@ -8,11 +8,7 @@ alignment of two documents is a longest increasing run of their common k-mers; o
 places within the band that a similarity of 0.8 allows can belong to it. Similar means: aligned /
 (k-mers of both - aligned) >= 0.8.
 
-Texts that are equal stand for one class from the start. A first round aligns each bucket's
-members with its best connected member; a second compares the rest of each bucket, in tiles of
-bounded size, by 256-fold MinHash bytes and aligns every pair in two components whose estimate is
-within three standard errors of 0.8 or above. So no pair list grows with a group's square once
-its members hang together, and no candidate is dropped for the size of its bucket.
+Texts that are equal stand for one class from the start; ``pairs`` says how candidates are compared.
 
 Cases: null text counts as empty; texts without a word are alike only if equal; a text of one to
 four words is one k-mer; repeated rows and null doc_ids belong to the class of their text; an
@@ -28,30 +24,17 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from silverlode.llm.buffers import groups, mix, occurrence, shingles, text_buffer, words
+from silverlode.llm.buffers import groups, mix, text_buffer
 from silverlode.llm.frames import stored
-from silverlode.llm.links import components, runs, starts
+from silverlode.llm.links import components
+from silverlode.llm.pairs import SIMILARITY, kmers, near_links
 from silverlode.llm.suffixes import keyed
 
-WORDS, SIMILARITY = 5, 0.8
 SKETCHES, MINIMA = 18, 3
-BYTES = 256
-ERRORS = 3.0
-TILE = 256
 _SEEDS = np.random.default_rng(77).integers(1, 1 << 63, (2, SKETCHES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_MORE = np.random.default_rng(78).integers(1, 1 << 63, (2, BYTES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-_GOLDEN = np.uint64(0x9E3779B97F4A7C15)
 _TOP = np.uint64((1 << 64) - 1)
 
 
-def kmers(data: np.ndarray, offsets: np.ndarray, size: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
-    """Labelled k-mers of every row in order of the text, and where each row's begin."""
-    hashed, _, _, row = words(data, offsets)
-    grams, _, owner = shingles(hashed, row, len(offsets) - 1, size)
-    label = occurrence(owner, grams).astype(np.uint64)
-    return mix(grams + label * _GOLDEN), np.concatenate(([0], np.cumsum(np.bincount(owner, minlength=len(offsets) - 1))))
-
-
 def sketches(grams: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """(row, bucket) of each sketch; rows without a k-mer have none."""
     counts = np.diff(begins)
@@ -126,108 +109,19 @@ def similarity(a: np.ndarray, b: np.ndarray, least: float = SIMILARITY) -> float
     return aligned / (total - aligned)
 
 
-def verified(pairs: DataFrame, texts: DataFrame, least: float) -> DataFrame:
-    """The pairs (a, b) whose texts are similar."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            own, other = (text_buffer(batch.column(c)) for c in ("text_a", "text_b"))
-            keep = []
-            for i, j in groups(own[1] + other[1]):
-                (left, cuts), (right, ends) = (kmers(d[o[i] : o[j]], o[i : j + 1] - o[i]) for d, o in (own, other))
-                keep += [
-                    i + k
-                    for k in range(j - i)
-                    if similarity(left[cuts[k] : cuts[k + 1]], right[ends[k] : ends[k + 1]], least) >= least
-                ]
-            chosen = pa.array(keep, pa.int64())
-            yield pa.RecordBatch.from_arrays([batch.column("a").take(chosen), batch.column("b").take(chosen)], ["a", "b"])
-
-    left = texts.select(F.col("key").alias("a"), F.col("text").alias("text_a"))
-    right = texts.select(F.col("key").alias("b"), F.col("text").alias("text_b"))
-    return pairs.join(left, "a").join(right, "b").select("a", "b", "text_a", "text_b").mapInArrow(run, "a bigint, b bigint")
-
-
-def _signed(texts: DataFrame) -> DataFrame:
-    """(key, signature): one byte of each of 256 minima."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
-            for i, j in groups(offsets):
-                grams, begins = kmers(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                found = np.zeros((j - i, BYTES), np.uint8)
-                some = np.flatnonzero(np.diff(begins))
-                if len(some):
-                    for k, (seed, factor) in enumerate(_MORE.T):
-                        found[some, k] = np.minimum.reduceat((grams ^ seed) * factor, begins[some]) & np.uint64(255)
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array([f.tobytes() for f in found], pa.binary())], ["key", "signature"]
-                )
-
-    return texts.select("key", "text").mapInArrow(run, "key bigint, signature binary")
-
-
-def _tiles(rows: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of one tile in two components whose signatures agree well enough."""
-    cut = int(np.floor(BYTES * (least - ERRORS * np.sqrt(least * (1 - least) / BYTES))))
-    keys = ["bucket", "i", "j"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in runs(batches, keys):
-            edge = starts(table, keys)
-            node, group, slice_, i, j = (np.array(table.column(c)) for c in ("key", "component", "slice", "i", "j"))
-            signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, BYTES)
-            left, right = [], []
-            for s, e in zip(edge[:-1], edge[1:]):
-                own = np.arange(s, e)[slice_[s:e] == i[s]]
-                other = own if i[s] == j[s] else np.arange(s, e)[slice_[s:e] == j[s]]
-                for x in own:
-                    rest = other[(group[other] != group[x]) & ((node[other] > node[x]) | (i[s] != j[s]))]
-                    if len(rest):
-                        near = rest[(signs[rest] == signs[x]).sum(1) >= cut]
-                        left += [node[x]] * len(near)
-                        right += node[near].tolist()
-            a, b = np.array(left, np.int64), np.array(right, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
-
-    dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
-
-
-def _live(members: DataFrame, found: DataFrame) -> DataFrame:
-    """Members of the buckets that still hold two components, with their component."""
-    placed = members.join(found.withColumnRenamed("node", "key"), "key", "left")
-    placed = placed.select("bucket", "key", F.coalesce("component", "key").alias("component"))
-    open_ = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
-    return placed.join(open_.where("x <> y").select("bucket", "n"), "bucket")
-
-
-def near_links(texts: DataFrame, least: float = SIMILARITY) -> DataFrame:
-    """Links (a, b) between the keys of different texts (key, text) that hold their components together."""
-    members = stored(_members(texts).dropDuplicates(["bucket", "key"]), "sketches")
-    several = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(members.join(several, "bucket"), "buckets")
-    degree = members.groupBy("key").agg(F.sum(F.col("n") - 1).alias("degree"))
-    candidates = stored(texts.join(degree.select("key"), "key", "left_semi"), "candidates")
-    best = members.join(degree, "key").groupBy("bucket").agg(F.max(F.struct("degree", "key")).alias("best"))
-    star = members.join(best.select("bucket", F.col("best.key").alias("lead")), "bucket").where("key <> lead")
-    pairs = star.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
-    links = stored(verified(pairs, candidates, least), "links")
-    live = stored(_live(members.select("bucket", "key"), components(links)), "live")
-    signed = _signed(candidates.join(live.select("key").distinct(), "key", "left_semi"))
-    slices = F.ceil(F.col("n") / TILE).cast("int")
-    sliced = live.join(signed, "key").withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("key"), "slices").cast("int"))
-    tiled = sliced.select("*", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("with"))
-    tiled = tiled.withColumns({"i": F.least("slice", "with"), "j": F.greatest("slice", "with")})
-    more = _tiles(tiled.select("bucket", "i", "j", "slice", "key", "component", "signature"), least)
-    return links.union(stored(verified(stored(more, "pairs"), candidates, least), "links"))
-
-
 def near_classes(docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> tuple[DataFrame, DataFrame]:
     """The rows of ``suffixes.keyed`` and (key, class): the least key of all texts alike, for texts with links."""
     rows = keyed(docs, doc_id, text)
-    found = components(near_links(rows.select("key", "text"), least))
+    texts = rows.select("key", "text", "doc_id")
+    # The text of one row of each class: copies would only be compared again.
+    chosen = stored(rows.groupBy("key").agg(F.min("doc_id").alias("doc_id")), "chosen")
+
+    def one_each(keys: DataFrame) -> DataFrame:
+        wanted = chosen.join(keys, "key")
+        same = [texts["key"] == wanted["key"], texts["doc_id"].eqNullSafe(wanted["doc_id"])]
+        return texts.join(wanted, same, "left_semi").select("key", "text")
+
+    found = components(near_links(_members(texts), one_each, similarity, least))
     return rows, found.select(F.col("node").alias("key"), F.col("component").alias("class"))
 
 

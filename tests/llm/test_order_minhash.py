@@ -9,6 +9,7 @@ import pytest
 from silverlode.llm import order_minhash as om
 from silverlode.llm.buffers import text_buffer
 from silverlode.llm.links import components
+from silverlode.llm.pairs import kmers
 
 
 def lcs(a, b):
@@ -99,7 +100,7 @@ def test_empty(spark):
 
 def test_kmers_do_not_cross_rows():
     data, offsets = text_buffer(pa.array(["a b", "c d", None, "a b"]))
-    grams, begins = om.kmers(data, offsets)
+    grams, begins = kmers(data, offsets)
     assert begins.tolist() == [0, 1, 2, 2, 3] and grams[0] == grams[2] != grams[1]
 
 
