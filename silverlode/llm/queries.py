@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import order_minhash, packing, paragraphs, rans, suffixes
+from silverlode.llm import order_minhash, packing, paragraphs, quality, rans, suffixes
 from silverlode.llm.frames import table
 from silverlode.session import new_folder
 
@@ -57,3 +57,8 @@ def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op8_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = paragraphs.remove_passages(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_lines_removed", "n_bytes_removed", "text")
+
+
+@query
+def op9_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
