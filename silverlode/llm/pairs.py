@@ -1,7 +1,7 @@
 """Links between texts that share a bucket: a star round, then tiles of bounded size.
 
 A first round compares each bucket's members with its best connected member; a second compares
-what is still apart in a bucket, in tiles of bounded size, by 256-fold MinHash bytes and verifies every
+what is still apart in a bucket, in tiles of bounded size, by 512-fold MinHash bytes and verifies every
 pair in two components whose estimate is within three standard errors of the threshold or above. So
 no pair list grows with a group's square once its members hang together, and no candidate is
 dropped for the size of its bucket.
@@ -21,7 +21,7 @@ from silverlode.llm.frames import stored
 from silverlode.llm.links import components, runs, starts
 
 WORDS, SIMILARITY = 5, 0.8
-BYTES = 256
+BYTES = 512
 ERRORS = 3.0
 TILE = 256
 _MORE = np.random.default_rng(78).integers(1, 1 << 63, (2, BYTES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -60,7 +60,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity, least:
 
 
 def _signed(texts: DataFrame) -> DataFrame:
-    """(key, signature): one byte of each of 256 minima."""
+    """(key, signature): one byte of each of 512 minima."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
