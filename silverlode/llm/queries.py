@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import order_minhash, packing, paragraphs, quality, rans, suffixes
+from silverlode.llm import lm_scoring, mixing, order_minhash, packing, paragraphs, quality, rans, suffixes
 from silverlode.llm.frames import table
 from silverlode.session import new_folder
 
@@ -62,3 +62,15 @@ def op8_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op9_quality_discriminant(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.score_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op10_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixing.weights(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Target: the documents labelled as of high quality and not toxic."""
+    good = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
+    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
