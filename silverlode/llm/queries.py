@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import lm_scoring, mixing, order_minhash, packing, paragraphs, quality, rans, suffixes
+from silverlode.llm import hilbert, lm_scoring, mixing, order_minhash, packing, paragraphs, quality, rans, suffixes
 from silverlode.llm.frames import table
 from silverlode.session import new_folder
 
@@ -74,3 +74,8 @@ def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the documents labelled as of high quality and not toxic."""
     good = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
     return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+
+
+@query
+def op7_shifted_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return hilbert.nearest(table(spark, sf_dir, "embeddings"), F.col("key") % 100 == 0, 10)
