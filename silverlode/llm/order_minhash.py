@@ -136,3 +136,22 @@ def near_duplicates(docs: DataFrame, least: float = SIMILARITY, doc_id: str = "d
     first = joined.where(F.col("doc_id").eqNullSafe(F.col("class_id"))).withColumn("kept", F.row_number().over(one) == 1)
     rest = joined.where(~F.col("doc_id").eqNullSafe(F.col("class_id"))).withColumn("kept", F.lit(False))
     return first.union(rest).select("doc_id", "class_id", "kept")
+
+
+def first_of_each(docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """The rows of ``docs``, one of each class of near copies: the one with the least (doc_id, text); others go.
+
+    A row whose doc_id is null comes first in its class.
+    """
+    rows, classes = near_classes(docs, least, doc_id, text)
+    slim = rows.select("doc_id", "key").distinct().join(classes, "key", "left")
+    slim = slim.select("doc_id", "key", F.coalesce("class", "key").alias("class"))
+    first = stored(slim.groupBy("class").agg(F.min(F.struct("doc_id", "key")).alias("at")).select("at.*"), "first")
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
+    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    keyed_rows = docs.select(whole, F.col(f"`{doc_id}`").alias("_id"), F.xxhash64(value).alias("_key"))
+    same = [keyed_rows["_key"] == first["key"], keyed_rows["_id"].eqNullSafe(first["doc_id"])]
+    kept = keyed_rows.join(first, same, "left_semi")
+    # Equal rows are copies too: one of them stays.
+    copies = Window.partitionBy("_key", "_id").orderBy("_key")
+    return kept.withColumn("_copy", F.row_number().over(copies)).where("_copy = 1").select("_row.*")

@@ -198,3 +198,12 @@ def remove_passages(
     done = joined.select("row", applied("raw", "marked").alias("cut"))
     columns = [F.col(f"cut.text").alias(text) if c == text else F.col(f"row.`{c}`") for c in docs.columns]
     return done.select(*columns, "cut.n_lines_removed", "cut.n_bytes_removed")
+
+
+def without_passages(docs: DataFrame, text: str = "text", size: str = "n_chars", **options) -> DataFrame:
+    """The rows of ``docs`` with their passages cut and the column ``size`` (if there) counted anew where they were."""
+    cut_rows = remove_passages(docs, text=text, **options)
+    if size in docs.columns:
+        counted = F.when(F.col("n_lines_removed") > 0, F.length(text)).otherwise(F.col(size))
+        cut_rows = cut_rows.withColumn(size, counted.cast(docs.schema[size].dataType))
+    return cut_rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import hilbert, lm_scoring, mixing, order_minhash, packing, paragraphs, quality, rans, suffixes
+from silverlode.llm import flat_graph, hilbert, lm_scoring, mixing, order_minhash, packing, paragraphs, quality, rans, suffixes
 from silverlode.llm.frames import table
 from silverlode.session import new_folder
 
@@ -79,3 +79,8 @@ def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_shifted_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
     return hilbert.nearest(table(spark, sf_dir, "embeddings"), F.col("key") % 100 == 0, 10)
+
+
+@query
+def op2_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return flat_graph.near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)
