@@ -1,10 +1,12 @@
 """Links between texts that share a bucket: a star round, then tiles of bounded size.
 
 A first round compares each bucket's members with its best connected member; a second compares
-what is still apart in a bucket, in tiles of bounded size, by 512-fold MinHash bytes and verifies every
-pair in two components whose estimate is within three standard errors of the threshold or above. So
-no pair list grows with a group's square once its members hang together, and no candidate is
-dropped for the size of its bucket.
+what is still apart in a bucket, in tiles of bounded size, by 256-fold MinHash bytes: every pair in two
+components whose estimate is within three standard errors of the threshold or above is a candidate. Texts of
+at most 256 k-mers bring them along, so a tile compares such candidates itself and returns only pairs
+that join what it has not joined yet; other candidates are all returned. Every returned pair is verified from its
+texts. So no pair list grows with a group's square once its members hang together, and no candidate is dropped for
+the size of its bucket.
 """
 
 from __future__ import annotations
@@ -21,7 +23,8 @@ from silverlode.llm.frames import stored
 from silverlode.llm.links import components, runs, starts
 
 WORDS, SIMILARITY = 5, 0.8
-BYTES = 512
+BYTES = 256
+SHORT = 256
 ERRORS = 3.0
 TILE = 256
 _MORE = np.random.default_rng(78).integers(1, 1 << 63, (2, BYTES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -60,7 +63,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity, least:
 
 
 def _signed(texts: DataFrame) -> DataFrame:
-    """(key, signature): one byte of each of 512 minima."""
+    """(key, signature, grams): one byte of each of 256 minima, and the k-mers (32 bits of each, in order) of a text with few of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -72,15 +75,18 @@ def _signed(texts: DataFrame) -> DataFrame:
                 if len(some):
                     for k, (seed, factor) in enumerate(_MORE.T):
                         found[some, k] = np.minimum.reduceat((grams ^ seed) * factor, begins[some]) & np.uint64(255)
+                low = grams.astype(np.uint32)
+                short = [low[a:b].tobytes() if b - a <= SHORT else None for a, b in zip(begins[:-1], begins[1:])]
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).slice(i, j - i), pa.array([f.tobytes() for f in found], pa.binary())], ["key", "signature"]
+                    [batch.column(0).slice(i, j - i), pa.array([f.tobytes() for f in found], pa.binary()), pa.array(short, pa.binary())],
+                    ["key", "signature", "grams"],
                 )
 
-    return texts.select("key", "text").mapInArrow(run, "key bigint, signature binary")
+    return texts.select("key", "text").mapInArrow(run, "key bigint, signature binary, grams binary")
 
 
-def _tiles(rows: DataFrame, least: float) -> DataFrame:
-    """Pairs (a, b) of one tile in two components whose signatures agree well enough."""
+def _tiles(rows: DataFrame, similarity: Similarity, least: float) -> DataFrame:
+    """Pairs (a, b) of one tile in two components that are to be verified."""
     cut = int(np.floor(BYTES * (least - ERRORS * np.sqrt(least * (1 - least) / BYTES))))
     keys = ["bucket", "i", "j"]
 
@@ -88,17 +94,28 @@ def _tiles(rows: DataFrame, least: float) -> DataFrame:
         for table in runs(batches, keys):
             edge = starts(table, keys)
             node, group, slice_, i, j = (np.array(table.column(c)) for c in ("key", "component", "slice", "i", "j"))
+            group = group.copy()
             signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, BYTES)
+            texts = table.column("grams").to_pylist()
             left, right = [], []
             for s, e in zip(edge[:-1], edge[1:]):
                 own = np.arange(s, e)[slice_[s:e] == i[s]]
                 other = own if i[s] == j[s] else np.arange(s, e)[slice_[s:e] == j[s]]
+                joined = group[s:e]  # components as far as this tile has joined them
                 for x in own:
-                    rest = other[(group[other] != group[x]) & ((node[other] > node[x]) | (i[s] != j[s]))]
-                    if len(rest):
-                        near = rest[(signs[rest] == signs[x]).sum(1) >= cut]
-                        left += [node[x]] * len(near)
-                        right += node[near].tolist()
+                    rest = other[(joined[other - s] != joined[x - s]) & ((node[other] > node[x]) | (i[s] != j[s]))]
+                    if not len(rest):
+                        continue
+                    for y in rest[(signs[rest] == signs[x]).sum(1) >= cut]:
+                        if joined[y - s] == joined[x - s]:
+                            continue
+                        if texts[x] is not None and texts[y] is not None:
+                            a, b = (np.frombuffer(texts[k], np.uint32) for k in (x, y))
+                            if similarity(a, b, least) < least:
+                                continue
+                            joined[joined == joined[y - s]] = joined[x - s]
+                        left.append(node[x])
+                        right.append(node[y])
             a, b = np.array(left, np.int64), np.array(right, np.int64)
             yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
 
@@ -136,5 +153,5 @@ def near_links(
     sliced = live.join(signed, "key").withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("key"), "slices").cast("int"))
     tiled = sliced.select("*", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("with"))
     tiled = tiled.withColumns({"i": F.least("slice", "with"), "j": F.greatest("slice", "with")})
-    more = _tiles(tiled.select("bucket", "i", "j", "slice", "key", "component", "signature"), least)
+    more = _tiles(tiled.select("bucket", "i", "j", "slice", "key", "component", "signature", "grams"), similarity, least)
     return links.union(stored(verified(stored(more, "pairs"), candidates, similarity, least), "links"))
