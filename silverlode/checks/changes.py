@@ -62,6 +62,25 @@ def _state(changes: DataFrame) -> DataFrame:
     return cdc.apply_changes_scd1(changes, KEYS, SEQ, DELETED, ["event_id"])
 
 
+@check(
+    """SELECT 'current' AS part, count(DISTINCT CASE WHEN event_id % 7 <> 0 THEN user_id END) AS n FROM events WHERE event_id % 11 <> 0
+    UNION ALL SELECT 'quarantined', count(*) FROM events WHERE event_id % 7 = 0 OR event_id % 11 = 0
+    UNION ALL SELECT 'usable', count(*) FROM events WHERE event_id % 7 <> 0 AND event_id % 11 <> 0"""
+)
+def cdc_unusable_quarantined(spark: SparkSession, folder: str) -> DataFrame:
+    """Changes without a key or a sequence reach the quarantine, all others the current rows: none is lost."""
+    events = _events(spark, folder).withColumns(
+        {"user_id": F.when(F.col("event_id") % 7 != 0, F.col("user_id")), SEQ: F.when(F.col("event_id") % 11 != 0, F.col(SEQ))}
+    )
+    parts = {
+        "current": cdc.latest_per_key(events, KEYS, SEQ, ["event_id"]),
+        "quarantined": cdc.unusable(events, KEYS, SEQ),
+        "usable": cdc.usable(events, KEYS, SEQ),
+    }
+    counts = [rows.agg(F.lit(name).alias("part"), F.count("*").alias("n")) for name, rows in parts.items()]
+    return counts[0].unionByName(counts[1]).unionByName(counts[2])
+
+
 @check(newest())
 def cdc_latest(spark: SparkSession, folder: str) -> DataFrame:
     return cdc.latest_per_key(_events(spark, folder), KEYS, SEQ, ["event_id"])

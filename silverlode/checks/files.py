@@ -142,16 +142,35 @@ def overwrite_then_append(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-@check(ORDERS)
+@check(f"SELECT 'parts' AS form, * FROM ({ORDERS}) a UNION ALL SELECT 'single', * FROM ({ORDERS}) b UNION ALL SELECT 'again', * FROM ({ORDERS}) c")
 def publish_csv(spark: SparkSession, folder: str) -> DataFrame:
-    """Published CSV, as one file when measured small and as parts when not; both are read back."""
+    """One target published as parts, as a single file and as parts again, read back each time."""
     root = new_folder(spark, "publish")
-    rows = _orders(spark, folder)
-    one = sinks.publish_csv(rows.where("o_custkey IS NOT NULL"), root, "orders.csv", delimiter=";", single_file_bytes=1 << 30)
-    parts = sinks.publish_csv(rows, root, "parts", delimiter=";", single_file_bytes=0)
-    read = [spark.read.option("header", True).option("sep", ";").csv(p) for p in (one, parts)]
-    same = read[0].intersectAll(read[1])
-    return type_columns(same, {"o_orderkey": "long", "o_custkey": "long", "o_totalprice": "double"})
+    read = None
+    for form, single in (("parts", False), ("single", True), ("again", False)):
+        paths = sinks.publish_csv(_orders(spark, folder), root, "orders.csv", delimiter=";", single=single)
+        found = spark.read.option("header", True).option("sep", ";").csv(paths)
+        kept = f"{root}/{form}"
+        found.select(F.lit(form).alias("form"), "*").write.parquet(kept)
+        now = spark.read.parquet(kept)
+        read = now if read is None else read.unionByName(now)
+    return type_columns(read, {"o_orderkey": "long", "o_custkey": "long", "o_totalprice": "double"})
+
+
+@check(
+    """SELECT 'event_id' AS name, count(*) AS n FROM events UNION ALL SELECT 'old', count(*) FROM events WHERE event_id % 50 = 0
+    UNION ALL SELECT 'value', count(value) FROM events"""
+)
+def schema_all_files(spark: SparkSession, folder: str) -> DataFrame:
+    """A column that only the oldest of many files holds stays in the pinned schema, and no column for broken lines."""
+    root = new_folder(spark, "all-files")
+    events = table(spark, folder, "events")
+    events.where("event_id % 50 = 0").select("event_id", F.lit(1).alias("old"), "value").coalesce(1).write.json(f"{root}/in")
+    rest = events.where("event_id % 50 <> 0").select("event_id", "value")
+    rest.repartition(40).write.mode("append").json(f"{root}/in")
+    schema = files.infer_and_pin_schema(spark, f"{root}/in", f"{root}/schema")
+    counted = spark.read.schema(schema).json(f"{root}/in").agg(*[F.count(c).alias(c) for c in schema.names])
+    return counted.unpivot([], counted.columns, "name", "n")
 
 
 @check("SELECT 'orders' AS name, count(*) AS n FROM orders UNION ALL SELECT 'customer', count(*) FROM customer")

@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from silverlode.checks.registry import check, table
 from silverlode.operators import quality as q
 from silverlode.operators.joins import enrich
-from silverlode.operators.quality import DROP, FAIL, Rule
+from silverlode.operators.quality import DROP, FAIL, ExpectationFailed, Rule
+from silverlode.session import new_folder
+from silverlode.streaming.writers import append_stream
 
 RULES = [
     Rule("labelled", "quality IS NOT NULL", DROP),
@@ -103,6 +105,56 @@ def dq_set_rule(spark: SparkSession, folder: str) -> DataFrame:
     return kept.drop("event_type")
 
 
+@check(
+    """WITH s AS (SELECT user_id, CAST(ts AS DATE) AS day, count(*) AS n FROM events
+               WHERE event_type = 'purchase' GROUP BY 1, 2)
+    SELECT e.event_id, e.user_id, CAST(e.ts AS DATE) AS day, coalesce(s.n, 0) AS purchases
+    FROM events e LEFT JOIN s ON s.user_id = e.user_id AND s.day = CAST(e.ts AS DATE)
+    WHERE coalesce(s.n, 0) <= 1"""
+)
+def dq_set_rule_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The set rule over a stream of the events in several batches, judged against the table of all of them."""
+    root = new_folder(spark, "set-rule")
+    events = table(spark, folder, "events").select("event_id", "user_id", F.to_date("ts").alias("day"), "event_type")
+    events.repartition(4, "event_id").write.parquet(f"{root}/events")
+    source = spark.read.parquet(f"{root}/events")
+    rows = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/events")
+    kept = q.expect_set(rows, ["user_id", "day"], "event_type = 'purchase'", 1, DROP, "purchases", source)
+    append_stream(kept.drop("event_type"), f"{root}/kept", f"{root}/_checkpoint")
+    return spark.read.parquet(f"{root}/kept")
+
+
+@check(
+    """SELECT 'positive_discount' AS rule, count(*) FILTER (WHERE NOT coalesce(l_discount > 0, FALSE)) AS failed,
+        TRUE AS stopped, TRUE AS stopped_behind_filter FROM lineitem
+    UNION ALL SELECT 'positive_quantity', count(*) FILTER (WHERE NOT coalesce(l_quantity > 0, FALSE)), FALSE, FALSE FROM lineitem"""
+)
+def dq_fail_fires(spark: SparkSession, folder: str) -> DataFrame:
+    """A FAIL rule that rows break stops the write and its counts name it, also where a later filter removes those rows."""
+    lines = table(spark, folder, "lineitem")
+    rules = [Rule("positive_discount", "l_discount > 0", FAIL), Rule("positive_quantity", "l_quantity > 0", FAIL)]
+
+    def stopped(rows: DataFrame) -> bool:
+        try:
+            rows.write.parquet(f"{new_folder(spark, 'fail')}/out")
+        except Exception as error:  # Spark wraps what a row raised
+            if "expectation" not in str(error):
+                raise
+            return True
+        return False
+
+    found = []
+    for rule in rules:
+        kept = q.expect(lines, [rule])
+        try:
+            q.check_fail_rules(lines, [rule])
+            failed = 0
+        except ExpectationFailed as error:
+            failed = int(str(error).split(": ")[1].split(" ")[0])
+        found.append((rule.name, failed, stopped(kept), stopped(kept.where("l_discount > 0.05 AND l_quantity > 10"))))
+    return spark.createDataFrame(found, "rule string, failed long, stopped boolean, stopped_behind_filter boolean")
+
+
 @check(
     """SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, r_name AS region FROM lineitem
     JOIN region ON l_linenumber = r_regionkey"""
@@ -129,6 +181,21 @@ def dq_null_aware_anti(spark: SparkSession, folder: str) -> DataFrame:
     return q.not_landed(table(spark, folder, "documents"), labelled, "doc_id", "k", null_empties=True)
 
 
+@check(
+    """SELECT 'with_null' AS list, count(*) AS n FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels UNION ALL SELECT NULL)
+    UNION ALL SELECT 'without', count(DISTINCT doc_id) FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)"""
+)
+def dq_not_in_list_with_null(spark: SparkSession, folder: str) -> DataFrame:
+    """One NULL among the loaded names empties NOT IN's result; without it the missing ones come back."""
+    docs, labels = table(spark, folder, "documents"), table(spark, folder, "labels").select("doc_id")
+    lists = {"with_null": labels.union(spark.sql("SELECT CAST(NULL AS BIGINT)")), "without": labels}
+    counts = [
+        q.not_landed(docs, rows, "doc_id", null_empties=True).agg(F.lit(name).alias("list"), F.count("*").alias("n"))
+        for name, rows in lists.items()
+    ]
+    return counts[0].unionByName(counts[1])
+
+
 @check(
     """SELECT 'bronze' AS layer, count(*) AS row_count, count(DISTINCT user_id) AS key_count,
            max(user_id) AS max_key, max(ts) AS latest_change FROM events

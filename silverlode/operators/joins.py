@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.functions.scalar import lenient_cast
-from silverlode.operators.sizing import broadcast_if_fits
+from silverlode.operators.layout import has_map
 
 
 def enrich(
@@ -42,7 +42,8 @@ def enrich(
     )
     condition = _all_equal(names, [f"_ref{i}" for i in range(len(on))])
     if salt > 1:
-        left = left.withColumn("_salt", F.pmod(F.xxhash64(*facts.columns), F.lit(salt)))
+        spread = [f"`{f.name}`" for f in facts.schema.fields if not has_map(f.dataType)]
+        left = left.withColumn("_salt", F.pmod(F.xxhash64(*spread), F.lit(salt)))
         right = right.withColumn("_ref_salt", F.explode(F.sequence(F.lit(0), F.lit(salt - 1))))
         condition = condition & (F.col("_salt") == F.col("_ref_salt"))
     return left.join(right, condition, how).select(
@@ -68,14 +69,14 @@ def star(facts: DataFrame, dimensions: Sequence[tuple[DataFrame, str, str]]) ->
 def rows_at_group_max(df: DataFrame, group: Sequence[str], measure: str) -> DataFrame:
     """All rows that equal their group's maximum; ties are kept, NULL groups never match.
 
-    The maxima come from a partially aggregated pass and are joined back. A window would
-    leave one task per group; here the facts are not moved at all while the maxima fit a
-    broadcast, and are shuffled by (group, measure) otherwise.
+    The maxima come from a partially aggregated pass and are joined back by (group, measure). A
+    window would leave one task per group; here Spark decides at run time whether the maxima are
+    broadcast, so that the facts are not moved.
     """
     top = df.groupBy(*group).agg(F.max(measure).alias("_top"))
     top = top.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], "_top")
     condition = _all_equal(list(group), [f"_g{i}" for i in range(len(group))]) & (F.col(measure) == F.col("_top"))
-    return df.join(broadcast_if_fits(top), condition).select(*df.columns)
+    return df.join(top, condition).select(*df.columns)
 
 
 def top_k(df: DataFrame, k: int, measure: str, tiebreak: Sequence[str]) -> DataFrame:

@@ -13,30 +13,49 @@ from pyspark.sql import types as T
 TARGET_FILE_BYTES = 256 << 20
 
 
-def _as_number(df: DataFrame, name: str) -> Column:
-    """A number that rises with the column (not strictly: equal numbers only share a bucket)."""
+SAMPLED_TEXTS = 64
+
+
+def _is_text(kind: T.DataType) -> bool:
+    return not isinstance(kind, (T.NumericType, T.TimestampType, T.TimestampNTZType, T.DateType))
+
+
+def _as_ordered(df: DataFrame, name: str) -> Column:
+    """A number that rises with the column, or its whole text."""
     kind = df.schema[name].dataType
     if isinstance(kind, T.NumericType):
         return F.col(name).cast("double")
     if isinstance(kind, (T.TimestampType, T.TimestampNTZType, T.DateType)):
         return F.unix_micros(F.col(name).cast("timestamp")).cast("double")
-    # Text: its first six bytes as a number, exact in a double.
-    head = F.rpad(F.hex(F.substring(F.encode(F.col(name).cast("string"), "utf-8"), 1, 6)), 12, "0")
-    return F.conv(head, 16, 10).cast("double")
+    return F.col(name).cast("string")
+
+
+def _text_cuts(df: DataFrame, name: str, cells: int) -> list[str]:
+    """Quantiles of whole texts from a sample of 64 rows a cell, drawn by hash; only bounds depend on it."""
+    drawn = df.where(F.col(name).isNotNull()).select(name, F.xxhash64(name, F.spark_partition_id(), F.monotonically_increasing_id()).alias("_h"))
+    found = sorted((r[0] for r in drawn.orderBy("_h").limit(SAMPLED_TEXTS * cells).collect()), key=lambda t: t.encode())
+    return [found[len(found) * k // cells] for k in range(1, cells)] if found else []
+
+
+def _literal(value: float | str) -> str:
+    if isinstance(value, str):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    return f"{value!r}D"
 
 
-def _with_bucket(df: DataFrame, number: str, name: str, cuts: Sequence[float], bits: int) -> DataFrame:
-    """Add the count of cuts that are <= number by binary search over a literal array.
+def _with_bucket(df: DataFrame, ordered: str, name: str, cuts: Sequence[float] | Sequence[str], bits: int) -> DataFrame:
+    """Add the count of cuts that are <= the value by binary search over a literal array.
 
     Each halving is a projection of its own: the generated code stays short enough to be
     compiled, which one nested expression of 2**bits branches is not.
     """
-    padded = [*cuts, *[float("inf")] * ((1 << bits) - 1 - len(cuts))]
-    values = ", ".join("DOUBLE('inf')" if v == float("inf") else f"{v!r}D" for v in padded)
+    values = ", ".join([*map(_literal, cuts), *["NULL"] * ((1 << bits) - 1 - len(cuts))])
     found = df.withColumn(name, F.lit(0))
+    if not cuts:
+        return found
     for bit in reversed(range(bits)):
         step = 1 << bit
-        reached = F.expr(f"{number} >= element_at(array({values}), `{name}` + {step})")
+        reached = F.expr(f"coalesce({ordered} >= element_at(array({values}), `{name}` + {step}), false)")
         found = found.withColumn(name, F.col(name) + F.when(reached, step).otherwise(0))
     return found
 
@@ -44,17 +63,22 @@ def _with_bucket(df: DataFrame, number: str, name: str, cuts: Sequence[float], b
 def with_zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8, name: str = "_z") -> DataFrame:
     """Add the Morton key: bucket numbers of the columns with their bits interleaved.
 
-    Buckets are bounded by approximate quantiles, NULL goes to bucket 0. The only thing that
-    reaches the driver is one row of 2**bits - 1 bounds per column.
+    Buckets are bounded by approximate quantiles, those of texts by whole values of a sample; NULL
+    goes to bucket 0. What reaches the driver is one row of 2**bits - 1 bounds per column, and 64 times as
+    many sampled values of a text column.
     """
     if bits * len(columns) > 62:
         raise ValueError("bits times columns must stay within a long")
     cells = 1 << bits
-    numbered = df.withColumns({f"_n{i}": _as_number(df, c) for i, c in enumerate(columns)})
+    numbered = df.withColumns({f"_n{i}": _as_ordered(df, c) for i, c in enumerate(columns)})
+    texts = {i for i, c in enumerate(columns) if _is_text(df.schema[c].dataType)}
     fractions = f"array({', '.join(str(i / cells) for i in range(1, cells))})"
-    bounds = numbered.agg(*[F.expr(f"percentile_approx(_n{i}, {fractions})") for i in range(len(columns))]).first()
+    numbers = [i for i in range(len(columns)) if i not in texts]
+    quantiles = [F.expr(f"percentile_approx(_n{i}, {fractions})").alias(f"_q{i}") for i in numbers]
+    row = numbered.agg(*quantiles).first() if quantiles else {}
+    bounds = [_text_cuts(numbered, f"_n{i}", cells) if i in texts else row[f"_q{i}"] for i in range(len(columns))]
     for i, found in enumerate(bounds):
-        numbered = _with_bucket(numbered, f"_n{i}", f"_b{i}", sorted(set(found or [])), bits)
+        numbered = _with_bucket(numbered, f"_n{i}", f"_b{i}", sorted(set(found or []), key=lambda v: v.encode() if isinstance(v, str) else v), bits)
     # Entry b holds the bits of b, each moved to its place among those of the other columns.
     spread = [sum((b >> bit & 1) << (bit * len(columns)) for bit in range(bits)) for b in range(cells)]
     table = F.expr(f"array({', '.join(f'{v}L' for v in spread)})")
@@ -91,9 +115,14 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
 def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TARGET_FILE_BYTES) -> int:
     """Rewrite a parquet folder into files of about ``file_bytes``; returns how many were asked for.
 
-    Nothing is shuffled: Spark packs small files into scan splits of even size and whole splits
-    are put together, so a clustered layout stays clustered and no key can make a file large.
+    Rows keep the order of the files (by name) and their order inside: the range partitioning follows file and
+    row number, so a clustered layout stays clustered and no key can make a file large.
     """
     files = max(1, ceil(folder_bytes(spark, source) / file_bytes))
-    spark.read.parquet(source).coalesce(files).write.mode("overwrite").parquet(target)
+    rows = spark.read.parquet(source)
+    columns = rows.columns
+    order = ["_file", "_row"]
+    placed = rows.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    ordered = placed.repartitionByRange(files, *order).sortWithinPartitions(*order).select(*columns)
+    ordered.write.mode("overwrite").parquet(target)
     return files

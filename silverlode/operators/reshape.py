@@ -25,9 +25,13 @@ def pivot(
     aggregate: Column,
     values: Sequence | None = None,
     prefix: str = "",
+    limit: int = MAX_PIVOT_VALUES,
 ) -> DataFrame:
-    """Pivot one column. Give ``values`` to save the job that lists them; absent ones become NULL."""
-    values = list(values) if values is not None else distinct_values(df, column)
+    """Pivot one column. Give ``values`` to save the job that lists them; absent ones become NULL.
+
+    Without ``values`` more than ``limit`` of them are an error: raise it for a wider result.
+    """
+    values = list(values) if values is not None else distinct_values(df, column, limit)
     wide = df.groupBy(*group).pivot(column, values).agg(aggregate)
     return wide.select(*group, *[F.col(f"`{_label(v)}`").alias(f"{prefix}{_label(v)}") for v in values])
 
@@ -68,9 +72,16 @@ def unpivot(df: DataFrame, ids: Sequence[str], columns: Sequence[str], name: str
     return df.unpivot(list(ids), list(columns), name, value).where(F.col(value).isNotNull())
 
 
-def transpose(df: DataFrame, row_key: Sequence[str], name: str, value: str, names: Sequence | None = None) -> DataFrame:
+def transpose(
+    df: DataFrame,
+    row_key: Sequence[str],
+    name: str,
+    value: str,
+    names: Sequence | None = None,
+    limit: int = MAX_PIVOT_VALUES,
+) -> DataFrame:
     """Name / value rows to one wide row per key; where a name repeats the smallest value is taken."""
-    return pivot(df, row_key, name, F.min(value), names)
+    return pivot(df, row_key, name, F.min(value), names, limit=limit)
 
 
 def rollup_agg(

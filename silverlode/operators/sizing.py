@@ -1,53 +1,11 @@
-"""Size checks that stand before every explicit broadcast."""
+"""Size estimates of plans."""
 
 from __future__ import annotations
 
-from functools import reduce
-
-from pyspark.sql import Column, DataFrame, Observation
-from pyspark.sql import functions as F
-
-from silverlode.session import cut_lineage
-
-BROADCAST_BYTES = 16 << 20
-ROW_OVERHEAD_BYTES = 32
-
-
-def estimated_bytes(df: DataFrame) -> int:
-    """Catalyst's own size estimate of the plan; runs no job."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+from pyspark.sql import DataFrame
 
 
 def input_bytes(df: DataFrame) -> int:
     """Sum of the estimates of the scanned inputs; unlike the plan's it is not multiplied by joins."""
     leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def row_bytes(df: DataFrame) -> Column:
-    lengths = [
-        F.coalesce(F.octet_length(F.to_json(F.struct(F.col(f"`{name}`")))), F.lit(0)).cast("long")
-        for name in df.columns
-    ]
-    return reduce(lambda a, b: a + b, lengths, F.lit(ROW_OVERHEAD_BYTES).cast("long"))
-
-
-def measured(df: DataFrame) -> tuple[DataFrame, int]:
-    """The frame, checkpointed, and its size as JSON text; one job does both."""
-    size = Observation()
-    kept = cut_lineage(df.observe(size, F.coalesce(F.sum(row_bytes(df)), F.lit(0)).alias("bytes")))
-    return kept, size.get["bytes"]
-
-
-def broadcast_if_fits(df: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
-    """Hint a broadcast only for a side whose size is known to be under ``limit``.
-
-    The plan estimate settles small inputs for free. Otherwise (an aggregate over a large
-    table has no useful estimate) the side is checkpointed once and measured in the same
-    job. A larger side is returned without a hint: Spark then joins by shuffle, and AQE
-    splits skewed partitions.
-    """
-    if estimated_bytes(df) <= limit:
-        return F.broadcast(df)
-    kept, size = measured(df)
-    return F.broadcast(kept) if size <= limit else kept

@@ -13,6 +13,7 @@ from silverlode.operators.quality import DROP, Rule, expect, split
 from silverlode.sources.files import read_csv, with_file_lineage
 from silverlode.sources.sinks import publish_csv
 
+# Schemas, rule name and condition of the country feed.
 REFERENCE_SCHEMA = "Continent string, Country string"
 DAILY_SCHEMA = "Date date, Country string, Confirmed int, Recovered int, Deaths int"
 RULES = (Rule("valid_continent", "Continent IS NOT NULL", DROP),)

@@ -28,6 +28,9 @@ RULES = (
     Rule("valid_first_name", "first_name IS NOT NULL", WARN),
     Rule("valid_last_name", "last_name IS NOT NULL", WARN),
 )
+# Ours: a change without a sequence cannot be ordered, so it goes to quarantine and not to the history.
+ORDERED = Rule("valid_update_dt", "update_dt IS NOT NULL", DROP)
+JUDGED = (*RULES, ORDERED)
 KEYS, SEQUENCE, DELETED = ["id"], "update_dt", "active = 0"
 
 REFERENCE_SCHEMA = "channelId string, channelName string, description string"
@@ -49,11 +52,11 @@ def cleansed(typed: DataFrame, channels: DataFrame, at: datetime | None = None)
 
 
 def silver_changes(clean: DataFrame) -> DataFrame:
-    return quality.expect(clean, RULES).drop("channel")
+    return quality.expect(clean, JUDGED).drop("channel")
 
 
 def quarantine(clean: DataFrame) -> DataFrame:
-    return quality.split(clean, RULES)[1]
+    return quality.split(clean, JUDGED)[1]
 
 
 def history(changes: DataFrame, tiebreak: tuple[str, ...] = ()) -> DataFrame:
@@ -115,9 +118,9 @@ def load_new_files(spark: SparkSession, landing: str, channels: DataFrame, root:
 
     def judge(batch: DataFrame, batch_id: int) -> None:
         clean, seen = cleansed(batch, channels), Observation()
-        write_batch(silver_changes(quality.observe(clean, RULES, seen)), layers.silver, batch_id)
+        write_batch(silver_changes(quality.observe(clean, JUDGED, seen)), layers.silver, batch_id)
         write_batch(quarantine(clean), layers.quarantine, batch_id)
-        counted = quality.observed_metrics(seen.get, RULES, "customers")
+        counted = quality.observed_metrics(seen.get, JUDGED, "customers")
         write_batch(batch.sparkSession.createDataFrame(counted, quality.METRICS_SCHEMA), layers.metrics, batch_id)
 
     each_batch(stream_table(spark, layers.bronze), judge, layers.checkpoint("silver"))

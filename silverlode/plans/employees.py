@@ -11,6 +11,7 @@ from silverlode.functions.scalar import full_name, moment
 from silverlode.operators.joins import enrich
 from silverlode.operators.quality import DROP, FAIL, WARN, Rule, expect, with_failed_rules, with_set_measure
 
+# Rule names and conditions of the employee feed.
 BRONZE_RULES = (
     Rule("valid_dept_ID", "deptId IS NOT NULL", DROP),
     Rule("valid_first_name", "fname IS NOT NULL", FAIL),
@@ -47,10 +48,11 @@ def row_and_set_rules(action: str = WARN) -> tuple[Rule, Rule]:
     )
 
 
-def row_and_set_checked(employees: DataFrame, action: str = WARN) -> DataFrame:
+def row_and_set_checked(employees: DataFrame, action: str = WARN, source: DataFrame | None = None) -> DataFrame:
     """Every row with its department's manager count and the names of the rules it breaks.
 
-    The set rule judges all rows of a department with two managers; none is no violation.
+    The set rule judges all rows of a department with two managers; none is no violation. A stream
+    of ``employees`` is judged against ``source``, the table of all of them.
     """
-    counted = with_set_measure(employees, ["department"], "position = 'Manager'", "manager_count")
+    counted = with_set_measure(employees, ["department"], "position = 'Manager'", "manager_count", source)
     return with_failed_rules(expect(counted, row_and_set_rules(action)), row_and_set_rules(action))

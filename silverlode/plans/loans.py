@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from silverlode.operators.joins import enrich, union_distinct
 from silverlode.operators.quality import DROP, FAIL, WARN, Rule, expect
 
+# Rule names and conditions of the loan feed.
 RULES = (
     Rule("PaymentsCurrentYear", "next_payment_date > date'2020-12-31'", WARN),
     Rule("BalancePositive", "balance > 0 AND arrears_balance > 0", DROP),

@@ -9,10 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.sources.storage import exists, newest_files
+from silverlode.sources.storage import exists
 
 CORRUPT = "_corrupt_record"
-SCHEMA_SAMPLE_FILES = 1000
 
 
 def with_file_lineage(df: DataFrame, name: str = "input_file_name", full_path: bool = False) -> DataFrame:
@@ -47,13 +46,12 @@ def infer_schema(
     path: str,
     fmt: str = "json",
     options: Mapping[str, str] | None = None,
-    sample_files: int = SCHEMA_SAMPLE_FILES,
 ) -> T.StructType:
-    """The merged schema of the newest ``sample_files`` files. Only inference samples; reads are whole."""
+    """The merged schema of all files; the column that would hold broken lines is no part of it."""
     reader = spark.read.format(fmt).options(**dict(options or {}))
     if fmt == "csv":
         reader = reader.option("header", "true").option("inferSchema", "true")
-    return reader.load(newest_files(spark, path, sample_files) or path).schema
+    return T.StructType([f for f in reader.load(path).schema.fields if f.name != CORRUPT])
 
 
 def infer_and_pin_schema(

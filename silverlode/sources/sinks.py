@@ -9,10 +9,12 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.operators.layout import has_map
-from silverlode.operators.sizing import measured
-from silverlode.sources.storage import names, rename
+from silverlode.sources.storage import names, remove, replace
 
-SINGLE_FILE_BYTES = 128 << 20
+
+def _text(value: str) -> str:
+    """A SQL literal."""
+    return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
 def overwrite_table(
@@ -23,8 +25,9 @@ def overwrite_table(
     (writer.option("path", path) if path else writer).saveAsTable(table)
     tags = {k: v for k, v in {"quality": tier, "comment": comment}.items() if v}
     if tags:
-        pairs = ", ".join("'{}' = '{}'".format(k, v.replace("'", "\\'")) for k, v in tags.items())
-        df.sparkSession.sql(f"ALTER TABLE {table} SET TBLPROPERTIES ({pairs})")
+        pairs = ", ".join(f"'{k}' = {_text(v)}" for k, v in tags.items())
+        name = ".".join(f"`{part.strip('`').replace('`', '``')}`" for part in table.split("."))
+        df.sparkSession.sql(f"ALTER TABLE {name} SET TBLPROPERTIES ({pairs})")
 
 
 def register_table(spark: SparkSession, table: str, path: str) -> None:
@@ -48,27 +51,28 @@ def publish_csv(
     delimiter: str = ",",
     header: bool = True,
     compression: str | None = None,
-    single_file_bytes: int = SINGLE_FILE_BYTES,
+    single: bool = True,
 ) -> list[str]:
     """Publish a gold table as CSV; returns the published paths.
 
-    A result measured below ``single_file_bytes`` becomes the one file ``folder/file``. A larger one
-    stays whole but is written in parallel, as numbered parts in the folder ``folder/file``.
+    The caller chooses the form: ``single`` gives the one file ``folder/file``, written by one task; otherwise
+    the folder ``folder/file`` gets parts that are written in parallel. Both are written beside the target and then
+    put in its place, whichever form was there before.
     """
     spark = df.sparkSession
-    kept, size = measured(df)
     target = f"{folder.rstrip('/')}/{file}"
-    single = size <= single_file_bytes
-    staging = f"{folder.rstrip('/')}/_staging-{file}" if single else target
-    writer = (kept.repartition(1) if single else kept).write.mode("overwrite")
+    staging = f"{folder.rstrip('/')}/_staging-{file}"
+    writer = (df.repartition(1) if single else df).write.mode("overwrite")
     writer = writer.option("header", header).option("delimiter", delimiter)
     if compression:
         writer = writer.option("compression", compression)
     writer.csv(staging)
     parts = [n for n in names(spark, staging) if n.startswith("part-")]
     if not single:
-        return [f"{staging}/{n}" for n in parts]
-    rename(spark, f"{staging}/{parts[0]}", target)
+        replace(spark, staging, target)
+        return [f"{target}/{n}" for n in parts]
+    replace(spark, f"{staging}/{parts[0]}", target)
+    remove(spark, staging)
     return [target]
 
 

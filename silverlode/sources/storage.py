@@ -20,26 +20,27 @@ def names(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(location)) if system.exists(location) else []
 
 
-def newest_files(spark: SparkSession, path: str, limit: int) -> list[str]:
-    """Up to ``limit`` data files of a folder, file or glob, the latest first."""
+def remove(spark: SparkSession, path: str) -> None:
     system, location = _at(spark, path)
-    found = [s for s in system.globStatus(location) or []]
-    if len(found) == 1 and found[0].isDirectory():
-        found = list(system.listStatus(location))
-    files = [s for s in found if s.isFile() and s.getPath().getName()[0] not in "._"]
-    files.sort(key=lambda s: s.getModificationTime(), reverse=True)
-    return [s.getPath().toString() for s in files[:limit]]
+    system.delete(location, True)
 
 
-def rename(spark: SparkSession, source: str, target: str) -> None:
-    """Move one file, replacing the target."""
+def replace(spark: SparkSession, source: str, target: str) -> None:
+    """Move a file or folder to ``target``; what was there, of either kind, is set aside until the move is done."""
     system, location = _at(spark, source)
     _, destination = _at(spark, target)
     system.mkdirs(destination.getParent())
+    aside = None
     if system.exists(destination):
-        system.delete(destination, False)
+        aside = spark._jvm.org.apache.hadoop.fs.Path(destination.getParent(), f"_replaced-{destination.getName()}")
+        system.delete(aside, True)
+        system.rename(destination, aside)
     if not system.rename(location, destination):
+        if aside:
+            system.rename(aside, destination)
         raise OSError(f"could not move {source} to {target}")
+    if aside:
+        system.delete(aside, True)
 
 
 class Snapshots:

@@ -101,6 +101,7 @@ def test_steps(spark, folder, channels):
         "valid_channel": (0, 2),
         "valid_first_name": (2, 0),
         "valid_last_name": (1, 1),
+        "valid_update_dt": (2, 0),
     }
     assert {r.dropped_records for r in last.collect()} == {1}
 

@@ -6,8 +6,7 @@ from pathlib import Path
 import pytest
 from pyspark.sql import functions as F
 
-from silverlode.operators import eventlog
-from silverlode.operators.sizing import broadcast_if_fits, measured
+from silverlode.operators import eventlog, layout
 from silverlode.plans import country_cases, loans
 from silverlode.sources import files, sinks
 from silverlode.sources.storage import Snapshots
@@ -50,7 +49,7 @@ def test_country_cases_to_csv(spark, folder):
 
 def test_published_csv_parts_hold_all_rows(spark, folder):
     df = spark.range(1000).repartition(3)
-    parts = sinks.publish_csv(df, folder, "big", single_file_bytes=10)
+    parts = sinks.publish_csv(df, folder, "big", single=False)
     assert len(parts) == 3
     assert spark.read.option("header", True).csv(parts).count() == 1000
     zipped = sinks.publish_csv(df, folder, "one.csv.gz", compression="gzip", delimiter="|")
@@ -182,13 +181,23 @@ def test_copy_tables(spark, folder):
     assert spark.read.parquet(f"{folder}/backup/a").count() == 100
 
 
-def test_broadcast_only_below_the_limit(spark, folder):
-    spark.range(200000).selectExpr("id", "uuid() AS text").write.parquet(f"{folder}/big")
-    big = spark.read.parquet(f"{folder}/big").groupBy("id").agg(F.max("text").alias("text"))
-    assert measured(big)[1] > 200000 * 36
-    small_limit = broadcast_if_fits(big, 1000)
-    plan = spark.range(10).join(small_limit, "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" not in plan
-    few = big.where("id < 10")
-    hinted = spark.range(10).join(broadcast_if_fits(few, 100000), "id")._jdf.queryExecution().optimizedPlan().toString()
-    assert "broadcast" in hinted
+def test_publishing_changes_its_form_in_both_directions(spark, folder):
+    df = spark.range(100).repartition(2)
+    for single, rows in ((False, 100), (True, 7), (True, 9), (False, 60), (True, 5)):
+        found = sinks.publish_csv(df.limit(rows) if rows < 100 else df, folder, "t.csv", single=single)
+        assert spark.read.option("header", True).csv(found).count() == rows
+        assert [p.name for p in Path(folder).iterdir() if not p.name.endswith(".crc")] == ["t.csv"]
+
+
+def test_compaction_keeps_the_order_of_rows(spark, folder):
+    spark.range(0, 40000, 1, 16).write.parquet(f"{folder}/many")
+    layout.compact(spark, f"{folder}/many", f"{folder}/few", layout.folder_bytes(spark, f"{folder}/many") // 4)
+    spans = spark.read.parquet(f"{folder}/few").groupBy(F.col("_metadata.file_path")).agg(F.min("id"), F.max("id"), F.count("*")).collect()
+    assert 3 <= len(spans) <= 5 and all(hi - lo + 1 == n for _, lo, hi, n in spans)
+
+
+def test_text_is_clustered_by_whole_values(spark):
+    df = spark.range(20000).selectExpr("concat('Customer#', lpad(id, 9, '0')) AS name", "id")
+    cells = layout.with_zorder_key(df, ["name"], 6).groupBy("_z").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n"))
+    found = cells.orderBy("_z").collect()
+    assert len(found) == 64 and all(r.b - r.a + 1 == r.n for r in found)

@@ -122,3 +122,28 @@ def test_unknown_action_is_refused():
     with pytest.raises(ValueError):
         Rule("x", "true", "explode")
     assert Rule("x", "true").action == WARN
+
+
+@pytest.mark.parametrize("later", ["where", "drop", "join", "semi"])
+def test_fail_rule_holds_behind_later_steps(spark, folder, later):
+    spark.createDataFrame([(1, "a")], "id long, d string").write.parquet(f"{folder}/in")
+    spark.createDataFrame([(None, "b"), (2, "b")], "id long, d string").coalesce(1).write.mode("append").parquet(f"{folder}/in")
+    kept = q.expect(spark.read.parquet(f"{folder}/in"), [Rule("has_id", "id IS NOT NULL", FAIL)])
+    other = spark.createDataFrame([("a",)], "d string")
+    step = {
+        "where": lambda: kept.where("d = 'a'"),
+        "drop": lambda: q.expect(kept, [Rule("only_a", "d = 'a'", DROP)]),
+        "join": lambda: kept.join(other, "d"),
+        "semi": lambda: kept.where("id = 1").join(other, "d", "left_semi"),
+    }[later]()
+    with pytest.raises(Exception, match="has_id"):
+        step.write.parquet(f"{folder}/out")
+
+
+def test_fail_rule_on_a_stream(spark, folder):
+    spark.createDataFrame([(1, "a"), (None, "b")], "id long, d string").write.parquet(f"{folder}/in")
+    rows = spark.readStream.schema("id long, d string").parquet(f"{folder}/in")
+    kept = q.expect(rows, [Rule("has_id", "id IS NOT NULL", FAIL)]).where("d = 'a'")
+    query = kept.writeStream.format("parquet").option("checkpointLocation", f"{folder}/c").trigger(availableNow=True).start(f"{folder}/out")
+    with pytest.raises(Exception, match="has_id"):
+        query.awaitTermination()
