@@ -13,6 +13,7 @@ from silverlode.session import new_folder
 from silverlode.sources.files import read_change_feed, stream_table
 from silverlode.sources.storage import Snapshots
 from silverlode.streaming import changes as streams
+from silverlode.streaming import history
 from silverlode.streaming.writers import append_stream
 
 KEYS, SEQ, DELETED = ["user_id"], "ts", "event_type = 'error'"
@@ -154,6 +155,17 @@ def cdc_scd2(spark: SparkSession, folder: str) -> DataFrame:
     return cdc.apply_changes_scd2(_events(spark, folder), KEYS, SEQ, DELETED, ["event_id"])
 
 
+@check(SCD2)
+def cdc_scd2_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """The history kept by a stream: five batches out of order, each touching only its own users."""
+    root = new_folder(spark, "scd2")
+    _events(spark, folder).repartition(5, "event_id").write.parquet(f"{root}/in")
+    source = spark.read.parquet(f"{root}/in")
+    rows = spark.readStream.schema(source.schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+    history.scd2_stream(rows, KEYS, SEQ, f"{root}/table", f"{root}/_checkpoint", DELETED, ["event_id"], 8)
+    return history.scd2_table(spark, f"{root}/table", KEYS)
+
+
 @check(SCD2)
 def cdc_scd2_sliced(spark: SparkSession, folder: str) -> DataFrame:
     """The plan for heavy keys, forced: every user with over 1/500 of the rows is cut into ranges."""
@@ -212,6 +224,25 @@ def cdc_propagate(spark: SparkSession, folder: str) -> DataFrame:
     return cdc.propagate_changes(before, feed, KEYS, {"props": "regexp_replace(props, '\"', '')"})
 
 
+@check(
+    f"""SELECT event_id, ts, user_id, event_type, value, regexp_replace(props, '"', '', 'g') AS props FROM ({scd1()}) s"""
+)
+def cdc_propagate_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Feeds of three versions of the users replayed by a stream, one version a batch, without rewriting the target."""
+    root = new_folder(spark, "propagate")
+    events = _events(spark, folder)
+    before = events.limit(0)
+    for version, until in enumerate((MIDDLE, CUT, "9999-01-01 00:00:00"), 1):
+        after = cdc.apply_changes_scd1(events.where(F.col(SEQ) < F.lit(until).cast("timestamp")), KEYS, SEQ, DELETED, ["event_id"])
+        cdc.snapshot_diff(before, after, KEYS, version).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+        before = after
+    schema = spark.read.parquet(f"{root}/feed").schema
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/feed")
+    clean = {"props": "regexp_replace(props, '\"', '')"}
+    streams.propagate_log_stream(feed, KEYS, f"{root}/log", f"{root}/_checkpoint", clean)
+    return streams.propagated_table(spark, f"{root}/log", KEYS)
+
+
 @check(FEED)
 def change_feed_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The feed written as version 7 and read back as a stream from version 7 on."""

@@ -13,6 +13,7 @@ from silverlode.operators.joins import enrich
 from silverlode.operators.project import type_columns, with_audit
 from silverlode.operators.quality import DROP, FAIL, WARN, Rule
 from silverlode.sources.files import ingest_files, stream_table
+from silverlode.streaming.history import add_scd2_batch, scd2_table
 from silverlode.streaming.writers import append_stream, each_batch, write_batch
 
 # Column types, rules and names of the customer and channel feeds.
@@ -93,6 +94,10 @@ class Layers:
     def silver(self) -> str:
         return f"{self.root}/silver_changes"
 
+    @property
+    def history(self) -> str:
+        return f"{self.root}/silver_history"
+
     @property
     def quarantine(self) -> str:
         return f"{self.root}/quarantine"
@@ -119,6 +124,8 @@ def load_new_files(spark: SparkSession, landing: str, channels: DataFrame, root:
     def judge(batch: DataFrame, batch_id: int) -> None:
         clean, seen = cleansed(batch, channels), Observation()
         write_batch(silver_changes(quality.observe(clean, JUDGED, seen)), layers.silver, batch_id)
+        written = batch.sparkSession.read.parquet(f"{layers.silver}/batch_id={batch_id}")
+        add_scd2_batch(written, batch_id, layers.history, KEYS, SEQUENCE, DELETED)
         write_batch(quarantine(clean), layers.quarantine, batch_id)
         counted = quality.observed_metrics(seen.get, JUDGED, "customers")
         write_batch(batch.sparkSession.createDataFrame(counted, quality.METRICS_SCHEMA), layers.metrics, batch_id)
@@ -128,4 +135,5 @@ def load_new_files(spark: SparkSession, landing: str, channels: DataFrame, root:
 
 
 def silver_history(spark: SparkSession, layers: Layers) -> DataFrame:
-    return history(spark.read.parquet(layers.silver).drop("batch_id"))
+    """The stored history: every batch has brought its own customers up to date."""
+    return scd2_table(spark, layers.history, KEYS)

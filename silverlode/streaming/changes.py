@@ -175,3 +175,30 @@ def propagate_stream(
         table.write(cdc.propagate_changes(before, batch, keys, clean), version)
 
     return each_batch(feed, apply, checkpoint, every)
+
+
+def propagate_log_stream(
+    feed: DataFrame,
+    keys: Sequence[str],
+    folder: str,
+    checkpoint: str,
+    clean: Mapping[str, str] | None = None,
+    every: str | None = None,
+) -> StreamingQuery:
+    """Replay a streamed change feed as a log: each batch appends its newest change per key, cleaned; nothing is rewritten.
+
+    The form for large targets; ``propagated_table`` reads it.
+    """
+    keys = list(keys)
+
+    def add(batch: DataFrame, batch_id: int) -> None:
+        newest = cdc.latest_feed_rows(batch, keys)
+        write_batch(newest.withColumns({name: F.expr(text) for name, text in (clean or {}).items()}), folder, batch_id)
+
+    return each_batch(feed, add, checkpoint, every)
+
+
+def propagated_table(spark: SparkSession, folder: str, keys: Sequence[str]) -> DataFrame:
+    """Current rows of a propagation log: a key's newest change by commit version."""
+    newest = cdc.latest_feed_rows(spark.read.parquet(folder).drop(VERSION), keys)
+    return newest.where(F.col(cdc.CHANGE_TYPE) != "delete").drop(cdc.CHANGE_TYPE, cdc.COMMIT_VERSION)

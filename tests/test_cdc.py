@@ -215,3 +215,29 @@ def test_streams_equal_batch_and_survive_reruns(spark, folder):
     streams.propagate_stream(feed, f"{folder}/gold", f"{folder}/c4", "k int, v string", ["k"], {"v": "upper(v)"})
     assert table(Snapshots(spark, f"{folder}/gold").read()) == [(1, "LATE"), (2, "LATE"), (3, "D")]
     assert read_change_feed(spark, f"{folder}/feed", 4).select("k").distinct().count() == 1
+
+
+def test_scd2_batches_in_any_order_with_replays_and_odd_rows(spark, folder):
+    from itertools import permutations
+
+    from silverlode.streaming.history import add_scd2_batch, compact_scd2, scd2_table
+
+    kind = "k long, seq long, v string, gone boolean"
+    batches = [
+        [(1, 10, "a", False), (2, 5, "x", False), (None, 1, "n", False)],
+        [(1, 30, "c", True), (3, None, "n", False)],
+        [(1, 20, "b", False), (2, 5, "x", False), (4, 1, "q", True)],
+    ]
+    for n, order in enumerate(permutations(range(3))):
+        root = f"{folder}/{n}"
+        for batch_id, k in enumerate(order):
+            for _ in range(2 if batch_id == 1 else 1):  # a replay
+                add_scd2_batch(spark.createDataFrame(batches[k], kind), batch_id, root, ["k"], "seq", "gone", buckets=4)
+        want = [(1, "a", 10, 20), (1, "b", 20, 30), (2, "x", 5, None)]
+        got = sorted((r.k, r.v, r.start_at, r.end_at) for r in scd2_table(spark, root, ["k"]).collect())
+        assert got == want
+        assert spark.read.parquet(f"{root}/quarantine").count() == 2
+    compact_scd2(spark, root, f"{folder}/compact", ["k"], 2)
+    add_scd2_batch(spark.createDataFrame([(1, 15, "m", False)], kind), 3, f"{folder}/compact", ["k"], "seq", "gone", buckets=4)
+    got = sorted((r.k, r.v, r.start_at, r.end_at) for r in scd2_table(spark, f"{folder}/compact", ["k"]).collect())
+    assert got == [(1, "a", 10, 15), (1, "b", 20, 30), (1, "m", 15, 20), (2, "x", 5, None)]
