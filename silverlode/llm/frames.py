@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from silverlode.session import new_folder
 
@@ -19,7 +18,6 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(folder)
 
 
-def text_key(text: str = "text"):
-    """128 bits that stand for a text; null counts as empty."""
-    value = F.coalesce(F.col(text), F.lit(""))
-    return F.md5(value.cast("binary"))
+def small_batches(spark: SparkSession, rows: int = 1024) -> None:
+    """Let Spark hand at most ``rows`` rows at a time to Python: rows hold whole texts, and both sides keep a batch in memory."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.llm import flat_graph, hilbert, lm_scoring, mixing, order_minhash, packing, paragraphs, quality, rans, suffixes
-from silverlode.llm.frames import table
+from silverlode.llm.frames import small_batches, table
 from silverlode.session import new_folder
 
 QUERIES = {}
@@ -15,7 +15,11 @@ ORACLE: dict[str, str] = {}
 
 
 def query(function):
-    QUERIES[function.__name__] = function
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return function(spark, sf_dir)
+
+    QUERIES[function.__name__] = run
     return function
 
 

@@ -37,7 +37,7 @@ _open: dict[str, Encoder] = {}
 class Encoder:
     """Encode byte buffers; ``room`` bounds the stretches kept."""
 
-    def __init__(self, path: str, room: int = 3_000_000) -> None:
+    def __init__(self, path: str, room: int = 2_000_000) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
