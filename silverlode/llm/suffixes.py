@@ -144,13 +144,15 @@ def _sorted(nodes: DataFrame) -> tuple[DataFrame, DataFrame]:
     """
     place = F.struct("key", "anchor", "first", "last")
     digits = nodes.groupBy("digit").agg(F.min(F.xxhash64("key", "anchor")).alias("lo"), F.max(F.xxhash64("key", "anchor")).alias("hi"))
-    repeated = stored(nodes.join(digits.where("lo <> hi").select("digit"), "digit", "left_semi"), "digits")
+    # Written first, so that Spark can split the partition of a common digit when it joins.
+    several = stored(digits.where("lo <> hi").select("digit"), "digits")
+    repeated = stored(nodes.join(several, "digit", "left_semi"), "repeated")
     contents = repeated.groupBy("digit", "rest").agg(F.min(place).alias("one"), F.max(place).alias("other"))
     contents = stored(contents, "contents")
     equal = contents.where("one <> other").select("digit", "rest")
     found = repeated.join(equal, ["digit", "rest"], "left_semi").select("key", "first", "last")
-    several = contents.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select("digit")
-    return found, contents.join(several, "digit", "left_semi").select("one.*")
+    mixed = stored(contents.groupBy("digit").agg(F.count("*").alias("n")).where("n > 1").select("digit"), "mixed")
+    return found, contents.join(mixed, "digit", "left_semi").select("one.*")
 
 
 def spans(first: np.ndarray, last: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray]:
