@@ -168,10 +168,20 @@ def cdc_scd2_stream(spark: SparkSession, folder: str) -> DataFrame:
 
 @check(SCD2)
 def cdc_scd2_sliced(spark: SparkSession, folder: str) -> DataFrame:
-    """The plan for heavy keys, forced: every user with over 1/500 of the rows is cut into ranges."""
-    return cdc.apply_changes_scd2(
-        _events(spark, folder), KEYS, SEQ, DELETED, ["event_id"], share=1 / 500, check_above=0, min_rows=0
-    )
+    """The plan for hot keys: every user with over 1/500 of the rows is cut into ranges."""
+    return cdc.apply_changes_scd2(_events(spark, folder), KEYS, SEQ, DELETED, ["event_id"], hot_keys=True, share=1 / 500)
+
+
+@check(
+    """SELECT l_linenumber, stamp, n, lead(stamp) OVER (PARTITION BY l_linenumber ORDER BY stamp) AS end_at FROM (
+        SELECT l_linenumber, CAST(CAST(l_shipdate AS DATE) AS VARCHAR) AS stamp, count(*) AS n FROM lineitem GROUP BY 1, 2) z"""
+)
+def cdc_scd2_hot_text(spark: SparkSession, folder: str) -> DataFrame:
+    """Seven keys hold all rows and their sequence is text; equal changes are one version with the number of its copies."""
+    lines = table(spark, folder, "lineitem").select("l_linenumber", F.date_format("l_shipdate", "yyyy-MM-dd").alias("stamp"))
+    versions = cdc.apply_changes_scd2(lines, ["l_linenumber"], "stamp", hot_keys=True)
+    copies = lines.groupBy("l_linenumber", "stamp").agg(F.count("*").alias("n"))
+    return versions.join(copies, ["l_linenumber", "stamp"]).select("l_linenumber", "stamp", "n", "end_at")
 
 
 @check(SCD2)

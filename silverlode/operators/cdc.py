@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.operators.skew import CHECK_ABOVE_BYTES, KEY_HASH, MIN_ROWS, SHARE, SLICE, Slices, add_slices
+from silverlode.operators.skew import KEY_HASH, SHARE, SLICE, Slices, add_slices
 
 CHANGE_TYPE = "change_type"
 COMMIT_VERSION = "commit_version"
@@ -94,18 +94,19 @@ def apply_changes_scd2(
     delete_when: str | None = None,
     tiebreak: Sequence[str] = (),
     except_columns: Sequence[str] = (),
+    hot_keys: bool = False,
     share: float = SHARE,
-    check_above: int = CHECK_ABOVE_BYTES,
-    min_rows: int = MIN_ROWS,
 ) -> DataFrame:
     """One row per version with ``start_at`` (inclusive) and ``end_at`` (exclusive, NULL = open).
 
     A delete closes the version before it and makes no row. The whole history is one
-    shuffle and one sort by key. Keys heavy enough to overload a task are combined map-side
-    and cut into ranges of the sequence first.
+    shuffle and one sort by key. With ``hot_keys``, at any size, keys with more than ``share`` of all
+    rows are combined map-side and cut into ranges of the sequence first, which takes two more
+    passes: the caller's choice for a log in which single keys may hold much of it.
     """
     keys = list(keys)
-    slices = add_slices(usable(changes, keys, seq), keys, seq, share, check_above, min_rows)
+    rows = usable(changes, keys, seq)
+    slices = add_slices(rows, keys, seq, share) if hot_keys else Slices(rows.withColumn(SLICE, F.lit(0)))
     ranked = _rank_columns(changes, keys, seq, tiebreak)
     rows = _combine_copies(slices, keys, ranked) if slices.copies else slices.rows
     in_order = Window.partitionBy(*keys, SLICE).orderBy(*ranked)
@@ -159,6 +160,7 @@ def refresh_scd2(
     delete_when: str | None = None,
     tiebreak: Sequence[str] = (),
     except_columns: Sequence[str] = (),
+    hot_keys: bool = False,
 ) -> DataFrame:
     """Bring an SCD2 history up to date after ``batch`` was appended to ``log``.
 
@@ -167,7 +169,7 @@ def refresh_scd2(
     keys = list(keys)
     touched = usable(batch, keys, seq).select(*keys).distinct()
     again = log.join(touched, keys, "left_semi")
-    fresh = apply_changes_scd2(again, keys, seq, delete_when, tiebreak, except_columns)
+    fresh = apply_changes_scd2(again, keys, seq, delete_when, tiebreak, except_columns, hot_keys)
     return history.join(touched, keys, "left_anti").unionByName(fresh)
 
 

@@ -14,23 +14,19 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from silverlode.operators.sizing import input_bytes
-
 SLICE = "_slice"
 KEY_HASH = "_hash"
 # A key is heavy when it holds more than this share of the rows. At most 1 / SHARE keys
 # can be heavy and the slices of all of them number at most 2 / SHARE, whatever the data.
 SHARE = 1 / 1000
-# Inputs below this estimate fit one task even if a single key owns every row.
-CHECK_ABOVE_BYTES = 2 << 30
-# A key below this many rows is no burden for one task, whatever its share.
-MIN_ROWS = 10_000_000
+# Values of heavy keys from which the bounds of a text sequence are taken.
+SAMPLED_TEXTS = 65536
 # Entries of the frequency sketch; every item above 1/3000 of the rows is sure to be found.
 SKETCH_ITEMS = 8192
 
 PER_MILLE = f"array({', '.join(str(i / 1000) for i in range(1, 1000))})"
 
-_SLICEABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType)
+_SLICEABLE = (T.NumericType, T.DateType, T.TimestampType, T.TimestampNTZType, T.StringType)
 
 
 @dataclass(frozen=True)
@@ -46,9 +42,7 @@ class Slices:
         return F.col(KEY_HASH).isin(self.heavy)
 
 
-def heavy_keys(
-    df: DataFrame, keys: list[str], share: float = SHARE, min_rows: int = MIN_ROWS
-) -> tuple[int, dict[int, int]]:
+def heavy_keys(df: DataFrame, keys: list[str], share: float = SHARE) -> tuple[int, dict[int, int]]:
     """(row count, hash -> rows of each heavy key) from one mergeable sketch; no shuffle by key."""
     found = df.agg(
         F.count(F.lit(1)).alias("rows"),
@@ -56,27 +50,30 @@ def heavy_keys(
             f"approx_top_k(xxhash64({', '.join(f'`{k}`' for k in keys)}), {int(1 / share)}, {SKETCH_ITEMS})"
         ).alias("top"),
     ).first()
-    floor = max(share * found["rows"], min_rows)
+    floor = share * found["rows"]
     return found["rows"], {t["item"]: t["count"] for t in found["top"] or [] if t["count"] > floor}
 
 
-def add_slices(
-    df: DataFrame,
-    keys: list[str],
-    order: str,
-    share: float = SHARE,
-    check_above: int = CHECK_ABOVE_BYTES,
-    min_rows: int = MIN_ROWS,
-) -> Slices:
+def _text_quantiles(hashed: DataFrame, order: str) -> dict[int, list[str]]:
+    """999 quantiles of a text sequence for each heavy key, from a bounded sample drawn by hash; only bounds depend on it."""
+    drawn = hashed.select(KEY_HASH, order, F.xxhash64(order, F.monotonically_increasing_id()).alias("_h"))
+    found: dict[int, list[str]] = {}
+    for row in drawn.orderBy("_h").limit(SAMPLED_TEXTS).collect():
+        found.setdefault(row[0], []).append(row[1])
+    # Spark compares texts by their UTF-8 bytes.
+    return {k: [v[len(v) * i // 1000] for i in range(1, 1000)] for k, own in found.items() if (v := sorted(own, key=lambda t: t.encode()))}
+
+
+def add_slices(df: DataFrame, keys: list[str], order: str, share: float = SHARE) -> Slices:
     """Number the rows of a heavy key by range of ``order``; all other rows get slice 0.
 
-    Equal (key, order) rows always share a slice. Only numbers, dates and timestamps are cut; a
+    Equal (key, order) rows always share a slice. Numbers, dates, timestamps and texts are cut; a
     key ordered by another type stays in one task.
     """
     flat = Slices(df.withColumn(SLICE, F.lit(0)))
-    if not isinstance(df.schema[order].dataType, _SLICEABLE) or input_bytes(df) < check_above:
+    if not isinstance(df.schema[order].dataType, _SLICEABLE):
         return flat
-    total, heavy = heavy_keys(df, keys, share, min_rows)
+    total, heavy = heavy_keys(df, keys, share)
     if not heavy:
         return flat
 
@@ -84,11 +81,14 @@ def add_slices(
     wanted = {item: min(max(ceil(rows / (share * total)), 2), most) for item, rows in heavy.items()}
     hashed = df.withColumn(KEY_HASH, F.xxhash64(*keys))
     # One row per heavy key: at most 1 / share rows, each with at most 1 / share cuts.
+    own = hashed.where(F.col(KEY_HASH).isin(list(heavy)))
+    is_text = isinstance(df.schema[order].dataType, T.StringType)
+    texts = _text_quantiles(own, order) if is_text else {}
+    quantiles = F.lit(None) if is_text else F.expr(f"percentile_approx(`{order}`, {PER_MILLE}, 10000)")
     found = (
-        hashed.where(F.col(KEY_HASH).isin(list(heavy)))
-        .groupBy(KEY_HASH)
+        own.groupBy(KEY_HASH)
         .agg(
-            F.expr(f"percentile_approx(`{order}`, {PER_MILLE}, 10000)").alias("quantiles"),
+            quantiles.alias("quantiles"),
             F.expr(f"coalesce(get(approx_top_k(xxhash64(`{order}`), 1, {SKETCH_ITEMS}), 0).count, 0)").alias("copies"),
         )
         .collect()
@@ -97,7 +97,8 @@ def add_slices(
     bounds = []
     for row in found:
         pieces = wanted[row[KEY_HASH]]
-        bounds.append((row[KEY_HASH], [row["quantiles"][i * 999 // pieces] for i in range(1, pieces)]))
+        cuts = texts.get(row[KEY_HASH], []) if is_text else row["quantiles"]
+        bounds.append((row[KEY_HASH], [cuts[i * 999 // pieces] for i in range(1, pieces)] if cuts else []))
     kind = df.schema[order].dataType.simpleString()
     # Sorted by Spark's own order of the type, on which the counting below relies.
     cut_points = (
@@ -113,5 +114,5 @@ def add_slices(
         .withColumn(SLICE, F.when(F.col("_cuts").isNull(), F.lit(0)).otherwise(coarse + fine))
         .drop("_cuts", "_coarse")
     )
-    crowded = max(row["copies"] for row in found) > max(share * total, min_rows)
+    crowded = max(row["copies"] for row in found) > share * total
     return Slices(numbered, list(heavy), crowded)

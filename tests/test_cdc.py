@@ -124,7 +124,7 @@ def test_scd_forms_agree(spark, rows, random):
     want = brute_scd2(rows)
     plain = cdc.apply_changes_scd2(changes, ["k"], "seq", "gone")
     assert table(plain, "k", "v", "start_at", "end_at") == want
-    sliced = cdc.apply_changes_scd2(changes, ["k"], "seq", "gone", share=0.1, check_above=0, min_rows=0)
+    sliced = cdc.apply_changes_scd2(changes, ["k"], "seq", "gone", hot_keys=True, share=0.1)
     assert table(sliced, "k", "v", "start_at", "end_at") == want
     current = [(k, v) for k, v, _, end in want if end is None]
     assert table(cdc.apply_changes_scd1(changes, ["k"], "seq", "gone"), "k", "v") == current
@@ -154,10 +154,10 @@ def test_one_key_with_most_rows(spark):
     )
     twice = rows.unionByName(rows)
     plain = cdc.apply_changes_scd2(twice, ["k"], "seq")
-    sliced = cdc.apply_changes_scd2(twice, ["k"], "seq", share=0.01, check_above=0, min_rows=0)
+    sliced = cdc.apply_changes_scd2(twice, ["k"], "seq", hot_keys=True, share=0.01)
     assert plain.count() == sliced.count() == 40000
     assert plain.exceptAll(sliced).count() == 0
-    slices = add_slices(rows, ["k"], "seq", 0.01, 0, 0)
+    slices = add_slices(rows, ["k"], "seq", 0.01)
     assert len(slices.heavy) == 1 and not slices.copies
     sizes = [r["count"] for r in slices.rows.where("k = -1").groupBy("_slice").count().collect()]
     assert len(sizes) > 50 and max(sizes) < 3 * 26667 / len(sizes)
@@ -166,9 +166,9 @@ def test_one_key_with_most_rows(spark):
 def test_one_pair_with_most_rows(spark):
     """Re-delivered copies of one change, a third of all rows, are combined before they meet."""
     rows = spark.range(9000).selectExpr("IF(id % 2 = 0, -1, id) AS k", "IF(id % 3 = 0, 0, id) AS seq", "'v' AS v")
-    assert add_slices(rows, ["k"], "seq", 0.01, 0, 0).copies
+    assert add_slices(rows, ["k"], "seq", 0.01).copies
     plain = cdc.apply_changes_scd2(rows, ["k"], "seq")
-    sliced = cdc.apply_changes_scd2(rows, ["k"], "seq", share=0.01, check_above=0, min_rows=0)
+    sliced = cdc.apply_changes_scd2(rows, ["k"], "seq", hot_keys=True, share=0.01)
     assert table(plain) == table(sliced) and plain.where("k = -1 AND seq = 0").count() == 1
 
 
