@@ -157,6 +157,58 @@ def publish_csv(spark: SparkSession, folder: str) -> DataFrame:
     return type_columns(read, {"o_orderkey": "long", "o_custkey": "long", "o_totalprice": "double"})
 
 
+@check(
+    """SELECT event_id, ts, user_id, event_type, CASE WHEN event_id % 50 <> 0 THEN value END AS value, props,
+        CASE WHEN event_id % 50 = 0 THEN '{"value":"n/a"}' WHEN event_id % 50 = 1 THEN '{"extra":"e' || event_id || '"}' END AS rescued
+    FROM events WHERE event_id % 50 <> 2
+    UNION ALL SELECT NULL, NULL, NULL, NULL, NULL, NULL, '{"event_id": ' || event_id FROM events WHERE event_id % 50 = 2"""
+)
+def ingest_json_rescued(spark: SparkSession, folder: str) -> DataFrame:
+    """All events as JSON with wrong types, unknown columns and broken lines among them, streamed in several batches."""
+    root = new_folder(spark, "rescued")
+    events = table(spark, folder, "events")
+    kinds = {f.name: f.dataType.simpleString() for f in events.schema.fields}
+    text = {"ts": F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")}
+    plain = [text.get(c, F.col(c)).alias(c) for c in kinds]
+    wrong = [F.lit("n/a").alias(c) if c == "value" else text.get(c, F.col(c)).alias(c) for c in kinds]
+    form = F.col("event_id") % 50
+    line = (
+        F.when(form == 0, F.to_json(F.struct(*wrong)))
+        .when(form == 1, F.to_json(F.struct(*plain, F.concat(F.lit("e"), "event_id").alias("extra"))))
+        .when(form == 2, F.concat(F.lit('{"event_id": '), "event_id"))
+        .otherwise(F.to_json(F.struct(*plain)))
+    )
+    events.repartition(4, "event_id").select(line.alias("value")).write.text(f"{root}/in")
+    schema = ", ".join(f"{c} {k}" for c, k in kinds.items())
+    rows = files.ingest_json_rescued(spark, f"{root}/in", schema, "rescued", max_files_per_batch=1)
+    append_stream(rows, f"{root}/out", f"{root}/checkpoint")
+    return spark.read.parquet(f"{root}/out")
+
+
+@check(
+    """SELECT o_orderkey, o_custkey, CASE WHEN o_orderkey % 40 <> 0 THEN o_totalprice END AS o_totalprice, o_orderdate,
+        o_orderkey % 40 = 0 AS rejected FROM orders"""
+)
+def ingest_csv_stream_rejects(spark: SparkSession, folder: str) -> DataFrame:
+    """Orders with their dates as CSV; rows with a price that is no number are kept with their text, batch by batch."""
+    root = new_folder(spark, "rejects")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate")
+    price = F.when(F.col("o_orderkey") % 40 == 0, F.lit("unknown")).otherwise(F.col("o_totalprice").cast("string"))
+    stamp = F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss.SSSSSS")
+    dirty = orders.repartition(4, "o_orderkey").withColumns({"o_totalprice": price, "o_orderdate": stamp})
+    dirty.write.option("header", True).csv(f"{root}/in")
+    schema = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in orders.schema.fields)
+
+    def both(batch: DataFrame, batch_id: int) -> None:
+        whole = batch.withColumn("rejected", F.col(files.CORRUPT).isNotNull())
+        write_batch(whole, f"{root}/out", batch_id)
+
+    each_batch(files.ingest_csv_with_rejects(spark, f"{root}/in", schema, max_files_per_batch=1), both, f"{root}/checkpoint")
+    written = spark.read.parquet(f"{root}/out")
+    good, rejects = files.without_rejects(written)
+    return good.drop("batch_id").unionByName(rejects.drop("batch_id", files.CORRUPT))
+
+
 @check(
     """SELECT 'event_id' AS name, count(*) AS n FROM events UNION ALL SELECT 'old', count(*) FROM events WHERE event_id % 50 = 0
     UNION ALL SELECT 'value', count(value) FROM events"""

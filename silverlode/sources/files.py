@@ -115,6 +115,56 @@ def read_csv_checked(
     return rows.where(F.col(CORRUPT).isNull() & parsed).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull() & parsed)
 
 
+def ingest_csv_with_rejects(
+    spark: SparkSession,
+    path: str,
+    schema: str,
+    options: Mapping[str, str] | None = None,
+    max_files_per_batch: int | None = None,
+) -> DataFrame:
+    """Streaming CSV with the text of every malformed row, wrong types included, in ``_corrupt_record``.
+
+    Write it whole, or take both sides in each batch with ``without_rejects``; no value is lost unseen.
+    """
+    checked = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT, **dict(options or {})}
+    return ingest_files(
+        spark, path, f"{schema}, {CORRUPT} string", "csv", checked, lineage=None, max_files_per_batch=max_files_per_batch
+    )
+
+
+def without_rejects(rows: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(good, rejects) of rows read with their rejects."""
+    return rows.where(F.col(CORRUPT).isNull()).drop(CORRUPT), rows.where(F.col(CORRUPT).isNotNull())
+
+
+def ingest_json_rescued(
+    spark: SparkSession,
+    path: str,
+    schema: str | T.StructType,
+    rescued: str = "_rescued",
+    stream: bool = True,
+    max_files_per_batch: int | None = None,
+) -> DataFrame:
+    """JSON lines in a fixed schema, with what does not fit it kept in one text column.
+
+    ``rescued`` holds as a JSON object the columns outside the schema and the values that are not of
+    their column's type (NULL there), or the whole line where it is no JSON object; otherwise it is NULL.
+    """
+    if isinstance(schema, str):
+        schema = T.StructType.fromDDL(schema)
+    reader = spark.readStream if stream else spark.read
+    if stream and max_files_per_batch:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_batch))
+    lines = reader.text(path).where(F.trim("value") != "")
+    parsed = lines.withColumns({"_typed": F.from_json("value", schema), "_raw": F.from_json("value", "map<string,string>")})
+    empty = F.map_from_arrays(
+        F.array(*[F.lit(n) for n in schema.names]), F.array(*[F.col(f"_typed.`{n}`").isNull() for n in schema.names])
+    )
+    left = F.map_filter("_raw", lambda k, v: v.isNotNull() & F.coalesce(F.element_at(empty, k), F.lit(True)))
+    kept = F.when(F.col("_raw").isNull(), F.col("value")).when(F.size(left) > 0, F.to_json(left))
+    return parsed.select(*[F.col(f"_typed.`{n}`").alias(n) for n in schema.names], kept.alias(rescued))
+
+
 def csv_view(spark: SparkSession, name: str, path: str, options: Mapping[str, str] | None = None) -> None:
     """A temporary view over CSV files."""
     spark.read.option("header", "true").options(**dict(options or {})).csv(path).createOrReplaceTempView(name)
