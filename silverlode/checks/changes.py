@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -327,6 +329,26 @@ def cdc_materialize(spark: SparkSession, folder: str) -> DataFrame:
     return cdc.apply_changes_scd1(view, KEYS, SEQ, DELETED, except_columns=["event_type"])
 
 
+@check(
+    f"""SELECT 0 AS version, count(*) AS n, TRUE AS found_by_time FROM ({scd1(f"ts < TIMESTAMP '{MIDDLE}'")}) a
+    UNION ALL SELECT 1, count(*), TRUE FROM ({scd1(f"ts < TIMESTAMP '{CUT}'")}) b UNION ALL SELECT 2, count(*), TRUE FROM ({scd1()}) c"""
+)
+def version_history(spark: SparkSession, folder: str) -> DataFrame:
+    """Three versions of the table listed by their commit times, and each read again by its own time."""
+    events = _events(spark, folder)
+    versions = Snapshots(spark, new_folder(spark, "history"))
+    for until in (MIDDLE, CUT, "9999-01-01 00:00:00"):
+        versions.write(_state(events.where(F.col(SEQ) < _at(until))))
+        time.sleep(0.01)  # commit times are told apart by the millisecond
+    listed = versions.history().select("version")
+    rows = None
+    for version, at in versions.committed_at().items():
+        same = versions.read_at(at).exceptAll(versions.read(version)).isEmpty()
+        own = versions.read_at(at).agg(F.lit(version).alias("version"), F.count("*").alias("n"), F.lit(same).alias("found_by_time"))
+        rows = own if rows is None else rows.unionByName(own)
+    return listed.join(rows, "version")
+
+
 @check(scd1(f"ts < TIMESTAMP '{CUT}'"))
 def version_as_of(spark: SparkSession, folder: str) -> DataFrame:
     """Two written versions of the table, the older one restored and read."""

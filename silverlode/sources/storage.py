@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import datetime, timezone
+
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -61,6 +63,29 @@ class Snapshots:
         found = [int(n.split("=")[1]) for n in names(self.spark, self.folder) if n.startswith("version=")]
         return sorted(v for v in found if exists(self.spark, f"{self.path(v)}/_SUCCESS"))
 
+    def committed_at(self) -> dict[int, datetime]:
+        """When each version was committed (UTC): the time of its ``_SUCCESS`` file."""
+        found = {}
+        for version in self.versions():
+            system, location = _at(self.spark, f"{self.path(version)}/_SUCCESS")
+            millis = system.getFileStatus(location).getModificationTime()
+            found[version] = datetime.fromtimestamp(millis / 1000, timezone.utc)
+        return found
+
+    def history(self) -> DataFrame:
+        """(version, committed_at), one row for each version that is still there."""
+        rows = [(v, at) for v, at in self.committed_at().items()]
+        return self.spark.createDataFrame(rows, "version int, committed_at timestamp")
+
+    def read_at(self, when: datetime) -> DataFrame:
+        """The table as it was committed at a time (TIMESTAMP AS OF): the newest version not later than that."""
+        if when.tzinfo is None:
+            when = when.replace(tzinfo=timezone.utc)
+        earlier = [v for v, at in self.committed_at().items() if at <= when]
+        if not earlier:
+            raise ValueError(f"no version of {self.folder} was committed by {when}")
+        return self.read(earlier[-1])
+
     def read(self, version: int | None = None) -> DataFrame:
         """The latest version, or the one asked for (VERSION AS OF)."""
         versions = self.versions()
