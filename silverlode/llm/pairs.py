@@ -1,8 +1,8 @@
 """Links between texts that share a bucket: a star round, then tiles of bounded size.
 
-A first round compares each bucket's members with its best connected member; a second compares
-what is still apart in a bucket, in tiles of bounded size, by 256-fold MinHash bytes: every pair in two
-components whose estimate is within three standard errors of the threshold or above is a candidate. Texts of
+A first round compares each bucket's members with its best connected member. What is still apart in
+a bucket is compared in tiles of bounded size, first in one bucket for each key and then in all buckets that still
+hold two components, by 256-fold MinHash bytes: every pair in two components whose estimate is within three standard errors of the threshold or above is a candidate. Texts of
 at most 256 k-mers bring them along, so a tile compares such candidates itself and returns only pairs
 that join what it has not joined yet; other candidates are all returned. Every returned pair is verified from its
 texts. So no pair list grows with a group's square once its members hang together, and no candidate is dropped for
@@ -126,7 +126,10 @@ def _tiles(rows: DataFrame, similarity: Similarity, least: float) -> DataFrame:
 def _live(members: DataFrame, found: DataFrame) -> DataFrame:
     """Members of the buckets that still hold two components, with their component."""
     placed = members.join(found.withColumnRenamed("node", "key"), "key", "left")
-    placed = placed.select("bucket", "key", F.coalesce("component", "key").alias("component"))
+    return _open(placed.select("bucket", "key", F.coalesce("component", "key").alias("component")))
+
+
+def _open(placed: DataFrame) -> DataFrame:
     open_ = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y"), F.count("*").alias("n"))
     return placed.join(open_.where("x <> y").select("bucket", "n"), "bucket")
 
@@ -147,11 +150,23 @@ def near_links(
     star = members.join(best.select("bucket", F.col("best.key").alias("lead")), "bucket").where("key <> lead")
     pairs = star.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
     links = stored(verified(pairs, candidates, similarity, least), "links")
-    live = stored(_live(members.select("bucket", "key"), components(links)), "live")
+    members = members.select("bucket", "key")
+    live = stored(_live(members, components(links)), "live")
+    # One bucket a key first: its neighbours are mostly the same in all of its buckets.
+    own = live.groupBy("key").agg(F.max(F.struct("n", "bucket", "component")).alias("own")).select("own.bucket", "key", "own.component")
+    first = _compared(stored(_open(own), "own"), candidates, similarity, least)
+    links = stored(links.union(first), "links")
+    live = stored(_live(members, components(links)), "live")
+    return links.union(_compared(live, candidates, similarity, least))
+
+
+def _compared(live: DataFrame, candidates: DataFrame, similarity: Similarity, least: float) -> DataFrame:
+    """Verified links between components that share a bucket of ``live`` (bucket, key, component, n)."""
     signed = _signed(candidates.join(live.select("key").distinct(), "key", "left_semi"))
     slices = F.ceil(F.col("n") / TILE).cast("int")
     sliced = live.join(signed, "key").withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("key"), "slices").cast("int"))
     tiled = sliced.select("*", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("with"))
     tiled = tiled.withColumns({"i": F.least("slice", "with"), "j": F.greatest("slice", "with")})
-    more = _tiles(tiled.select("bucket", "i", "j", "slice", "key", "component", "signature", "grams"), similarity, least)
-    return links.union(stored(verified(stored(more, "pairs"), candidates, similarity, least), "links"))
+    columns = ("bucket", "i", "j", "slice", "key", "component", "signature", "grams")
+    more = stored(_tiles(tiled.select(*columns), similarity, least), "pairs")
+    return stored(verified(more, candidates, similarity, least), "links")
