@@ -59,7 +59,7 @@ def op6_order_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op8_paragraph_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
-    cut = paragraphs.remove_passages(table(spark, sf_dir, "documents"))
+    cut = paragraphs.remove_repeats(table(spark, sf_dir, "documents"))
     return cut.select("doc_id", "n_lines_removed", "n_bytes_removed", "text")
 
 

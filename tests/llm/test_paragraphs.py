@@ -88,3 +88,50 @@ def test_empty(spark):
 
 def test_bands():
     assert paragraphs.bands(0.8) == 6 and 1 - (1 - 0.8**2) ** 6 >= 0.995
+
+
+def test_passages_inside_lines_go(spark):
+    pick = random.Random(5)
+    word = lambda n: [f"w{pick.randrange(10**6)}" for _ in range(n)]
+    shared, other, own = word(60), word(49), [word(40) for _ in range(8)]
+    text = lambda *parts: " ".join(w for p in parts for w in p)
+    rows = [
+        (1, text(own[0], shared, own[1])),
+        (2, text(own[2], shared, own[3]) + "\nend"),
+        (3, text(own[4], shared[:30]).upper() + ",\n" + text(shared[30:], own[5])),  # laid out in other lines
+        (4, text(own[6], other)),
+        (5, text(other, own[7])),  # 49 words are too few
+        (6, "v " * 300),
+        (7, None),
+    ]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in paragraphs.remove_repeats(docs).collect()}
+    assert [got[k].text for k in (1, 4, 5, 7)] == [rows[k - 1][1] for k in (1, 4, 5, 7)]
+    assert got[2].text == text(own[2], own[3]) + "\nend"
+    assert got[3].text.split() == text(own[4]).upper().split() + own[5]
+    assert got[6].text.split() == ["v"] * 50
+    assert all(r.n_bytes_removed == len(rows[k - 1][1] or "") - len(r.text or "") for k, r in got.items())
+
+
+@pytest.mark.parametrize("seed", [2, 3])
+def test_runs_against_all_windows(spark, seed):
+    pick = random.Random(seed)
+    pool = [f"w{k}" for k in range(3000)]
+    rows = []
+    for k in range(30):
+        w = []
+        while len(w) < 200:
+            s = pick.randrange(2900)
+            w += pool[s : s + pick.randint(20, 100)]
+        rows.append((k, " ".join(w)))
+    seen, want = {}, {}
+    for k, t in rows:
+        w = t.split()
+        gone = set()
+        for p in range(len(w) - 49):
+            d, q = seen.setdefault(tuple(w[p : p + 50]), (k, p))
+            if (d, q) != (k, p):
+                gone.update(range(max(p, q + 50) if d == k else p, p + 50))
+        want[k] = [x for n, x in enumerate(w) if n not in gone]
+    got = paragraphs.remove_runs(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
+    assert {r.doc_id: r.text.split() for r in got} == want and sum(r.n_bytes_removed for r in got) > 500
