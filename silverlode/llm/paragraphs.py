@@ -1,7 +1,7 @@
 """Repeated passages by MinHash banding of paragraphs.
 
 A paragraph is a line. Paragraphs with the same words (case and punctuation aside) are one; those of
-20 words or more are also compared by their five-word shingles: bands tuned for a recall of
+five words or more are also compared by their five-word shingles: bands tuned for a recall of
 0.995 at a Jaccard similarity of 0.8 bring candidates together, their exact Jaccard similarity is
 computed, and links make components. Of all paragraphs of a component the first by (doc_id, text, place)
 stays and the others are marked; runs of marked paragraphs, with blank lines between them, that
@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from silverlode.llm.buffers import groups, mix, prefix, ragged, slices, text_buffer, words
 from silverlode.llm.frames import stored
 from silverlode.llm.links import components
-from silverlode.llm.pairs import SIMILARITY, kmers, near_links
+from silverlode.llm.pairs import SIMILARITY, WORDS, kmers, near_links
 
-SHINGLED_WORDS = 20
+SHINGLED_WORDS = WORDS
 PASSAGE_WORDS = 50
 GRAM_WORDS = 13
 ROWS, RECALL = 2, 0.995

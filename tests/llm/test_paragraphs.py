@@ -135,3 +135,14 @@ def test_runs_against_all_windows(spark, seed):
         want[k] = [x for n, x in enumerate(w) if n not in gone]
     got = paragraphs.remove_runs(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()
     assert {r.doc_id: r.text.split() for r in got} == want and sum(r.n_bytes_removed for r in got) > 500
+
+
+def test_short_wrapped_lines_with_changes_go(spark):
+    pick = random.Random(7)
+    wrapped = [[f"w{pick.randrange(10**6)}" for _ in range(19)] for _ in range(4)]
+    changed = [list(line) for line in wrapped]
+    changed[1][-1], changed[2][0] = "x", "y"
+    text = lambda lines: "\n".join(" ".join(line) for line in lines)
+    rows = [(1, text(wrapped)), (2, "start here\n" + text(changed) + "\nand end")]
+    got = {r.doc_id: r for r in paragraphs.remove_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got[1].text == rows[0][1] and got[2].text == "start here\nand end" and got[2].n_lines_removed == 4
