@@ -287,9 +287,9 @@ def remove_runs(docs: DataFrame, fewest: int = PASSAGE_WORDS, doc_id: str = "doc
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns if c != text])
     value = F.coalesce(F.col(text), F.lit(""))
     rows = docs.select(
-        row.alias("row"), F.col(text).alias("raw"), value.alias("text"), F.xxhash64(F.col(doc_id), value).alias("doc_key"), F.col(doc_id).alias("id")
+        row.alias("row"), F.col(text).alias("raw"), F.xxhash64(F.col(doc_id), value).alias("doc_key"), F.col(doc_id).alias("id")
     )
-    rows = stored(rows, "cut")
+    rows = stored(rows, "cut").withColumn("text", F.coalesce("raw", F.lit("")))
     anchors = stored(_anchors(rows, fewest), "anchors")
     several = anchors.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
     chosen = anchors.join(several, "gram").groupBy("doc_key").agg(F.collect_set("gram").alias("grams"))
