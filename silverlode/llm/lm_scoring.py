@@ -14,6 +14,10 @@ cells, so it is broadcast whatever the size of the corpus.
 Cases: null text counts as empty and has no tokens and losses of 0; a target of no documents has uniform
 losses; repeated ids in the target count once, repeated documents each time; an empty input gives an empty
 result; a null doc_id is scored and never in the target; other columns are not carried.
+
+``word_cross_entropy_difference``, which the query uses, does the same with words in place of bytes: one to three
+words of all documents are counted in Spark tables that grow with the corpus, over the shared vocabulary of all words, and each
+document's different trigrams are joined to the losses. A text without words has no tokens there.
 """
 
 from __future__ import annotations
@@ -22,10 +26,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.buffers import groups, text_buffer
+from silverlode.llm.buffers import groups, text_buffer, words
+from silverlode.llm.frames import stored
 
 SYMBOLS = 160
 WEIGHTS = (0.02, 0.08, 0.25, 0.65)  # of orders 0 to 3
@@ -123,3 +128,80 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str
     for name in ("target_loss", "background_loss", "difference"):
         schema = schema.add(name, "double")
     return rows.mapInArrow(run, schema)
+
+
+def word_trigrams(rows: DataFrame) -> DataFrame:
+    """(doc_key, wanted, a, b, z, n): the different word trigrams of each row; zeros stand before a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(2))
+            keys, wanted = np.array(batch.column(0)), np.array(batch.column(1).fill_null(False))
+            for i, j in groups(offsets):
+                hashed, _, _, row = words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                z = hashed.view(np.int64)
+                b, a = np.zeros_like(z), np.zeros_like(z)
+                b[1:], a[2:] = np.where(row[1:] == row[:-1], z[:-1], 0), np.where(row[2:] == row[:-2], z[:-2], 0)
+                order = np.lexsort((z, b, a, row))
+                row, a, b, z = row[order], a[order], b[order], z[order]
+                new = np.ones(len(z), bool)
+                new[1:] = (row[1:] != row[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (z[1:] != z[:-1])
+                first = np.flatnonzero(new)
+                number = np.diff(np.append(first, len(z))).astype(np.int64)
+                columns = (keys[i:j][row[first]], wanted[i:j][row[first]], a[first], b[first], z[first], number)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], ["doc_key", "wanted", "a", "b", "z", "n"])
+
+    kind = "doc_key bigint, wanted boolean, a bigint, b bigint, z bigint, n bigint"
+    return rows.select("doc_key", "wanted", "text").mapInArrow(run, kind)
+
+
+def word_losses(grams: DataFrame) -> DataFrame:
+    """(a, b, z, target_loss, background_loss) of every trigram."""
+    kinds = ("target", "background")
+
+    def summed(df: DataFrame, *by: str, label: str) -> DataFrame:
+        return df.groupBy(*by).agg(*[F.sum(k).alias(f"{label}_{k}") for k in kinds])
+
+    def renamed(df: DataFrame, label: str) -> DataFrame:
+        return df.withColumnsRenamed({f"{label}_{k}": k for k in kinds})
+
+    counted = F.sum(F.when(F.col("wanted"), F.col("n")).otherwise(0)).alias("c3_target"), F.sum("n").alias("c3_background")
+    three = stored(grams.groupBy("a", "b", "z").agg(*counted), "trigrams")
+    two = stored(summed(renamed(three, "c3"), "b", "z", label="c2"), "bigrams")
+    one = stored(summed(renamed(two, "c2"), "z", label="c1"), "words")
+    total = one.agg(F.count("*").alias("size"), *[F.sum(f"c1_{k}").alias(k) for k in kinds]).first()
+    size = max(1, total["size"])
+    w0, w1, w2, w3 = WEIGHTS
+
+    def share(c: str, h: str) -> Column:
+        return F.when(F.col(h) > 0, F.col(c) / F.col(h)).otherwise(1 / size)
+
+    low = two.join(summed(renamed(two, "c2"), "b", label="h2"), "b").join(one, "z")
+    for k in kinds:
+        alone = F.col(f"c1_{k}") / total[k] if total[k] else F.lit(1 / size)
+        low = low.withColumn(f"p2_{k}", w0 / size + w1 * alone + w2 * share(f"c2_{k}", f"h2_{k}"))
+    low = stored(low.select("b", "z", *[f"p2_{k}" for k in kinds]), "bigram-shares")
+    whole = three.join(summed(renamed(three, "c3"), "a", "b", label="h3"), ["a", "b"]).join(low, ["b", "z"])
+    found = [(-F.log(F.col(f"p2_{k}") + w3 * share(f"c3_{k}", f"h3_{k}"))).alias(f"{k}_loss") for k in kinds]
+    return stored(whole.select("a", "b", "z", *found), "losses")
+
+
+def word_cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """(doc_id, n_tokens, target_loss, background_loss, difference) of every row by models of one to three words."""
+    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), value.alias("text"), F.xxhash64(F.col(f"`{doc_id}`"), value).alias("doc_key"))
+    wanted = target_ids.select("doc_id").distinct().withColumn("wanted", F.lit(True))
+    # A merge join at every size: what is moved then follows the input.
+    grams = stored(word_trigrams(rows.join(wanted.hint("merge"), "doc_id", "left")), "grams")
+    # A document has at most one row for a trigram; a common trigram is split by Spark's skew join.
+    met = grams.join(word_losses(grams).hint("merge"), ["a", "b", "z"])
+    kinds = ("target_loss", "background_loss")
+    scores = met.groupBy("doc_key").agg(F.sum("n").alias("n"), *[(F.sum(F.col("n") * F.col(k)) / F.sum("n")).alias(k) for k in kinds])
+    keys = rows.select("doc_id", "doc_key")
+    copies = keys.groupBy("doc_key").agg(F.count("*").alias("copies"))  # equal rows were counted together
+    joined = keys.join(copies, "doc_key").join(scores, "doc_key", "left")
+    target, background = (F.coalesce(k, F.lit(0.0)) for k in kinds)
+    number = F.coalesce(F.col("n") / F.col("copies"), F.lit(0)).cast("bigint")
+    return joined.select(
+        "doc_id", number.alias("n_tokens"), target.alias(kinds[0]), background.alias(kinds[1]), (target - background).alias("difference")
+    )

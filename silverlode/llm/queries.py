@@ -77,7 +77,7 @@ def op10_raked_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Target: the documents labelled as of high quality and not toxic."""
     good = table(spark, sf_dir, "labels").where("quality = 1 AND toxic = 0")
-    return lm_scoring.cross_entropy_difference(table(spark, sf_dir, "documents"), good)
+    return lm_scoring.word_cross_entropy_difference(table(spark, sf_dir, "documents"), good)
 
 
 @query

@@ -73,3 +73,35 @@ def test_empty_and_repeated(spark):
     rows = spark.createDataFrame([(None, "abc"), (1, "abc"), (1, "abc")], "doc_id bigint, text string")
     got = lm_scoring.cross_entropy_difference(rows, none).collect()
     assert len(got) == 3 and len({r.background_loss for r in got}) == 1
+
+
+def test_query_scores_words_against_a_plain_model(spark, tmp_path):
+    texts = ["the cat sat on the mat", "The cat sat; the cat ran", "on the mat sat the cat", None, "", "mat", "a dog ran on the mat"]
+    docs = [(k, t) for k, t in enumerate(texts)] + [(6, texts[6]), (None, "the cat")]
+    good = {0, 1, 5}
+    spark.createDataFrame(docs, "doc_id bigint, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    labels = [(k, int(k in good), 0) for k in range(7)]
+    spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    split = [(t or "").lower().replace(";", "").split() for _, t in docs]
+    grams = [list(zip(["", "", *w], ["", *w], w)) for w in split]
+    size = len({w for own in split for w in own})
+
+    def model(chosen):
+        c3 = Counter(g for own in chosen for g in own)
+        c2, c1, h3, h2 = Counter(), Counter(), Counter(), Counter()
+        for (a, b, z), n in c3.items():
+            for c, k in ((c2, (b, z)), (c1, z), (h3, (a, b)), (h2, b)):
+                c[k] += n
+        share = lambda c, h: c / h if h else 1 / size
+        w0, w1, w2, w3 = lm_scoring.WEIGHTS
+        return lambda a, b, z: -math.log(
+            w0 / size + w1 * share(c1[z], sum(c1.values())) + w2 * share(c2[b, z], h2[b]) + w3 * share(c3[a, b, z], h3[a, b])
+        )
+
+    models = model([g for (k, _), g in zip(docs, grams) if k in good]), model(grams)
+    want = sorted((-1 if k is None else k, len(g), *(sum(m(*x) for x in g) / max(1, len(g)) for m in models)) for (k, _), g in zip(docs, grams))
+    rows = QUERIES["op4_cross_entropy_difference"](spark, str(tmp_path)).collect()
+    got = sorted((-1 if r.doc_id is None else r.doc_id, r.n_tokens, r.target_loss, r.background_loss) for r in rows)
+    assert [g[:2] for g in got] == [w[:2] for w in want]
+    assert all(g[2:] == pytest.approx(w[2:]) for g, w in zip(got, want))
+    assert all(r.difference == pytest.approx(r.target_loss - r.background_loss) for r in rows)
