@@ -7,8 +7,10 @@ with a beam, then by expanding every node found within range until none is new.
 followed by joins, round by round, as far as the triangle inequality leaves a link possible. Every link is
 verified by its cosine in double precision.
 
-Recall is audited against a blocked brute-force scan for a sample of nodes; if it is below ``RECALL`` the
-graph is built again with twice the overlap. Tasks return counts and a spanning forest of the links they find, so that a
+Recall is audited against a blocked brute-force scan: nodes are drawn until ``LINKS`` true links have been seen, and the recalls of
+the linked nodes are averaged. If that is below ``RECALL`` the graph is built again with twice the overlap. If it is still below at
+the last overlap, or ``AUDITED`` nodes hold too few links to measure it, all nodes are compared exactly, block by block,
+without the rows that the triangle inequality rules out. Tasks return counts and a spanning forest of the links they find, so that a
 large group of near copies makes no list of its pairs.
 
 Bounds: the sample has at most 65536 rows and there are at most 16384 centres; a shard holds its vectors and no matrix of
@@ -35,8 +37,8 @@ from silverlode.llm.links import components, runs, starts
 SHARD, OVERLAP, DEGREE, CANDIDATES, SLACK = 1024, 3, 16, 48, 1.2
 BEAM, STEPS = 16, 40
 SAMPLE, CENTRES = 65536, 16384
-RECALL, AUDITED = 0.97, 64
-BLOCK = 512
+RECALL, DRAWN, AUDITED, LINKS = 0.97, 64, 4096, 64
+BLOCK, COMPARED = 512, 4096
 
 
 def unit(x: np.ndarray) -> np.ndarray:
@@ -278,11 +280,24 @@ def graph_links(nodes: DataFrame, least: float, overlap: int) -> tuple[DataFrame
     return counts.groupBy("key").agg(F.sum("n").alias("n")), edges
 
 
-def recall(nodes: DataFrame, counts: DataFrame, least: float, audited: int = AUDITED) -> float:
-    """Share of the true links of a bounded sample of nodes that were found."""
-    some = nodes.orderBy(F.xxhash64("key", F.lit(9))).limit(audited).select("key", "v").collect()
-    if not some:
-        return 1.0
+def recall(nodes: DataFrame, counts: DataFrame, least: float) -> float | None:
+    """Mean share of its true links found of a linked node in a bounded sample; None if the sample has too few links."""
+    drawn = DRAWN
+    while True:
+        some = nodes.orderBy(F.xxhash64("key", F.lit(9))).limit(drawn).select("key", "v").collect()
+        if not some:
+            return 1.0
+        truth = _true_links(nodes, some, least)
+        both = truth.where(F.col("true") > 0).join(counts, "key", "left").select("true", F.least("true", F.coalesce("n", F.lit(0))).alias("f"))
+        seen = both.agg(F.sum("true").alias("t"), F.avg(F.col("f") / F.col("true")).alias("mean")).first()
+        if (seen["t"] or 0) >= LINKS or len(some) < drawn:
+            return 1.0 if seen["mean"] is None else seen["mean"]
+        if drawn >= AUDITED:
+            return None
+        drawn *= 8
+
+
+def _true_links(nodes: DataFrame, some: list, least: float) -> DataFrame:
     shared = nodes.sparkSession.sparkContext.broadcast((np.array([r["key"] for r in some]), unit(np.array([r["v"] for r in some]))))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -295,9 +310,67 @@ def recall(nodes: DataFrame, counts: DataFrame, least: float, audited: int = AUD
                 total += near @ np.array(batch.column("copies"))
         yield pa.RecordBatch.from_arrays([pa.array(keys), pa.array(total)], ["key", "true"])
 
-    truth = nodes.select("key", "v", "copies").mapInArrow(run, "key bigint, true bigint").groupBy("key").agg(F.sum("true").alias("true"))
-    both = truth.join(counts, "key", "left").agg(F.sum("true").alias("t"), F.sum(F.least("true", F.coalesce("n", F.lit(0)))).alias("f")).first()
-    return both["f"] / both["t"] if both["t"] else 1.0
+    return nodes.select("key", "v", "copies").mapInArrow(run, "key bigint, true bigint").groupBy("key").agg(F.sum("true").alias("true"))
+
+
+def exact_links(nodes: DataFrame, least: float) -> tuple[DataFrame, DataFrame]:
+    """As ``graph_links``, by comparing every node with every node that may be near enough."""
+    theta = float(np.arccos(least))
+    dealt = stored(_dealt(nodes, 1).select("shard", F.xxhash64("key").alias("place"), "key", "copies", "v"), "homes")
+    sizes = {r["shard"]: r["n"] for r in dealt.groupBy("shard").agg(F.count("*").alias("n")).collect()}  # a row a centre
+    parts = {s: -(-n // COMPARED) for s, n in sizes.items()}
+    found = None
+    for s in sorted(parts):
+        for part in range(parts[s]):
+            block = dealt.where((F.col("shard") == s) & (F.pmod("place", F.lit(parts[s])) == part)).select("key", "v").collect()
+            if not block:
+                continue
+            y = unit(np.array([r["v"] for r in block]))
+            mean = y.sum(0)
+            middle = mean / (np.linalg.norm(mean) or 1.0)
+            reach = float(np.arccos(np.clip(y @ middle, -1, 1)).max()) + theta + 1e-9
+            shared = nodes.sparkSession.sparkContext.broadcast((np.array([r["key"] for r in block]), y, middle, reach))
+            rows = stored(dealt.select("key", "copies", "v").mapInArrow(_compared(shared, least), "kind int, a bigint, b bigint, n bigint"), "exact")
+            found = rows if found is None else found.union(rows)
+            shared.unpersist()
+    if found is None:
+        found = nodes.sparkSession.createDataFrame([], "kind int, a bigint, b bigint, n bigint")
+    counts = found.where("kind = 0").groupBy(F.col("a").alias("key")).agg(F.sum("n").alias("n"))
+    return counts, found.where("kind = 1").select("a", "b")
+
+
+def _compared(shared, least: float):
+    """Rows as of ``_search``, kinds 0 and 1, of the block in ``shared`` against every batch."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, y, middle, reach = shared.value
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            x = unit(matrix(batch.column("v")))
+            may = np.flatnonzero(np.arccos(np.clip(x @ middle, -1, 1)) <= reach)
+            own, copies = np.array(batch.column("key"))[may], np.array(batch.column("copies"))[may]
+            near = (y @ x[may].T >= least) & (keys[:, None] != own[None, :])
+            q, r = np.nonzero(near)
+            if not len(q):
+                continue
+            # Components of the block's and the batch's nodes over these links: one edge a node is returned.
+            label, other = np.arange(len(keys)), np.full(len(own), len(keys))
+            while True:
+                before = label.copy()
+                np.minimum.at(other, r, label[q])
+                np.minimum.at(label, q, other[r])
+                if (label == before).all():
+                    break
+            linked, met = np.unique(q), np.unique(r)
+            total = near @ copies
+            ends = np.concatenate((keys[linked], keys[linked], own[met]))
+            tops = np.concatenate((np.full(len(linked), -1), keys[label[linked]], keys[other[met]]))
+            kind = np.repeat(np.array([0, 1, 1], np.int32), [len(linked), len(linked), len(met)])
+            number = np.concatenate((total[linked], np.zeros(len(linked) + len(met), np.int64)))
+            yield pa.RecordBatch.from_arrays([pa.array(kind), pa.array(ends), pa.array(tops), pa.array(number)], ["kind", "a", "b", "n"])
+
+    return run
 
 
 def near_duplicates(vectors: DataFrame, least: float = 0.9, key: str = "vec_id", vector: str = "embedding") -> DataFrame:
@@ -308,7 +381,12 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, key: str = "vec_id",
     while True:
         counts, edges = graph_links(nodes, least, overlap)
         counts = stored(counts, "counts")
-        if recall(nodes, counts, least) >= RECALL or overlap >= 8 * OVERLAP:
+        share = recall(nodes, counts, least)
+        if share is not None and share >= RECALL:
+            break
+        if share is None or overlap >= 8 * OVERLAP:
+            counts, edges = exact_links(nodes, least)
+            counts = stored(counts, "counts")
             break
         overlap *= 2
     found = components(edges).select(F.col("node").alias("key"), "component")

@@ -68,3 +68,17 @@ def test_null_ids_and_empty(spark):
     got = flat_graph.near_duplicates(spark.createDataFrame([(None, [1.0, 0.0]), (3, [1.0, 0.0]), (3, [1.0, 0.1])], kind)).collect()
     assert sorted((r.vec_id or 0, r.n_links, r.component_id or 0, r.kept) for r in got) == [(0, 0, 0, True), (3, 2, 3, True), (3, 2, 3, True)]
     assert flat_graph.near_duplicates(spark.createDataFrame([], kind)).collect() == []
+
+
+@pytest.mark.parametrize("pairs", [1, 60])
+def test_links_that_the_graph_loses_are_found(spark, monkeypatch, pairs):
+    for name, value in (("SHARD", 100), ("DRAWN", 8), ("AUDITED", 64), ("COMPARED", 60)):
+        monkeypatch.setattr(flat_graph, name, value, raising=False)
+    none = spark.createDataFrame([], "key bigint, n bigint"), spark.createDataFrame([], "a bigint, b bigint")
+    monkeypatch.setattr(flat_graph, "graph_links", lambda *_: none)
+    pick = np.random.default_rng(4)
+    base = pick.normal(size=(300, 32))
+    rows = [(k, v.tolist()) for k, v in enumerate(base)]
+    rows += [(300 + k, (base[k % 30] + pick.normal(size=32) * 0.05).tolist()) for k in range(pairs)]
+    got = flat_graph.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows)) and sum(r.n_links for r in got) >= 2 * pairs
