@@ -6,7 +6,21 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.llm import flat_graph, hilbert, lm_scoring, mixing, order_minhash, packing, paragraphs, quality, rans, suffixes
+from silverlode.llm import (
+    alignment,
+    flat_graph,
+    hash_tree,
+    hilbert,
+    lm_scoring,
+    mixing,
+    order_minhash,
+    packing,
+    paragraphs,
+    quality,
+    rans,
+    suffixes,
+    whitening,
+)
 from silverlode.llm.frames import small_batches, table
 from silverlode.session import new_folder
 
@@ -88,3 +102,60 @@ def op7_shifted_hilbert(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op2_flat_graph(spark: SparkSession, sf_dir: str) -> DataFrame:
     return flat_graph.near_duplicates(table(spark, sf_dir, "embeddings"), 0.9)
+
+
+@query
+def op11_lockstep_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    a, b = (public_tokenizers.path(name) for name in ("byte_bpe_50k.json", "piece_bpe_32k.model"))
+    return alignment.agreement(table(spark, sf_dir, "documents"), a, b)
+
+
+@query
+def op12_hash_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """24 shards of weight 1 in three regions of two racks; the grown tree has a 25th in a region of its own."""
+    tree = hash_tree.standard_tree(24)
+    placed = hash_tree.place(table(spark, sf_dir, "documents"), tree, hash_tree.grown(tree))
+    return hash_tree.slots(placed).select("doc_id", "size", "text_crc32", F.lit("key").alias("law"), "shard", "slot", "grown_shard")
+
+
+# The checksum goes over the bytes of each different text; its table of 256 entries follows from the polynomial.
+ORACLE["op12_hash_tree"] = """
+WITH entries AS (
+  SELECT range AS b, list_reduce(list_prepend(range, range(8)),
+    lambda c, i: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END) AS v FROM range(256)),
+fixed AS (SELECT list(v ORDER BY b) AS t FROM entries),
+texts AS MATERIALIZED (SELECT text, hex(encode(text)) AS h FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL)),
+bytes AS MATERIALIZED (
+  SELECT text, list_transform(range(length(h) // 2), lambda i: CAST('0x' || substr(h, CAST(2 * i + 1 AS BIGINT), 2) AS BIGINT)) AS b FROM texts),
+sums AS (
+  SELECT text, CAST(length(b) AS BIGINT) AS n, CAST(xor(list_reduce(list_prepend(4294967295, b),
+    lambda c, x: xor(c >> 8, t[1 + (xor(c, x) & 255)])), 4294967295) AS BIGINT) AS crc FROM bytes, fixed),
+keys AS (SELECT DISTINCT coalesce(CAST(doc_id AS VARCHAR), 'null') AS k FROM documents),
+leaves AS (SELECT n, s, s // 4 AS rack, s // 8 AS region FROM (VALUES (24), (25)) AS v(n), range(25) AS r(s) WHERE s < n),
+draws AS (
+  SELECT k, n, path, w, -ln((CAST('0x' || substr(md5(k || path), 1, 13) AS BIGINT) + 0.5::DOUBLE) / 4503599627370496.0::DOUBLE) / w AS score
+  FROM keys, (
+    SELECT n, '/' || region AS path, CAST(count(*) AS DOUBLE) AS w FROM leaves GROUP BY n, region
+    UNION ALL SELECT n, '/' || region || '/' || rack, CAST(count(*) AS DOUBLE) FROM leaves GROUP BY n, region, rack
+    UNION ALL SELECT n, '/' || region || '/' || rack || '/' || s, 1.0 FROM leaves)),
+regions AS (SELECT k, n, arg_min(path, score) AS region FROM draws WHERE path NOT LIKE '/%/%' GROUP BY k, n),
+racks AS (
+  SELECT k, n, arg_min(path, score) AS rack FROM draws JOIN regions USING (k, n)
+  WHERE path LIKE region || '/%' AND path NOT LIKE region || '/%/%' GROUP BY k, n),
+shards AS (
+  SELECT k, n, CAST(split_part(arg_min(path, score), '/', 4) AS INTEGER) AS shard FROM draws JOIN racks USING (k, n)
+  WHERE path LIKE rack || '/%' GROUP BY k, n),
+placed AS (
+  SELECT doc_id, coalesce(s.n, 0) + 8 AS size, coalesce(s.crc, 0) AS text_crc32, now.shard, later.shard AS grown_shard
+  FROM documents LEFT JOIN sums s USING (text)
+  JOIN shards now ON now.n = 24 AND now.k = coalesce(CAST(doc_id AS VARCHAR), 'null')
+  JOIN shards later ON later.n = 25 AND later.k = now.k)
+SELECT doc_id, size, text_crc32, 'key' AS law, shard,
+  row_number() OVER (PARTITION BY shard ORDER BY doc_id NULLS FIRST, text_crc32, size) - 1 AS slot, grown_shard
+FROM placed
+"""
+
+
+@query
+def op13_block_whitening(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(table(spark, sf_dir, "embeddings")).withColumn("deviation", F.col("deviation").cast("bigint"))
