@@ -28,7 +28,7 @@ def brute(rows, least=0.8, fewest=50):
         for j in range(i):
             if table[i][3] == table[j][3]:
                 join(i, j)
-            elif min(len(table[i][3]), len(table[j][3])) >= 20:
+            elif min(len(table[i][3]), len(table[j][3])) >= 5:
                 a, b = set(table[i][4]), set(table[j][4])
                 if len(a & b) / len(a | b) >= least:
                     join(i, j)
@@ -43,6 +43,38 @@ def brute(rows, least=0.8, fewest=50):
     return [paragraphs.cut((text or "").encode(), marked.get(k, []), fewest)[0].decode() if text is not None else None for k, (_, text) in enumerate(rows)]
 
 
+LOWER = {k: k + 32 for k in range(ord("A"), ord("Z") + 1)}
+
+
+def brute_runs(rows, fewest=50):
+    """Every window of words that comes before goes; where it overlaps its own first occurrence, that stays."""
+    seen, out = {}, {}
+    for k, (doc, text) in sorted(enumerate(rows), key=lambda r: r[1][0]):
+        w = re.findall(r"[0-9a-z\x80-\U0010ffff]+", (text or "").translate(LOWER))
+        spans = []
+        for p in range(len(w) - fewest + 1):
+            d, q = seen.setdefault(tuple(w[p : p + fewest]), (doc, p))
+            if (d, q) != (doc, p):
+                spans.append((max(p, q + fewest) if d == doc else p, p + fewest))
+        out[k] = paragraphs.cut_runs(text.encode(), spans)[0].decode() if spans else text
+    return [out[k] for k in range(len(rows))]
+
+
+def brute_repeats(rows):
+    """Both passes in turn, for rows with different ids."""
+    left = brute(rows)
+    return brute_runs([(k, t) for (k, _), t in zip(rows, left)])
+
+
+@pytest.mark.parametrize("seed", [4, 5])
+def test_both_passes_against_all_pairs_and_windows(spark, seed):
+    rows = _rows(seed)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(3)
+    got = {r.doc_id: r for r in paragraphs.remove_repeats(docs).collect()}
+    assert {k: r.text for k, r in got.items()} == {k: t for (k, _), t in zip(rows, brute_repeats(rows))}
+    assert all(r.n_bytes_removed == len((dict(rows)[k] or "").encode()) - len((r.text or "").encode()) for k, r in got.items())
+
+
 def _rows(seed):
     pick = random.Random(seed)
     vocabulary = ["".join(pick.choices("abcdefé", k=pick.randint(2, 7))) for _ in range(400)]

@@ -9,7 +9,7 @@ import corpus_pipeline
 from conftest import DATA
 from silverlode.llm import quality
 from test_order_minhash import lcs, plain_kmers
-from test_paragraphs import brute as without_passages
+from test_paragraphs import brute_repeats as without_passages
 
 FOLDER = str(DATA / "sf0.001")
 
