@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,7 +12,10 @@ from silverlode.operators import quality as q
 from silverlode.operators.joins import enrich
 from silverlode.operators.quality import DROP, FAIL, ExpectationFailed, Rule
 from silverlode.session import new_folder
-from silverlode.streaming.writers import append_stream
+from silverlode.sources.files import stream_table
+from silverlode.sources.sinks import publish_checked
+from silverlode.sources.storage import exists
+from silverlode.streaming.writers import append_checked, append_stream
 
 RULES = [
     Rule("labelled", "quality IS NOT NULL", DROP),
@@ -124,35 +129,59 @@ def dq_set_rule_stream(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(f"{root}/kept")
 
 
+STEPS = ("plain", "filter", "limit", "first row", "constant filter", "empty join", "empty semi join", "stream", "published")
+
+
 @check(
-    """SELECT 'positive_discount' AS rule, count(*) FILTER (WHERE NOT coalesce(l_discount > 0, FALSE)) AS failed,
-        TRUE AS stopped, TRUE AS stopped_behind_filter FROM lineitem
-    UNION ALL SELECT 'positive_quantity', count(*) FILTER (WHERE NOT coalesce(l_quantity > 0, FALSE)), FALSE, FALSE FROM lineitem"""
+    f"""WITH r AS (SELECT 'positive_discount' AS rule, count(*) FILTER (WHERE NOT coalesce(l_discount > 0, FALSE)) AS failed FROM lineitem
+        UNION ALL SELECT 'positive_quantity', count(*) FILTER (WHERE NOT coalesce(l_quantity > 0, FALSE)) FROM lineitem)
+    SELECT rule, failed, step, failed > 0 AS stopped, step IN ('stream', 'published') AND failed = 0 AS published
+    FROM r, (VALUES {", ".join(f"('{s}')" for s in STEPS)}) AS s(step)"""
 )
 def dq_fail_fires(spark: SparkSession, folder: str) -> DataFrame:
-    """A FAIL rule that rows break stops the write and its counts name it, also where a later filter removes those rows."""
+    """A FAIL rule that rows break stops the update whatever follows it, names its rows and publishes nothing; one that holds lets it through."""
     lines = table(spark, folder, "lineitem")
+    none = table(spark, folder, "region").where("r_regionkey < 0").select(F.col("r_regionkey").alias("l_linenumber"))
     rules = [Rule("positive_discount", "l_discount > 0", FAIL), Rule("positive_quantity", "l_quantity > 0", FAIL)]
+    root = new_folder(spark, "fail")
 
-    def stopped(rows: DataFrame) -> bool:
+    def stopped(step: Callable[[], object]) -> bool:
         try:
-            rows.write.parquet(f"{new_folder(spark, 'fail')}/out")
-        except Exception as error:  # Spark wraps what a row raised
+            step()
+        except Exception as error:  # a stream wraps what its batch raised
             if "expectation" not in str(error):
                 raise
             return True
         return False
 
+    def noop(rows: DataFrame) -> None:
+        rows.write.format("noop").mode("overwrite").save()
+
     found = []
     for rule in rules:
-        kept = q.expect(lines, [rule])
         try:
             q.check_fail_rules(lines, [rule])
             failed = 0
         except ExpectationFailed as error:
             failed = int(str(error).split(": ")[1].split(" ")[0])
-        found.append((rule.name, failed, stopped(kept), stopped(kept.where("l_discount > 0.05 AND l_quantity > 10"))))
-    return spark.createDataFrame(found, "rule string, failed long, stopped boolean, stopped_behind_filter boolean")
+        stream, once = f"{root}/{rule.name}/stream", f"{root}/{rule.name}/once"
+        rows = stream_table(spark, folder, lines.schema, "lineitem.parquet")
+        steps = {
+            "plain": lambda: noop(q.expect(lines, [rule])),
+            "filter": lambda: noop(q.expect(lines, [rule]).where("l_discount > 0.05 AND l_quantity > 10")),
+            "limit": lambda: noop(q.expect(lines, [rule]).limit(5)),
+            "first row": lambda: q.expect(lines, [rule]).first(),
+            "constant filter": lambda: noop(q.expect(lines, [rule]).where("1 = 0")),
+            "empty join": lambda: noop(q.expect(lines, [rule]).join(none, "l_linenumber")),
+            "empty semi join": lambda: noop(q.expect(lines, [rule]).join(none, "l_linenumber", "left_semi")),
+            "stream": lambda: append_checked(rows, [rule], stream, f"{stream}-checkpoint"),
+            "published": lambda: publish_checked(lines, [rule], once),
+        }
+        for name in STEPS:
+            halted = stopped(steps[name])
+            there = {"stream": f"{stream}/batch_id=0", "published": once}.get(name)
+            found.append((rule.name, failed, name, halted, bool(there) and exists(spark, there)))
+    return spark.createDataFrame(found, "rule string, failed long, step string, stopped boolean, published boolean")
 
 
 @check(

@@ -50,14 +50,17 @@ def _every(conditions: Sequence[Column]) -> Column:
 def expect(df: DataFrame, rules: Sequence[Rule], null_passes: bool = False) -> DataFrame:
     """Keep, drop or fail rows by their rules; works on batch and streaming frames.
 
-    DROP conditions are plain filters, which reach the scan. A violated FAIL rule raises while
-    the query runs, so a file sink commits nothing; it stands in one CASE with the drop
-    conditions, so a row that violates both still fails. The verdict reads a random text
-    (never empty), which the optimizer may not move or repeat: no later filter is merged with it or
-    pushed below it, so every input row is judged whatever follows.
+    DROP conditions are plain filters, which reach the scan. The FAIL rules of a batch frame are judged here and now, by one
+    aggregate over all its rows that reads only the rules' columns; a violation raises before there is a frame to go on with, so that no
+    limit, filter or join that follows can hide it. ``sinks.publish_checked`` judges without a second read, while a staged copy is
+    written. In a streaming frame a violation raises while the batch runs: the verdict stands in one CASE with the drop conditions and
+    reads a random text (never empty), which the optimizer may not move or repeat.
     """
     drops = [r for r in rules if r.action == DROP]
     fails = [r for r in rules if r.action == FAIL]
+    if not df.isStreaming:
+        check_fail_rules(df, fails, null_passes)
+        fails = []
     if not fails:
         for rule in drops:
             df = df.where(rule.passes(null_passes) if null_passes else F.expr(rule.condition))
@@ -76,15 +79,28 @@ def expect_all(df: DataFrame, conditions: Mapping[str, str] | str) -> DataFrame:
     return with_failed_rules(df, warn_rules(conditions))
 
 
-def check_fail_rules(df: DataFrame, rules: Sequence[Rule]) -> None:
-    """Run the FAIL rules as one aggregate before a write and raise with counts."""
+def check_fail_rules(df: DataFrame, rules: Sequence[Rule], null_passes: bool = False) -> None:
+    """Run the FAIL rules as one aggregate over all rows and raise with counts."""
     fails = [r for r in rules if r.action == FAIL]
-    if not fails:
-        return
-    counts = df.agg(*[F.count_if(~r.passes()).alias(r.name) for r in fails]).first()
-    broken = {r.name: counts[r.name] for r in fails if counts[r.name]}
+    if fails:
+        raise_broken(fails, df.agg(*_violations(fails, null_passes)).first().asDict())
+
+
+def _violations(fails: Sequence[Rule], null_passes: bool = False) -> list[Column]:
+    return [F.count_if(~r.passes(null_passes)).alias(f"_fail_{i}") for i, r in enumerate(fails)]
+
+
+def observe_violations(df: DataFrame, rules: Sequence[Rule], observation: Observation, null_passes: bool = False) -> DataFrame:
+    """The same rows; their violations of the FAIL rules are counted by whatever writes them."""
+    return df.observe(observation, *_violations([r for r in rules if r.action == FAIL], null_passes))
+
+
+def raise_broken(rules: Sequence[Rule], counts: Mapping[str, int]) -> None:
+    """Raise if the counts of ``observe_violations`` hold a violation."""
+    fails = [r for r in rules if r.action == FAIL]
+    broken = {r.name: counts[f"_fail_{i}"] for i, r in enumerate(fails) if counts.get(f"_fail_{i}")}
     if broken:
-        raise ExpectationFailed(", ".join(f"{name}: {n} rows" for name, n in broken.items()))
+        raise ExpectationFailed("expectation " + ", ".join(f"{name}: {n} rows" for name, n in broken.items()))
 
 
 def with_failed_rules(df: DataFrame, rules: Sequence[Rule], null_passes: bool = False) -> DataFrame:
@@ -178,6 +194,13 @@ def with_set_measure(
     return joined.select(*df.columns, F.coalesce(name, F.lit(0)).alias(name))
 
 
+def with_stored_measure(df: DataFrame, counts: DataFrame, group: Sequence[str], stored: str, name: str = "set_count") -> DataFrame:
+    """Each row with its group's number from stored counts (``streaming.totals`` keeps them), 0 where there is none."""
+    known = counts.select(*[F.col(g).alias(f"_g{i}") for i, g in enumerate(group)], F.col(stored).alias("_stored"))
+    match = _every([F.col(g) == F.col(f"_g{i}") for i, g in enumerate(group)])
+    return df.join(known, match, "left").select(*df.columns, F.coalesce("_stored", F.lit(0)).alias(name))
+
+
 def expect_set(
     df: DataFrame,
     group: Sequence[str],

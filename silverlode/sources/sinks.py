@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import uuid
+from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.operators.layout import has_map
+from silverlode.operators.quality import DROP, FAIL, ExpectationFailed, Rule, expect, observe_violations, raise_broken
 from silverlode.sources.storage import names, remove, replace
 
 
@@ -44,6 +46,26 @@ def write_json_batch(df: DataFrame, folder: str, batch: int) -> None:
     df.write.mode("overwrite").json(f"{folder.rstrip('/')}/batch={batch}")
 
 
+def publish_checked(df: DataFrame, rules: Sequence[Rule], target: str) -> None:
+    """Write the rows that the rules keep to the folder ``target``, unless one breaks a FAIL rule.
+
+    One pass: violations are observed in the rows as they came while a staged copy is written, and the copy takes the place of ``target``
+    only if there are none. Works on a stream's batch too, so that a broken batch publishes nothing.
+    """
+    spark = df.sparkSession
+    parent, _, _ = target.rstrip("/").rpartition("/")
+    staged, seen = f"{parent}/_staged-{uuid.uuid4().hex}", Observation()
+    fails = [r for r in rules if r.action == FAIL]
+    rows = observe_violations(df, fails, seen) if fails else df
+    expect(rows, [r for r in rules if r.action == DROP]).write.parquet(staged)
+    try:
+        raise_broken(fails, seen.get if fails else {})
+    except ExpectationFailed:
+        remove(spark, staged)
+        raise
+    replace(spark, staged, target)
+
+
 def publish_csv(
     df: DataFrame,
     folder: str,

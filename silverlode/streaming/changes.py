@@ -1,4 +1,8 @@
-"""Keyed targets fed by streams: an upsert log, merged snapshots, and change-feed propagation."""
+"""Keyed targets fed by streams: an upsert log, merged snapshots, and change-feed propagation.
+
+Rows that cannot be ordered or matched (no key, no sequence) are the quarantine side of the write that takes the others: what a batch
+brings is in the log or in ``quarantined``, and both sides are committed together. Logs have a journal (``streaming.journal``).
+"""
 
 from __future__ import annotations
 
@@ -10,11 +14,25 @@ from pyspark.sql.streaming import StreamingQuery
 
 from silverlode.operators import cdc
 from silverlode.sources.storage import Snapshots
-from silverlode.streaming.writers import each_batch, write_batch
+from silverlode.streaming import journal
+from silverlode.streaming.writers import each_batch, read_side, write_batch, write_sides
 
 VERSION = "batch_id"
 
 
+def _add(good: DataFrame, rest: DataFrame, folder: str, batch_id: int, operation: str) -> None:
+    """Both sides of a batch in one write, and then its journal row."""
+    write_sides(good, rest, folder, batch_id)
+    spark = good.sparkSession
+    sides = read_side(spark, folder).where(F.col(VERSION) == batch_id).count(), quarantined(spark, folder).where(F.col(VERSION) == batch_id).count()
+    journal.commit(spark, folder, batch_id, operation, {"keys": sides[0], "quarantined": sides[1]})
+
+
+def quarantined(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows of all batches of a log that have no key or no sequence, with their batch."""
+    return read_side(spark, folder, "quarantine")
+
+
 def upsert_stream(
     changes: DataFrame,
     keys: Sequence[str],
@@ -31,7 +49,7 @@ def upsert_stream(
     """
 
     def add(batch: DataFrame, batch_id: int) -> None:
-        write_batch(cdc.latest_per_key(batch, keys, seq, tiebreak), folder, batch_id)
+        _add(cdc.latest_per_key(batch, keys, seq, tiebreak), cdc.unusable(batch, keys, seq), folder, batch_id, "APPLY CHANGES (SCD 1)")
 
     return each_batch(changes, add, checkpoint, every)
 
@@ -43,16 +61,26 @@ def upserted_table(
     seq: str,
     delete_when: str | None = None,
     tiebreak: Sequence[str] = (),
+    version: int | None = None,
 ) -> DataFrame:
-    """Current rows of an upsert log."""
-    return cdc.apply_changes_scd1(spark.read.parquet(folder).drop("batch_id"), keys, seq, delete_when, tiebreak)
+    """Current rows of an upsert log, or those as of a batch."""
+    log = read_side(spark, folder)
+    log = log if version is None else log.where(F.col(VERSION) <= version)
+    return cdc.apply_changes_scd1(log.drop(VERSION), keys, seq, delete_when, tiebreak)
 
 
 def compact_upserts(
     spark: SparkSession, folder: str, target: str, keys: Sequence[str], seq: str, tiebreak: Sequence[str] = ()
 ) -> None:
-    """Rewrite a log to one row per key, tombstones kept, as batch -1 of a new folder."""
-    write_batch(cdc.latest_per_key(spark.read.parquet(folder).drop("batch_id"), keys, seq, tiebreak), target, -1)
+    """Rewrite a log to one row per key, tombstones kept, as batch -1 of a new folder, which a stream may go on with."""
+    newest = cdc.latest_per_key(read_side(spark, folder).drop(VERSION), keys, seq, tiebreak)
+    _add(newest, quarantined(spark, folder).drop(VERSION), target, -1, "COMPACT")
+
+
+def compact_merges(spark: SparkSession, folder: str, target: str, keys: Sequence[str], seq: str) -> None:
+    """Rewrite a merge log to the last acting row per key, deletes kept, as batch -1 of a new folder, which a stream may go on with."""
+    newest = cdc.latest_per_key(read_side(spark, folder), keys, VERSION, [seq]).drop(VERSION)
+    _add(newest, quarantined(spark, folder).drop(VERSION), target, -1, "COMPACT")
 
 
 def stateful_upserts(
@@ -66,10 +94,13 @@ def stateful_upserts(
 ) -> StreamingQuery:
     """The same log from a streaming aggregate: late rows are dropped by the state already.
 
-    The state holds one row for every key ever seen.
+    The state holds one row for every key ever seen; ``streaming.windows`` has the form whose state ends. Unusable rows never
+    reach the state: a query of its own, with a checkpoint of its own, takes them to ``folder`` with "-quarantine" added.
     """
     newest = cdc.latest_per_key(changes, keys, seq, tiebreak)
-    return each_batch(newest, lambda batch, i: write_batch(batch, folder, i), checkpoint, every, mode="update")
+    nothing = newest.sparkSession.createDataFrame([], newest.schema)
+    each_batch(cdc.unusable(changes, keys, seq), lambda batch, i: write_batch(batch, f"{folder}-quarantine", i), f"{checkpoint}-quarantine", every)
+    return each_batch(newest, lambda batch, i: write_sides(batch, nothing, folder, i), checkpoint, every, mode="update")
 
 
 def merge_log_stream(
@@ -89,7 +120,7 @@ def merge_log_stream(
 
     def add(batch: DataFrame, batch_id: int) -> None:
         newest = cdc.latest_per_key(batch, keys, seq)
-        write_batch(newest.where(F.expr(delete_when).isNotNull()), folder, batch_id)
+        _add(newest.where(F.expr(delete_when).isNotNull()), cdc.unusable(batch, keys, seq), folder, batch_id, "MERGE")
 
     return each_batch(changes, add, checkpoint, every)
 
@@ -102,7 +133,7 @@ def merged_table(
     spark: SparkSession, folder: str, keys: Sequence[str], delete_when: str, version: int | None = None
 ) -> DataFrame:
     """Rows of a merge log, now or as of a version (a batch id; later batches are not read)."""
-    log = spark.read.parquet(folder)
+    log = read_side(spark, folder)
     return _merged(log if version is None else log.where(F.col(VERSION) <= version), keys, delete_when)
 
 
@@ -111,7 +142,7 @@ def merged_feed(
 ) -> DataFrame:
     """Change feed of one version of a merge log, from the states of the keys it touched."""
     keys = list(keys)
-    log = spark.read.parquet(folder)
+    log = read_side(spark, folder)
     touched = log.where(F.col(VERSION) == version).select(*keys)
     own = log.where(F.col(VERSION) <= version).join(touched, keys, "left_semi")
     before = _merged(own.where(F.col(VERSION) < version), keys, delete_when)
@@ -146,6 +177,7 @@ def merge_stream(
             table.write(spark.createDataFrame([], schema), 0)
             earlier = [0]
         before = table.read(earlier[-1])
+        write_batch(cdc.unusable(batch, keys, seq), f"{target}-quarantine", batch_id)
         table.write(cdc.merge_changes(before, batch, keys, delete_when, seq), version)
         if feed:
             changed = cdc.snapshot_diff(before, table.read(version), keys)
@@ -172,6 +204,7 @@ def propagate_stream(
         version = batch_id + 1
         earlier = [v for v in table.versions() if v < version]
         before = table.read(earlier[-1]) if earlier else spark.createDataFrame([], schema)
+        write_batch(cdc.unusable(batch, keys, cdc.COMMIT_VERSION), f"{target}-quarantine", batch_id)
         table.write(cdc.propagate_changes(before, batch, keys, clean), version)
 
     return each_batch(feed, apply, checkpoint, every)
@@ -193,12 +226,13 @@ def propagate_log_stream(
 
     def add(batch: DataFrame, batch_id: int) -> None:
         newest = cdc.latest_feed_rows(batch, keys)
-        write_batch(newest.withColumns({name: F.expr(text) for name, text in (clean or {}).items()}), folder, batch_id)
+        cleaned = newest.withColumns({name: F.expr(text) for name, text in (clean or {}).items()})
+        _add(cleaned, cdc.unusable(batch, keys, cdc.COMMIT_VERSION), folder, batch_id, "PROPAGATE")
 
     return each_batch(feed, add, checkpoint, every)
 
 
 def propagated_table(spark: SparkSession, folder: str, keys: Sequence[str]) -> DataFrame:
     """Current rows of a propagation log: a key's newest change by commit version."""
-    newest = cdc.latest_feed_rows(spark.read.parquet(folder).drop(VERSION), keys)
+    newest = cdc.latest_feed_rows(read_side(spark, folder).drop(VERSION), keys)
     return newest.where(F.col(cdc.CHANGE_TYPE) != "delete").drop(cdc.CHANGE_TYPE, cdc.COMMIT_VERSION)

@@ -2,11 +2,17 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter, StreamingQuery
 
+from silverlode.operators.quality import Rule
+from silverlode.sources.sinks import publish_checked
+
+SIDE = "_side"
+
 
 def _writer(df: DataFrame, checkpoint: str, every: str | None, name: str | None, mode: str) -> DataStreamWriter:
     writer = df.writeStream.outputMode(mode).option("checkpointLocation", checkpoint)
@@ -51,3 +57,21 @@ def each_batch(
 def write_batch(batch: DataFrame, folder: str, batch_id: int) -> None:
     """Add one micro-batch to a log folder; a replay overwrites the same partition."""
     batch.write.mode("overwrite").parquet(f"{folder.rstrip('/')}/batch_id={batch_id}")
+
+
+def append_checked(
+    df: DataFrame, rules: Sequence[Rule], folder: str, checkpoint: str, every: str | None = None
+) -> StreamingQuery:
+    """Append each micro-batch under its id, judged while it is written: one FAIL violation stops the stream and publishes nothing of its batch."""
+    return each_batch(df, lambda batch, i: publish_checked(batch, rules, f"{folder.rstrip('/')}/batch_id={i}"), checkpoint, every)
+
+
+def write_sides(good: DataFrame, quarantined: DataFrame, folder: str, batch_id: int) -> None:
+    """Write what a batch adds to a log and what it sends to quarantine as one job, so that both are committed or neither."""
+    sides = good.withColumn(SIDE, F.lit("good")).unionByName(quarantined.withColumn(SIDE, F.lit("quarantine")), allowMissingColumns=True)
+    sides.write.mode("overwrite").partitionBy(SIDE).parquet(f"{folder.rstrip('/')}/batch_id={batch_id}")
+
+
+def read_side(spark: SparkSession, folder: str, side: str = "good") -> DataFrame:
+    """One side of all batches; only its files are read."""
+    return spark.read.parquet(folder).where(F.col(SIDE) == side).drop(SIDE)

@@ -220,7 +220,7 @@ def test_streams_equal_batch_and_survive_reruns(spark, folder):
 def test_scd2_batches_in_any_order_with_replays_and_odd_rows(spark, folder):
     from itertools import permutations
 
-    from silverlode.streaming.history import add_scd2_batch, compact_scd2, scd2_table
+    from silverlode.streaming.history import add_scd2_batch, compact_scd2, scd2_quarantine, scd2_table
 
     kind = "k long, seq long, v string, gone boolean"
     batches = [
@@ -236,7 +236,7 @@ def test_scd2_batches_in_any_order_with_replays_and_odd_rows(spark, folder):
         want = [(1, "a", 10, 20), (1, "b", 20, 30), (2, "x", 5, None)]
         got = sorted((r.k, r.v, r.start_at, r.end_at) for r in scd2_table(spark, root, ["k"]).collect())
         assert got == want
-        assert spark.read.parquet(f"{root}/quarantine").count() == 2
+        assert scd2_quarantine(spark, root).count() == 2
     compact_scd2(spark, root, f"{folder}/compact", ["k"], 2)
     add_scd2_batch(spark.createDataFrame([(1, 15, "m", False)], kind), 3, f"{folder}/compact", ["k"], "seq", "gone", buckets=4)
     got = sorted((r.k, r.v, r.start_at, r.end_at) for r in scd2_table(spark, f"{folder}/compact", ["k"]).collect())

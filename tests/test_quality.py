@@ -128,16 +128,16 @@ def test_unknown_action_is_refused():
 def test_fail_rule_holds_behind_later_steps(spark, folder, later):
     spark.createDataFrame([(1, "a")], "id long, d string").write.parquet(f"{folder}/in")
     spark.createDataFrame([(None, "b"), (2, "b")], "id long, d string").coalesce(1).write.mode("append").parquet(f"{folder}/in")
-    kept = q.expect(spark.read.parquet(f"{folder}/in"), [Rule("has_id", "id IS NOT NULL", FAIL)])
+    rows = spark.read.parquet(f"{folder}/in")
     other = spark.createDataFrame([("a",)], "d string")
     step = {
-        "where": lambda: kept.where("d = 'a'"),
-        "drop": lambda: q.expect(kept, [Rule("only_a", "d = 'a'", DROP)]),
-        "join": lambda: kept.join(other, "d"),
-        "semi": lambda: kept.where("id = 1").join(other, "d", "left_semi"),
-    }[later]()
+        "where": lambda kept: kept.where("d = 'a'"),
+        "drop": lambda kept: q.expect(kept, [Rule("only_a", "d = 'a'", DROP)]),
+        "join": lambda kept: kept.join(other, "d"),
+        "semi": lambda kept: kept.where("id = 1").join(other, "d", "left_semi"),
+    }[later]
     with pytest.raises(Exception, match="has_id"):
-        step.write.parquet(f"{folder}/out")
+        step(q.expect(rows, [Rule("has_id", "id IS NOT NULL", FAIL)])).write.parquet(f"{folder}/out")
 
 
 def test_fail_rule_on_a_stream(spark, folder):
