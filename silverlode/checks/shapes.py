@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from silverlode.checks.registry import check, table
-from silverlode.functions.datagen import generate_for
+from silverlode.functions.datagen import country_codes, currency_codes, generate_for
 from silverlode.operators import layout, reshape
 from silverlode.session import new_folder
 
@@ -124,6 +124,48 @@ def layout_zorder(spark: SparkSession, folder: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
+@check(
+    """SELECT layout, n AS row_count, 64 AS files, TRUE AS skips_enough FROM (SELECT count(*) AS n FROM lineitem) c,
+    (VALUES ('hilbert'), ('morton')) AS v(layout)"""
+)
+def zorder_spans(spark: SparkSession, folder: str) -> DataFrame:
+    """Lines clustered by part and date into 64 files along both curves: a filter on either column, and one on a box, skips most files."""
+    lines = table(spark, folder, "lineitem")
+    found = None
+    for curve in ("hilbert", "morton"):
+        path = new_folder(spark, curve)
+        layout.cluster(lines, ["l_partkey", "l_shipdate"], 64, curve).write.parquet(path)
+        spans = layout.file_spans(spark, path, ["l_partkey", "l_shipdate"])
+        total = lines.agg(F.max("l_partkey").alias("parts")).first()["parts"]
+        low = F.col("min_l_partkey") <= total // 20  # a twentieth of the parts lies in few of the files
+        late = F.col("max_l_shipdate") >= F.lit("2001-01-01").cast("date")
+        both = (F.col("min_l_partkey") <= total // 4) & late
+        own = spans.agg(
+            F.lit(curve).alias("layout"),
+            F.sum("row_count").alias("row_count"),
+            F.count("*").cast("int").alias("files"),
+            ((F.count_if(low) <= 20) & (F.count_if(late) <= 24) & (F.count_if(both) <= 12)).alias("skips_enough"),
+        )
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
+@check(
+    """SELECT o_orderkey, o_orderdate, row_number() OVER (ORDER BY o_orderdate, o_orderkey) - 1 AS place FROM orders"""
+)
+def layout_compact_order(spark: SparkSession, folder: str) -> DataFrame:
+    """Twenty-four sorted files compacted into a few: every row has the place that it had."""
+    root = new_folder(spark, "compact")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_orderdate")
+    orders.repartitionByRange(24, "o_orderdate", "o_orderkey").sortWithinPartitions("o_orderdate", "o_orderkey").write.parquet(f"{root}/many")
+    layout.compact(spark, f"{root}/many", f"{root}/few", file_bytes=layout.folder_bytes(spark, f"{root}/many") // 3)
+    rows = spark.read.parquet(f"{root}/few").withColumns({"_file": F.col("_metadata.file_name"), "_row": F.col("_metadata.row_index")})
+    sizes = rows.groupBy("_file").agg(F.count("*").alias("_n"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)  # one row a file
+    bases = sizes.select("_file", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_base"))
+    return rows.join(bases, "_file").select("o_orderkey", "o_orderdate", (F.col("_base") + F.col("_row")).alias("place"))
+
+
 @check("SELECT * FROM orders")
 def layout_compact(spark: SparkSession, folder: str) -> DataFrame:
     root = new_folder(spark, "compact")
@@ -168,3 +210,40 @@ def datagen(spark: SparkSession, folder: str) -> DataFrame:
         F.count_distinct("status").cast("int").alias("statuses"),
         F.count_distinct("accounting_treatment_id").cast("int").alias("codes"),
     )
+
+
+ENTITY = {
+    "properties": {"id": {"type": "string"}, "date": {"type": "string", "format": "date-time"}, "status": {"type": "string", "enum": ["draft", "final"]}},
+    "required": ["id", "date"],
+}
+MONEY = {"definitions": {"amount": {"type": "integer", "minimum": 5, "maximum": 50}, "rate": {"allOf": [{"type": "number"}]}}}
+PRODUCT = {
+    "allOf": [{"$ref": "entity"}, {"properties": {"country_code": {"type": "string"}}}],
+    "definitions": {"code": {"type": "string", "enum": ["A", "B", "C"]}},
+    "properties": {
+        "amount": {"$ref": "money#/definitions/amount"},
+        "rate": {"$ref": "money#/definitions/rate"},
+        "class": {"$ref": "#/definitions/code"},
+        "currency_code": {"type": "string"},
+        "status": {"type": "string", "enum": ["active", "closed"]},
+    },
+    "required": ["amount"],
+}
+
+
+@check(
+    """SELECT count(*) AS records, count(DISTINCT c_custkey) AS ids, count(*) AS in_range, TRUE AS known_codes,
+        'id,date,status,country_code,amount,rate,class,currency_code' AS names FROM customer"""
+)
+def datagen_inherited(spark: SparkSession, folder: str) -> DataFrame:
+    """One record per customer of a schema that inherits from two others and refers to definitions here and there; its own enum wins."""
+    rows = generate_for(table(spark, folder, "customer"), "c_custkey", PRODUCT, seed=3, documents={"entity": ENTITY, "money": MONEY})
+    ok = F.col("amount").between(5, 49) & F.col("rate").between(0, 4.99) & F.col("class").isin("A", "B", "C") & F.col("status").isin("active", "closed")
+    known = F.col("country_code").isin(country_codes(spark)) & F.col("currency_code").isin(currency_codes(spark))
+    return rows.agg(
+        F.count(F.lit(1)).alias("records"),
+        F.count_distinct("id").alias("ids"),
+        F.count_if(ok).alias("in_range"),
+        F.bool_and(known).alias("known_codes"),
+        F.lit(",".join(rows.columns)).alias("names"),
+    )

@@ -18,10 +18,9 @@ from silverlode.functions.scalar import moment
 DEFAULT_MINIMUM, DEFAULT_MAXIMUM = -10000, 100000
 NUMBER_CENTS = 500
 ACCOUNTING_CODES = 9
+CODES = ("currency_code", "country_code")
 TEXT_LENGTHS = {"isin_code": 12, "reporting_id": 20}
 YEARS_BACK, YEARS_AHEAD = 10, 30
-CURRENCIES = ("AUD", "BRL", "CAD", "CHF", "CNY", "EUR", "GBP", "INR", "JPY", "MXN", "SEK", "USD", "ZAR")
-COUNTRIES = ("AU", "BR", "CA", "CH", "CN", "DE", "FR", "GB", "IN", "JP", "MX", "SE", "US", "ZA")
 WORDS = ("amber", "birch", "cedar", "delta", "ember", "fjord", "grove", "heath", "islet", "juniper")
 
 # The accounting treatments that reference data knows.
@@ -35,6 +34,50 @@ TREATMENTS = (
 )
 
 
+def country_codes(spark: SparkSession) -> list[str]:
+    """All ISO 3166 codes of two letters, as the JVM knows them."""
+    return sorted(spark._jvm.java.util.Locale.getISOCountries())
+
+
+def currency_codes(spark: SparkSession) -> list[str]:
+    """All ISO 4217 codes, as the JVM knows them."""
+    return sorted(c.getCurrencyCode() for c in spark._jvm.java.util.Currency.getAvailableCurrencies())
+
+
+def resolved(schema: Mapping, documents: Mapping[str, Mapping] | None = None, within: Mapping | None = None, seen: tuple[str, ...] = ()) -> dict:
+    """The schema with what it refers to and inherits put in its place.
+
+    ``$ref`` is a path into the document ("#/definitions/x") or the name of one of ``documents``, with a path or without. The
+    properties and required names of every member of ``allOf`` come first, in order, then the schema's own, which win. A
+    reference that leads back to itself is an error.
+    """
+    documents = documents or {}
+    within = schema if within is None else within
+    if "$ref" in schema:
+        name, _, path = schema["$ref"].partition("#")
+        document, label = (documents[name], name) if name else (within, f"{id(within)}")
+        if f"{label}#{path}" in seen:
+            raise ValueError(f"the reference {schema['$ref']} leads back to itself")
+        target = document
+        for part in filter(None, path.split("/")):
+            target = target[part.replace("~1", "/").replace("~0", "~")]
+        found = resolved(target, documents, document, (*seen, f"{label}#{path}"))
+        rest = {k: v for k, v in schema.items() if k != "$ref"}
+        return found | (resolved(rest, documents, within, seen) if rest else {})
+    whole: dict = {}
+    properties: dict = {}
+    required: list[str] = []
+    for member in schema.get("allOf", ()):
+        part = resolved(member, documents, within, seen)
+        whole |= part
+        properties |= part.get("properties", {})
+        required += [n for n in part.get("required", ()) if n not in required]
+    whole |= {k: v for k, v in schema.items() if k != "allOf"}
+    properties |= {n: resolved(spec, documents, within, seen) for n, spec in schema.get("properties", {}).items()}
+    required += [n for n in schema.get("required", ()) if n not in required]
+    return whole | ({"properties": properties} if properties else {}) | ({"required": required} if required else {})
+
+
 def _draw(field: str, seed: int, size: int) -> Column:
     """A whole number in [0, size)."""
     return F.pmod(F.xxhash64(F.col("_id"), F.lit(seed), F.lit(field)), F.lit(int(size)))
@@ -60,10 +103,9 @@ def _field(name: str, spec: Mapping, seed: int, at: datetime, choices: Mapping[s
         return _choice(name, seed, choices[name])
     if name == "date":
         return _iso(moment(at))
-    if name.endswith("currency_code"):
-        return _choice(name, seed, CURRENCIES)
-    if name.endswith("country_code"):
-        return _choice(name, seed, COUNTRIES)
+    for suffix in CODES:
+        if name.endswith(suffix):
+            return _choice(name, seed, choices[suffix])
     if name == "accounting_treatment_id":
         return _draw(name, seed, ACCOUNTING_CODES).cast("int")
     if name in TEXT_LENGTHS:
@@ -95,9 +137,10 @@ def generate(
     at: datetime | None = None,
     offset: int = 0,
     choices: Mapping[str, Sequence] | None = None,
+    documents: Mapping[str, Mapping] | None = None,
 ) -> DataFrame:
     """``n`` records with global ids from ``offset``; one typed column per generated property."""
-    return generate_for(spark.range(offset, offset + n), "id", schema, seed, at, choices)
+    return generate_for(spark.range(offset, offset + n), "id", schema, seed, at, choices, documents)
 
 
 def generate_for(
@@ -107,13 +150,18 @@ def generate_for(
     seed: int = 0,
     at: datetime | None = None,
     choices: Mapping[str, Sequence] | None = None,
+    documents: Mapping[str, Mapping] | None = None,
 ) -> DataFrame:
     """Records for the given ids (a long column), for example one per row of a large table.
 
-    ``choices`` gives the values of named properties, such as a full list of country codes.
+    ``choices`` gives the values of named properties, or of all that end in currency_code or country_code (all ISO codes
+    otherwise). ``documents`` are the schemas that this one refers to, by name.
     """
     at = at or datetime(2024, 1, 1)
-    columns = {name: _field(name, spec, seed, at, choices or {}) for name, spec in schema["properties"].items()}
+    spark = ids.sparkSession
+    choices = {"currency_code": currency_codes(spark), "country_code": country_codes(spark)} | dict(choices or {})
+    whole = resolved(schema, documents)
+    columns = {name: _field(name, spec, seed, at, choices) for name, spec in whole["properties"].items()}
     rows = ids.select(F.col(key).cast("long").alias("_id"))
     return rows.select(*[c.alias(name) for name, c in columns.items() if c is not None])
 

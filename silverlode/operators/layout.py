@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
-from math import ceil
+from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -69,18 +69,9 @@ def with_zorder_key(df: DataFrame, columns: Sequence[str], bits: int = 8, name:
     """
     if bits * len(columns) > 62:
         raise ValueError("bits times columns must stay within a long")
-    cells = 1 << bits
-    numbered = df.withColumns({f"_n{i}": _as_ordered(df, c) for i, c in enumerate(columns)})
-    texts = {i for i, c in enumerate(columns) if _is_text(df.schema[c].dataType)}
-    fractions = f"array({', '.join(str(i / cells) for i in range(1, cells))})"
-    numbers = [i for i in range(len(columns)) if i not in texts]
-    quantiles = [F.expr(f"percentile_approx(_n{i}, {fractions})").alias(f"_q{i}") for i in numbers]
-    row = numbered.agg(*quantiles).first() if quantiles else {}
-    bounds = [_text_cuts(numbered, f"_n{i}", cells) if i in texts else row[f"_q{i}"] for i in range(len(columns))]
-    for i, found in enumerate(bounds):
-        numbered = _with_bucket(numbered, f"_n{i}", f"_b{i}", sorted(set(found or []), key=lambda v: v.encode() if isinstance(v, str) else v), bits)
+    numbered = with_cells(df, columns, bits)
     # Entry b holds the bits of b, each moved to its place among those of the other columns.
-    spread = [sum((b >> bit & 1) << (bit * len(columns)) for bit in range(bits)) for b in range(cells)]
+    spread = [sum((b >> bit & 1) << (bit * len(columns)) for bit in range(bits)) for b in range(1 << bits)]
     table = F.expr(f"array({', '.join(f'{v}L' for v in spread)})")
     last = len(columns) - 1
     pieces = [F.shiftleft(F.element_at(table, F.col(f"_b{i}") + 1), last - i) for i in range(len(columns))]
@@ -99,6 +90,91 @@ def zorder(df: DataFrame, columns: Sequence[str], partitions: int, bits: int = 8
     return keyed.repartitionByRange(partitions, F.col("_z"), spread).sortWithinPartitions("_z", *columns).drop("_z")
 
 
+def bits_for(files: int, columns: int) -> int:
+    """Bits a column that tell the target files apart, and two more for cells smaller than a file."""
+    return max(1, ceil(log2(max(2, files)) / columns)) + 2
+
+
+def _bit(number: Column, bit: int) -> Column:
+    return F.shiftright(number, bit).bitwiseAND(1)
+
+
+def _packed(bits: list[Column]) -> Column:
+    """Bits, the most significant first, as bytes: any number of them, in an order that compares like the number."""
+    bits = [*bits, *[F.lit(0)] * (-len(bits) % 8)]
+    groups = [bits[k : k + 8] for k in range(0, len(bits), 8)]
+    values = [reduce(lambda a, b: a + b, [F.shiftleft(b.cast("int"), 7 - k) for k, b in enumerate(g)]) for g in groups]
+    return F.unhex(F.concat(*[F.lpad(F.hex(v), 2, "0") for v in values]))
+
+
+def _hilbert_axes(df: DataFrame, names: Sequence[str], bits: int) -> DataFrame:
+    """Skilling's transform of the cell numbers in place: their bits, interleaved, then are the Hilbert index."""
+    first = names[0]
+    for bit in range(bits - 1, 0, -1):
+        low = (1 << bit) - 1
+        for name in names:
+            high = _bit(F.col(name), bit) == 1
+            swapped = F.when(high, F.lit(0)).otherwise(F.col(first).bitwiseXOR(F.col(name)).bitwiseAND(low))
+            df = df.withColumn("_t", swapped)
+            turned = F.when(high, F.col(first).bitwiseXOR(F.lit(low))).otherwise(F.col(first).bitwiseXOR(F.col("_t")))
+            if name == first:
+                df = df.withColumn(first, F.when(high, F.col(first).bitwiseXOR(F.lit(low))).otherwise(F.col(first)))
+            else:
+                df = df.withColumns({first: turned, name: F.col(name).bitwiseXOR(F.col("_t"))})
+    for before, name in zip(names[:-1], names[1:]):
+        df = df.withColumn(name, F.col(name).bitwiseXOR(F.col(before)))
+    df = df.withColumn("_t", F.lit(0))
+    for bit in range(bits - 1, 0, -1):
+        flip = F.when(_bit(F.col(names[-1]), bit) == 1, F.lit((1 << bit) - 1)).otherwise(0)
+        df = df.withColumn("_t", F.col("_t").bitwiseXOR(flip))
+    return df.withColumns({name: F.col(name).bitwiseXOR(F.col("_t")) for name in names}).drop("_t")
+
+
+def with_cells(df: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
+    """``df`` with the cell number of each column as ``_b0``, ``_b1``, ...: its place among quantiles of the column."""
+    cells = 1 << bits
+    numbered = df.withColumns({f"_n{i}": _as_ordered(df, c) for i, c in enumerate(columns)})
+    texts = {i for i, c in enumerate(columns) if _is_text(df.schema[c].dataType)}
+    fractions = f"array({', '.join(str(i / cells) for i in range(1, cells))})"
+    numbers = [i for i in range(len(columns)) if i not in texts]
+    quantiles = [F.expr(f"percentile_approx(_n{i}, {fractions})").alias(f"_q{i}") for i in numbers]
+    row = numbered.agg(*quantiles).first() if quantiles else {}
+    bounds = [_text_cuts(numbered, f"_n{i}", cells) if i in texts else row[f"_q{i}"] for i in range(len(columns))]
+    for i, found in enumerate(bounds):
+        cuts = sorted(set(found or []), key=lambda v: v.encode() if isinstance(v, str) else v)
+        numbered = _with_bucket(numbered, f"_n{i}", f"_b{i}", cuts, bits)
+    return numbered.select(*df.columns, *[f"_b{i}" for i in range(len(columns))])
+
+
+def with_curve_key(df: DataFrame, columns: Sequence[str], bits: int, curve: str = "hilbert", name: str = "_z") -> DataFrame:
+    """Add a binary key along a Hilbert or Morton curve through the columns' cells, of bits x columns bits, however many."""
+    if curve not in ("hilbert", "morton"):
+        raise ValueError(f"unknown curve {curve!r}")
+    cells = [f"_b{i}" for i in range(len(columns))]
+    placed = with_cells(df, columns, bits)
+    if curve == "hilbert":
+        placed = _hilbert_axes(placed, cells, bits)
+    interleaved = [_bit(F.col(c), bit) for bit in range(bits - 1, -1, -1) for c in cells]
+    return placed.withColumn(name, _packed(interleaved)).select(*df.columns, name)
+
+
+def cluster(df: DataFrame, columns: Sequence[str], files: int, curve: str = "hilbert", bits: int | None = None) -> DataFrame:
+    """Same rows, clustered along a curve for ``files`` files; the cells are as fine as that number of files needs.
+
+    A row hash follows the key in the range partitioning, so one heavy cell spreads over several files.
+    """
+    keyed = with_curve_key(df, columns, bits or bits_for(files, len(columns)), curve)
+    spread = F.xxhash64(*[c for c in df.columns if not has_map(df.schema[c].dataType)])
+    return keyed.repartitionByRange(files, F.col("_z"), spread).sortWithinPartitions("_z", *columns).drop("_z")
+
+
+def file_spans(spark: SparkSession, path: str, columns: Sequence[str]) -> DataFrame:
+    """(file, row_count, and min and max of each column), one row a file: what decides which files a filter can skip."""
+    rows = spark.read.parquet(path)
+    spans = [f(c).alias(f"{label}_{c}") for c in columns for f, label in ((F.min, "min"), (F.max, "max"))]
+    return rows.groupBy(F.col("_metadata.file_name").alias("file")).agg(F.count("*").alias("row_count"), *spans)
+
+
 def has_map(kind: T.DataType) -> bool:
     if isinstance(kind, T.StructType):
         return any(has_map(f.dataType) for f in kind.fields)
