@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.checks.registry import check, table
+from silverlode.checks.registry import check, in_batches, table
 from silverlode.functions.scalar import full_name
 from silverlode.operators import cdc
 from silverlode.operators.project import delete_where, update_where
@@ -105,7 +105,9 @@ def cdc_scd1_stream(spark: SparkSession, folder: str) -> DataFrame:
 @check(scd1())
 def cdc_scd1_state_stream(spark: SparkSession, folder: str) -> DataFrame:
     log = new_folder(spark, "state")
-    stream = stream_table(spark, folder, _events(spark, folder).schema, "events.parquet")
+    # Three batches out of order: the oldest events come last.
+    batch = F.when(F.col(SEQ) >= _at(CUT), 0).when(F.col(SEQ) >= _at(MIDDLE), 1).otherwise(2)
+    stream = in_batches(_events(spark, folder).withColumn("batch", batch), f"{log}-in")
     streams.stateful_upserts(stream, KEYS, SEQ, log, f"{log}-checkpoint", ["event_id"])
     return streams.upserted_table(spark, log, KEYS, SEQ, DELETED, ["event_id"])
 
@@ -147,7 +149,8 @@ def cdc_merge_stream(spark: SparkSession, folder: str) -> DataFrame:
 def cdc_merge_log_stream(spark: SparkSession, folder: str) -> DataFrame:
     """The same merge as an append-only log that is resolved on read."""
     log = new_folder(spark, "merge-log")
-    stream = stream_table(spark, folder, _events(spark, folder).schema, "events.parquet")
+    batch = F.when(F.col(SEQ) < _at(MIDDLE), 0).when(F.col(SEQ) < _at(CUT), 1).otherwise(2)
+    stream = in_batches(_events(spark, folder).withColumn("batch", batch), f"{log}-in")
     streams.merge_log_stream(stream, KEYS, SEQ, DELETED, log, f"{log}-checkpoint")
     return streams.merged_table(spark, log, KEYS, DELETED)
 

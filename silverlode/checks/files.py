@@ -5,20 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.checks.registry import check, table
+from silverlode.checks.registry import check, in_batches, table
 from silverlode.operators.joins import enrich
 from silverlode.operators.project import type_columns
 from silverlode.plans.templates import ingest_registered
 from silverlode.session import new_folder
 from silverlode.sources import files, sinks
-from silverlode.streaming.writers import append_stream, each_batch, write_batch
+from silverlode.streaming.writers import append_stream, append_to_table, each_batch, write_batch
 
-ORDERS = "SELECT o_orderkey, o_custkey, o_totalprice, o_orderpriority FROM orders"
-DDL = "o_orderkey long, o_custkey long, o_totalprice double, o_orderpriority string"
+ORDERS = "SELECT * FROM orders"
+DDL = "o_orderkey long, o_custkey long, o_orderstatus string, o_totalprice double, o_orderdate timestamp_ntz, o_orderpriority string"
 
 
 def _orders(spark: SparkSession, folder: str) -> DataFrame:
-    return table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    return table(spark, folder, "orders")
 
 
 def _landed_csv(spark: SparkSession, folder: str, label: str) -> str:
@@ -38,15 +38,16 @@ def ingest_stream(spark: SparkSession, folder: str) -> DataFrame:
     return rows.withColumn("from_csv", F.col("input_file_name").endswith(".csv")).drop("input_file_name")
 
 
-@check("SELECT event_id, user_id, value, props FROM events")
+@check("SELECT * FROM events")
 def ingest_json_pinned(spark: SparkSession, folder: str) -> DataFrame:
     """JSON batches read as a stream under a schema inferred once and pinned."""
     root = new_folder(spark, "json")
-    sinks.write_json_batch(table(spark, folder, "events").drop("ts"), f"{root}/landing", 0)
+    events = table(spark, folder, "events")
+    sinks.write_json_batch(events.withColumn("ts", F.date_format("ts", "yyyy-MM-dd HH:mm:ss.SSSSSS")), f"{root}/landing", 0)
     schema = files.infer_and_pin_schema(spark, f"{root}/landing/batch=0", f"{root}/schema")
     stream = files.ingest_files(spark, f"{root}/landing/batch=0", schema, "json", lineage=None)
     append_stream(stream, f"{root}/bronze", f"{root}/checkpoint")
-    return spark.read.parquet(f"{root}/bronze").select("event_id", "user_id", "value", "props")
+    return spark.read.parquet(f"{root}/bronze").select(*events.columns).withColumn("ts", F.col("ts").cast("timestamp_ntz"))
 
 
 @check(
@@ -69,7 +70,8 @@ def schema_evolution(spark: SparkSession, folder: str) -> DataFrame:
 @check(ORDERS)
 def csv_inferred(spark: SparkSession, folder: str) -> DataFrame:
     rows = files.read_csv(spark, f"{_landed_csv(spark, folder, 'inferred')}/landing")
-    return rows.withColumns({c: F.col(c).cast("long") for c in ("o_orderkey", "o_custkey")})
+    numbers = {c: F.col(c).cast("long") for c in ("o_orderkey", "o_custkey")}
+    return rows.withColumns({**numbers, "o_orderdate": F.col("o_orderdate").cast("timestamp_ntz")})
 
 
 @check(ORDERS)
@@ -126,10 +128,9 @@ def csv_temp_view(spark: SparkSession, folder: str) -> DataFrame:
 
 @check(ORDERS)
 def table_stream_append(spark: SparkSession, folder: str) -> DataFrame:
-    """A parquet table read as a stream, every micro-batch handed to a function."""
+    """A parquet table of several files read as a stream, every micro-batch handed to a function."""
     root = new_folder(spark, "append")
-    stream = files.stream_table(spark, folder, table(spark, folder, "orders").schema, "orders.parquet")
-    rows = stream.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
+    rows = in_batches(_orders(spark, folder).withColumn("batch", (F.col("o_orderkey") % 3).cast("int")), f"{root}/orders")
     each_batch(rows, lambda batch, i: write_batch(batch, f"{root}/log", i), f"{root}/checkpoint")
     return spark.read.parquet(f"{root}/log").drop("batch_id")
 
@@ -154,7 +155,7 @@ def publish_csv(spark: SparkSession, folder: str) -> DataFrame:
         found.select(F.lit(form).alias("form"), "*").write.parquet(kept)
         now = spark.read.parquet(kept)
         read = now if read is None else read.unionByName(now)
-    return type_columns(read, {"o_orderkey": "long", "o_custkey": "long", "o_totalprice": "double"})
+    return type_columns(read, {"o_orderkey": "long", "o_custkey": "long", "o_totalprice": "double", "o_orderdate": "timestamp_ntz"})
 
 
 @check(
@@ -270,7 +271,23 @@ def stream_to_registered_table(spark: SparkSession, folder: str) -> DataFrame:
     root = new_folder(spark, "registered")
     name = root.rsplit("/", 1)[1].replace("-", "_")
     stream = files.stream_table(spark, folder, table(spark, folder, "orders").schema, "orders.parquet")
-    rows = stream.select("o_orderkey", "o_custkey", "o_totalprice", "o_orderpriority")
-    append_stream(rows, f"{root}/data", f"{root}/checkpoint", name=name)
+    append_stream(stream, f"{root}/data", f"{root}/checkpoint", name=name)
     sinks.register_table(spark, name, f"{root}/data")
     return spark.table(name)
+
+
+@check("SELECT o_orderkey, o_custkey, o_totalprice, o_orderdate, o_orderkey % 4 AS load FROM orders")
+def table_appended_by_stream(spark: SparkSession, folder: str) -> DataFrame:
+    """Four micro-batches appended to a table of the catalog by its name, read back by that name."""
+    root = new_folder(spark, "named")
+    name = root.rsplit("/", 1)[1].replace("-", "_")
+    orders = table(spark, folder, "orders").select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", (F.col("o_orderkey") % 4).alias("load"))
+    append_to_table(in_batches(orders.withColumn("batch", F.col("load").cast("int")), f"{root}/in"), name, f"{root}/_checkpoint")
+    return spark.table(name)
+
+
+@check("SELECT o_orderstatus, count(*) AS n, 'spark_catalog' AS catalog, 'default' AS db, TRUE AS has_user FROM orders GROUP BY 1")
+def session_context(spark: SparkSession, folder: str) -> DataFrame:
+    """Rows stamped with the session that made them: its catalog, database and user."""
+    stamped = table(spark, folder, "orders").withColumns({"catalog": F.current_catalog(), "db": F.current_database(), "by": F.current_user()})
+    return stamped.groupBy("o_orderstatus", "catalog", "db").agg(F.count("*").alias("n"), F.bool_and(F.length("by") > 0).alias("has_user"))

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.checks.changes import CUT, DELETED, KEYS, MIDDLE, SCD2, SEQ, scd1
-from silverlode.checks.registry import check, table
+from silverlode.checks.registry import check, in_batches, table
 from silverlode.operators import bitmaps, cdc
 from silverlode.operators.quality import DROP, Rule, expect, with_stored_measure
 from silverlode.session import new_folder
@@ -24,15 +24,6 @@ ODD = f"""SELECT event_id, CASE WHEN event_id % 89 <> 0 THEN ts END AS ts, CASE
     event_type, value, props, {IN_ORDER} AS batch FROM events"""
 
 
-def in_batches(rows: DataFrame, folder: str, batch: str = "batch") -> DataFrame:
-    """A stream that brings the rows of each number in ``batch`` as one micro-batch, in turn."""
-    numbers = sorted(r[0] for r in rows.select(batch).distinct().collect())
-    for number in numbers:  # one file each; the file source takes them by time
-        rows.where(F.col(batch) == number).drop(batch).coalesce(1).write.mode("append").parquet(folder)
-    schema = rows.drop(batch).schema
-    return rows.sparkSession.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(folder)
-
-
 def _events(spark: SparkSession, folder: str, batch: str = IN_ORDER) -> DataFrame:
     return table(spark, folder, "events").withColumn("batch", F.expr(batch))
 
