@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.frames import stored
+from silverlode.llm.frames import same_store, stored
 
 
 def _forest(edges: DataFrame) -> DataFrame:
@@ -63,13 +63,13 @@ def components(edges: DataFrame) -> DataFrame:
         small = down.join(least, "a").select(F.col("b").alias("a"), F.col("m").alias("b")).union(
             least.select("a", F.col("m").alias("b"))
         )
-        now = stored(small.where("a <> b").distinct(), "edges")
+        now = stored(small.where("a <> b").distinct(), "edges", (now,))
         state = tuple(now.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first())
         if state == before:
             break
         before = state
     found = now.select(F.col("a").alias("node"), F.col("b").alias("component"))
-    return found.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct())
+    return same_store(found.union(now.select(F.col("b").alias("node"), F.col("b").alias("component")).distinct()), now)
 
 
 def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:

@@ -183,7 +183,7 @@ def word_losses(grams: DataFrame) -> DataFrame:
     low = stored(low.select("b", "z", *[f"p2_{k}" for k in kinds]), "bigram-shares")
     whole = three.join(summed(renamed(three, "c3"), "a", "b", label="h3"), ["a", "b"]).join(low, ["b", "z"])
     found = [(-F.log(F.col(f"p2_{k}") + w3 * share(f"c3_{k}", f"h3_{k}"))).alias(f"{k}_loss") for k in kinds]
-    return stored(whole.select("a", "b", "z", *found), "losses")
+    return stored(whole.select("a", "b", "z", *found), "losses", (three, two, one, low))
 
 
 def word_cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -194,9 +194,11 @@ def word_cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id
     # A merge join at every size: what is moved then follows the input.
     grams = stored(word_trigrams(rows.join(wanted.hint("merge"), "doc_id", "left")), "grams")
     # A document has at most one row for a trigram; a common trigram is split by Spark's skew join.
-    met = grams.join(word_losses(grams).hint("merge"), ["a", "b", "z"])
+    losses = word_losses(grams)
+    met = grams.join(losses.hint("merge"), ["a", "b", "z"])
     kinds = ("target_loss", "background_loss")
     scores = met.groupBy("doc_key").agg(F.sum("n").alias("n"), *[(F.sum(F.col("n") * F.col(k)) / F.sum("n")).alias(k) for k in kinds])
+    scores = stored(scores, "scores", (grams, losses))
     keys = rows.select("doc_id", "doc_key")
     copies = keys.groupBy("doc_key").agg(F.count("*").alias("copies"))  # equal rows were counted together
     joined = keys.join(copies, "doc_key").join(scores, "doc_key", "left")

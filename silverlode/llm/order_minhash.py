@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverlode.llm.buffers import groups, mix, text_buffer
-from silverlode.llm.frames import stored
+from silverlode.llm.frames import release, same_store, stored
 from silverlode.llm.links import components
 from silverlode.llm.pairs import SIMILARITY, kmers, near_links
 from silverlode.llm.suffixes import keyed
@@ -121,15 +121,17 @@ def near_classes(docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc_
         same = [texts["key"] == wanted["key"], texts["doc_id"].eqNullSafe(wanted["doc_id"])]
         return texts.join(wanted, same, "left_semi").select("key", "text")
 
-    found = components(near_links(_members(texts), one_each, similarity, least))
-    return rows, found.select(F.col("node").alias("key"), F.col("component").alias("class"))
+    links = near_links(_members(texts), one_each, similarity, least)
+    found = components(links)
+    release(links, chosen)
+    return rows, same_store(found.select(F.col("node").alias("key"), F.col("component").alias("class")), found)
 
 
 def near_duplicates(docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, class_id, kept): one row a document; class_id is the least doc_id of its class, whose first row stays."""
     rows, classes = near_classes(docs, least, doc_id, text)
     slim = rows.select("doc_id", "key").join(classes, "key", "left")
-    slim = stored(slim.select("doc_id", F.coalesce("class", "key").alias("class")), "classes")
+    slim = stored(slim.select("doc_id", F.coalesce("class", "key").alias("class")), "classes", (classes,))
     least_id = slim.groupBy("class").agg(F.min("doc_id").alias("class_id"))
     joined = slim.join(least_id, "class")
     one = Window.partitionBy("class", "doc_id").orderBy("doc_id")
@@ -146,7 +148,7 @@ def first_of_each(docs: DataFrame, least: float = SIMILARITY, doc_id: str = "doc
     rows, classes = near_classes(docs, least, doc_id, text)
     slim = rows.select("doc_id", "key").distinct().join(classes, "key", "left")
     slim = slim.select("doc_id", "key", F.coalesce("class", "key").alias("class"))
-    first = stored(slim.groupBy("class").agg(F.min(F.struct("doc_id", "key")).alias("at")).select("at.*"), "first")
+    first = stored(slim.groupBy("class").agg(F.min(F.struct("doc_id", "key")).alias("at")).select("at.*"), "first", (classes,))
     whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
     keyed_rows = docs.select(whole, F.col(f"`{doc_id}`").alias("_id"), F.xxhash64(value).alias("_key"))

@@ -143,21 +143,25 @@ def near_links(
     """
     members = stored(members.dropDuplicates(["bucket", "key"]), "sketches")
     several = members.groupBy("bucket").agg(F.count("*").alias("n")).where("n > 1")
-    members = stored(members.join(several, "bucket"), "buckets")
+    members = stored(members.join(several, "bucket"), "buckets", (members,))
     degree = members.groupBy("key").agg(F.sum(F.col("n") - 1).alias("degree"))
     candidates = stored(texts(degree.select("key")), "candidates")
     best = members.join(degree, "key").groupBy("bucket").agg(F.max(F.struct("degree", "key")).alias("best"))
     star = members.join(best.select("bucket", F.col("best.key").alias("lead")), "bucket").where("key <> lead")
     pairs = star.select(F.least("key", "lead").alias("a"), F.greatest("key", "lead").alias("b")).distinct()
     links = stored(verified(pairs, candidates, similarity, least), "links")
-    members = members.select("bucket", "key")
-    live = stored(_live(members, components(links)), "live")
+    buckets, members = members, members.select("bucket", "key")
+    joined = components(links)
+    live = stored(_live(members, joined), "live", (joined,))
     # One bucket a key first: its neighbours are mostly the same in all of its buckets.
     own = live.groupBy("key").agg(F.max(F.struct("n", "bucket", "component")).alias("own")).select("own.bucket", "key", "own.component")
-    first = _compared(stored(_open(own), "own"), candidates, similarity, least)
-    links = stored(links.union(first), "links")
-    live = stored(_live(members, components(links)), "live")
-    return links.union(_compared(live, candidates, similarity, least))
+    own = stored(_open(own), "own", (live,))
+    first = _compared(own, candidates, similarity, least)
+    links = stored(links.union(first), "links", (links, first, own))
+    joined = components(links)
+    live = stored(_live(members, joined), "live", (joined, buckets))
+    last = _compared(live, candidates, similarity, least)
+    return stored(links.union(last), "links", (links, last, live, candidates))
 
 
 def _compared(live: DataFrame, candidates: DataFrame, similarity: Similarity, least: float) -> DataFrame:
@@ -169,4 +173,4 @@ def _compared(live: DataFrame, candidates: DataFrame, similarity: Similarity, le
     tiled = tiled.withColumns({"i": F.least("slice", "with"), "j": F.greatest("slice", "with")})
     columns = ("bucket", "i", "j", "slice", "key", "component", "signature", "grams")
     more = stored(_tiles(tiled.select(*columns), similarity, least), "pairs")
-    return stored(verified(more, candidates, similarity, least), "links")
+    return stored(verified(more, candidates, similarity, least), "links", (more,))

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.buffers import groups, mix, prefix, ragged, slices, text_buffer, words
-from silverlode.llm.frames import stored
+from silverlode.llm.frames import release, stored
 from silverlode.llm.links import components
 from silverlode.llm.pairs import SIMILARITY, WORDS, kmers, near_links
 
@@ -176,16 +176,18 @@ def remove_passages(
         chosen = first_seen.join(keys, "key").groupBy("at.doc_key").agg(F.collect_list(F.struct("key", F.col("at.place").alias("place"))).alias("wanted"))
         return _extracted(rows.select("doc_key", "text").join(chosen, "doc_key").select("text", "wanted"))
 
-    found = components(near_links(_members(rows, least, SHINGLED_WORDS), texts, jaccard, least))
+    links = near_links(_members(rows, least, SHINGLED_WORDS), texts, jaccard, least)
+    found = components(links)
+    release(links)
     ids = stored(rows.select("doc_key", "id", F.xxhash64("text").alias("tie")).distinct(), "ids")
     placed = table.join(found.select(F.col("node").alias("key"), "component"), "key", "left")
     placed = placed.select("doc_key", "place", F.coalesce("component", "key").alias("class"))
     several = placed.groupBy("class").agg(F.min(F.struct("doc_key", "place")).alias("x"), F.max(F.struct("doc_key", "place")).alias("y"))
     repeated = placed.join(several.where("x <> y").select("class"), "class").join(ids, "doc_key")
-    repeated = stored(repeated.select("class", "doc_key", "place", F.struct("id", "tie", "place").alias("at")), "repeated")
+    repeated = stored(repeated.select("class", "doc_key", "place", F.struct("id", "tie", "place").alias("at")), "repeated", (table, found, ids))
     kept = repeated.groupBy("class").agg(F.min("at").alias("first"))
     marked = repeated.join(kept, "class").where(~F.col("at").eqNullSafe(F.col("first")))
-    marked = marked.groupBy("doc_key").agg(F.collect_set("place").alias("marked"))
+    marked = stored(marked.groupBy("doc_key").agg(F.collect_set("place").alias("marked")), "marked", (repeated,))
 
     @F.pandas_udf("text string, n_lines_removed int, n_bytes_removed bigint")
     def applied(values, places):
@@ -293,17 +295,17 @@ def remove_runs(docs: DataFrame, fewest: int = PASSAGE_WORDS, doc_id: str = "doc
     anchors = stored(_anchors(rows, fewest), "anchors")
     several = anchors.groupBy("gram").agg(F.sum("n").alias("n")).where("n > 1").select("gram")
     chosen = anchors.join(several, "gram").groupBy("doc_key").agg(F.collect_set("gram").alias("grams"))
-    table = stored(_hashed_windows(rows.select("doc_key", "text").join(chosen, "doc_key"), fewest), "windows")
+    table = stored(_hashed_windows(rows.select("doc_key", "text").join(chosen, "doc_key"), fewest), "windows", (anchors,))
     several = table.groupBy("key").agg(F.min(F.struct("doc_key", "place")).alias("x"), F.max(F.struct("doc_key", "place")).alias("y"))
     ids = rows.select("doc_key", "id", F.xxhash64("text").alias("tie")).distinct()
     repeated = table.join(several.where("x <> y").select("key"), "key").join(ids, "doc_key")
-    repeated = stored(repeated.select("key", "doc_key", "place", F.struct("id", "tie", "place", "doc_key").alias("at")), "repeated")
+    repeated = stored(repeated.select("key", "doc_key", "place", F.struct("id", "tie", "place", "doc_key").alias("at")), "repeated", (table,))
     kept = repeated.groupBy("key").agg(F.min("at").alias("first"))
     later = repeated.join(kept, "key").where(~F.col("at").eqNullSafe(F.col("first")))
     # Where a window overlaps its own first occurrence, the words of that stay.
     own = F.when(F.col("first.doc_key") == F.col("doc_key"), F.col("first.place") + fewest).otherwise(0)
     spans = later.select("doc_key", F.struct(F.greatest("place", own).alias("a"), (F.col("place") + fewest).alias("b")).alias("span"))
-    marked = spans.groupBy("doc_key").agg(F.collect_set("span").alias("marked"))
+    marked = stored(spans.groupBy("doc_key").agg(F.collect_set("span").alias("marked")), "marked", (repeated,))
 
     @F.pandas_udf("text string, n_lines_removed int, n_bytes_removed bigint")
     def applied(values, spans):
