@@ -4,10 +4,14 @@ Token totals by source, language and topic are raked to a target share on each o
 margins and to a token budget, no cell above what it holds; a document is then kept with
 its cell's share kept, by a hash of its id and text, so that a rerun draws the same sample.
 
+The cells are a Spark table, one row for each (source, language, topic) in use, and every source and every language is a category of
+its own, however small. A round scales the cells to one margin after the other, each by a partial aggregate and a join back,
+and is written; rounds end when no cell moves by more than ``TOLERANCE`` of all tokens.
+
 Topic: every document is a profile of 64 hashed word frequencies (square roots, unit length) less the mean
 of its language, so that the topic margin asks for something else than the language margin; eight centres are
-moved by Lloyd steps over all documents, from the eight different profiles with the least hash. Sources and languages with less than 1/4096 of the tokens share one category, so the driver
-holds at most 4097 x 4097 x 8 cells of which only those in use, and never a row a document.
+moved by Lloyd steps over all documents, from the eight different profiles with the least hash. Languages with less than 1/4096 of
+the tokens share one mean there (and nowhere else), so the driver holds at most 4097 means and eight centres, and never a row a document or a cell.
 
 Cases: null source or language counts as the empty string; null text is empty, has no tokens and the topic of
 an empty profile, and is kept with its cell's share; a cell without tokens keeps its documents; repeated rows are
@@ -26,24 +30,24 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.buffers import groups, text_buffer, words
-from silverlode.llm.frames import stored
+from silverlode.llm.frames import release, same_store, stored
 
 SLOTS, TOPICS, STEPS = 64, 8, 8
 SMALLEST = 1 / 4096
 TEMPER = 0.9
 REST = "(rest)"
 SEED = 11
+MARGINS = ("source", "lang", "topic")
+TOLERANCE, ROUNDS = 1e-6, 200
 
 
 @dataclass
 class Mix:
-    """Language means, centres of the topics, categories told apart, and the share kept of each cell."""
+    """Language means, centres of the topics, and (source, lang, topic, weight, probability) of each cell."""
 
     means: dict[str, np.ndarray]
     centres: np.ndarray
-    sources: list[str]
-    languages: list[str]
-    shares: dict[tuple[str, str, int], tuple[float, float]]
+    cells: DataFrame
 
 
 def profiles(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -139,34 +143,58 @@ def topic_centres(rows: DataFrame, means: dict[str, np.ndarray], topics: int = T
     return now
 
 
-def raked(tokens: np.ndarray, targets: list[np.ndarray], budget: float, steps: int = 500) -> np.ndarray:
-    """Tokens to take of each cell: margins in the proportions of ``targets``, ``budget`` of all, no cell above its tokens."""
-    total = tokens.sum() * budget
-    wanted = []
-    for axis, target in enumerate(targets):
-        there = tokens.sum(tuple(k for k in range(tokens.ndim) if k != axis)) > 0
-        share = np.where(there, target, 0.0)
-        wanted.append(total * share / share.sum() if share.sum() else share)
-    taken = tokens.astype(float) * budget
-    for _ in range(steps):
-        before = taken
-        for axis, goal in enumerate(wanted):
-            have = taken.sum(tuple(k for k in range(tokens.ndim) if k != axis))
-            factor = np.divide(goal, have, out=np.ones_like(goal), where=have > 0)
-            shape = [1] * tokens.ndim
-            shape[axis] = -1
-            taken = np.minimum(tokens, taken * factor.reshape(shape))
-        if np.abs(taken - before).max(initial=0) <= 1e-9 * max(1.0, total):
-            break
-    return taken
+def margin_goals(cells: DataFrame, targets: dict[str, dict] | None = None, temper: float = TEMPER) -> dict[str, DataFrame]:
+    """For each margin (value, share, goal): the share of all tokens a category has and is to have; goals sum to 1.
 
-
-def _category(column: str, kept: list[str]) -> Column:
-    return F.when(F.col(column).isin(kept), F.col(column)).otherwise(F.lit(REST)) if kept else F.lit(REST)
+    Given targets are taken as they are, a category they do not name gets none; other margins get their shares to the power ``temper``.
+    """
+    spark, found = cells.sparkSession, {}
+    total = F.lit(float(cells.agg(F.sum("n")).first()[0] or 0) or 1.0)
+    for name in MARGINS:
+        own = cells.groupBy(name).agg((F.sum("n") / total).alias("share")).withColumnRenamed(name, "value")
+        given = (targets or {}).get(name)
+        if given:
+            kind = cells.schema[name].dataType.simpleString()
+            asked = spark.createDataFrame([(k, float(v)) for k, v in given.items()], f"value {kind}, asked double")
+            own = own.join(asked, "value", "left").withColumn("goal", F.coalesce("asked", F.lit(0.0))).drop("asked")
+        else:
+            own = own.withColumn("goal", F.col("share") ** F.lit(temper))
+        own = stored(own.withColumn("goal", F.when(F.col("share") > 0, F.col("goal")).otherwise(0.0)), f"goal-{name}")
+        whole = own.agg(F.sum("goal")).first()[0] or 1.0
+        found[name] = same_store(own.withColumn("goal", F.col("goal") / F.lit(whole)), own)
+    return found
+
+
+def scarcest(goals: dict[str, DataFrame]) -> float:
+    """The largest budget that no category of any margin is too scarce for."""
+    found = 1.0
+    for goal in goals.values():
+        least = goal.where("share > 0 AND goal > 0").agg(F.min(F.col("share") / F.col("goal"))).first()[0]
+        found = min(found, least if least is not None else 1.0)
+    return float(found)
+
+
+def raked(cells: DataFrame, goals: dict[str, DataFrame], budget: float, rounds: int = ROUNDS) -> DataFrame:
+    """``cells`` with ``taken``: tokens to take of each; margins in the proportions of the goals, ``budget`` of all, no cell above its ``n``."""
+    total = float(cells.agg(F.sum("n")).first()[0] or 0)
+    now = stored(cells.select(*MARGINS, "n", (F.col("n") * budget).alias("taken")), "raked")
+    for _ in range(rounds):
+        moved = now.withColumn("before", F.col("taken"))
+        for name in MARGINS:
+            have = moved.groupBy(name).agg(F.sum("taken").alias("have")).join(goals[name].withColumnRenamed("value", name), name)
+            factor = F.when(F.col("have") > 0, F.col("goal") * F.lit(total * budget) / F.col("have")).otherwise(1.0)
+            moved = moved.join(have.select(name, factor.alias("factor")), name)
+            moved = moved.withColumn("taken", F.least("n", F.col("taken") * F.col("factor"))).drop("factor")
+        moved = stored(moved, "raked", (now,))
+        change = moved.agg(F.max(F.abs(F.col("taken") - F.col("before")))).first()[0] or 0.0
+        now = same_store(moved.drop("before"), moved)
+        if change <= TOLERANCE * max(1.0, total):
+            break
+    return now
 
 
 def _kept(rows: DataFrame, column: str) -> list[str]:
-    """Categories with enough of the tokens to stand alone: at most 4096."""
+    """Languages with enough of the tokens for a mean of their own: at most 4096."""
     total = rows.agg(F.sum("n_tokens")).first()[0] or 0
     sums = rows.groupBy(column).agg(F.sum("n_tokens").alias("n")).where(F.col("n") >= total * SMALLEST)
     return sorted(r[0] for r in sums.collect())
@@ -191,64 +219,40 @@ def fit(
     """
     names = {"doc_id": "doc_id", "source": "source", "lang": "lang", "text": "text"} | columns
     rows = stored(_measured(docs, names), "profiles")
-    sources, languages = _kept(rows, "source"), _kept(rows, "lang")
+    languages = _kept(rows, "lang")
     worded = rows.where("n_tokens > 0")
     means = language_means(worded, languages)
     found = topic_centres(worded, means)
-    rows = stored(_topic(rows, means, found).drop("profile"), "topics")
-    placed = rows.select(_category("source", sources).alias("s"), _category("lang", languages).alias("l"), "topic", "n_tokens")
-    cells = placed.groupBy("s", "l", "topic").agg(F.sum("n_tokens").alias("n")).collect()
-    axes: list[list] = [sorted({c[k] for c in cells}) for k in range(3)]
-    at = [{v: k for k, v in enumerate(axis)} for axis in axes]
-    tokens = np.zeros([len(a) for a in axes])
-    for c in cells:
-        tokens[at[0][c[0]], at[1][c[1]], at[2][c[2]]] = c["n"]
-    goals, scarce = [], 1.0
-    for k, name in enumerate(("source", "lang", "topic")):
-        own = tokens.sum(tuple(x for x in range(3) if x != k))
-        share = own / max(1.0, own.sum())
-        given = (targets or {}).get(name)
-        goal = np.array([given.get(v, 0.0) for v in axes[k]]) if given else share**temper
-        goals.append(goal)
-        here = (share > 0) & (goal > 0)
-        scarce = min(scarce, (share[here] / (goal[here] / goal[here].sum())).min(initial=1.0))
-    budget = float(0.95 * scarce) if budget is None else budget
-    taken = raked(tokens, goals, budget)
-    shares = {}
-    for c in cells:
-        x = tuple(at[k][c[k]] for k in range(3))
-        share = float(taken[x] / tokens[x]) if tokens[x] else 1.0
-        shares[c[0], c[1], c[2]] = (share / budget, share)
-    return rows, Mix(means, found, sources, languages, shares)
+    rows = stored(_topic(rows, means, found).drop("profile"), "topics", (rows,))
+    cells = stored(rows.groupBy(*MARGINS).agg(F.sum("n_tokens").cast("double").alias("n")), "cells")
+    goals = margin_goals(cells, targets, temper)
+    budget = 0.95 * scarcest(goals) if budget is None else budget
+    taken = raked(cells, goals, budget)
+    share = F.when(F.col("n") > 0, F.col("taken") / F.col("n")).otherwise(1.0)
+    kept = taken.select(*MARGINS, (share / budget).alias("weight"), share.alias("probability"))
+    kept = stored(kept, "shares", (taken, cells, *goals.values()))
+    return rows, Mix(means, found, kept)
 
 
 def drawn(rows: DataFrame, mix: Mix, seed: int = SEED) -> DataFrame:
     """Rows with weight (against an even sample), probability and whether the document is drawn."""
-    spark = rows.sparkSession
-    cells = spark.createDataFrame(
-        [(*k, *v) for k, v in mix.shares.items()], "_s string, _l string, _t int, weight double, probability double"
-    )
-    place = [
-        _category("source", mix.sources) == F.col("_s"),
-        _category("lang", mix.languages) == F.col("_l"),
-        F.col("topic") == F.col("_t"),
-    ]
     chance = F.pmod(F.xxhash64("doc_id", "tie", F.lit(seed)), F.lit(1 << 53)) / F.lit(float(1 << 53))
-    joined = rows.join(F.broadcast(cells), place)  # at most a row a cell
-    return joined.withColumn("sampled", chance < F.col("probability")).drop("_s", "_l", "_t")
+    return rows.join(mix.cells, list(MARGINS)).withColumn("sampled", chance < F.col("probability"))
 
 
 def weights(docs: DataFrame, targets: dict[str, dict] | None = None, **columns: str) -> DataFrame:
     """(doc_id, source, lang, topic, n_tokens, weight, probability, sampled), one row a document."""
     rows, mix = fit(docs, targets, **columns)
     kind = docs.schema[columns.get("doc_id", "doc_id")].dataType
-    return drawn(rows, mix).withColumn("doc_id", F.col("doc_id").cast(kind)).drop("tie")
+    found = drawn(rows, mix).withColumn("doc_id", F.col("doc_id").cast(kind))
+    return found.select("doc_id", "source", "lang", "topic", "n_tokens", "weight", "probability", "sampled")
 
 
 def mixed(docs: DataFrame, targets: dict[str, dict] | None = None, **columns: str) -> DataFrame:
     """The rows of ``docs`` that are drawn, as they are."""
     names = {"doc_id": "doc_id", "source": "source", "lang": "lang", "text": "text"} | columns
-    _, mix = fit(docs, targets, **columns)
+    measured, mix = fit(docs, targets, **columns)
+    release(measured)
     shared = docs.sparkSession.sparkContext.broadcast((mix.means, mix.centres))
 
     @F.pandas_udf("int")

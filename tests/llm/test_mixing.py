@@ -7,23 +7,61 @@ from conftest import DATA
 from silverlode.llm import mixing
 
 
-@pytest.mark.parametrize("seed", range(5))
-def test_raking_meets_margins_and_bounds(seed):
+def plain(tokens, targets, budget, steps=2000):
+    """Proportional fitting on a full array."""
+    total = tokens.sum() * budget
+    taken = tokens * budget
+    for _ in range(steps):
+        for axis, target in enumerate(targets):
+            others = tuple(k for k in range(tokens.ndim) if k != axis)
+            share = np.where(tokens.sum(others) > 0, target, 0.0)
+            have = taken.sum(others)
+            factor = np.divide(total * share / share.sum(), have, out=np.ones_like(have), where=have > 0)
+            taken = np.minimum(tokens, taken * factor.reshape([-1 if k == axis else 1 for k in range(tokens.ndim)]))
+    return taken
+
+
+def cells_of(spark, tokens):
+    rows = [(f"s{i}", f"l{j}", int(k), float(n)) for (i, j, k), n in np.ndenumerate(tokens)]
+    return spark.createDataFrame(rows, "source string, lang string, topic int, n double")
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_raking_against_the_full_array(spark, seed):
     pick = np.random.default_rng(seed)
     tokens = pick.integers(50, 100, (4, 3, 5)).astype(float)
+    tokens[1, 1] = 0
     targets = [pick.uniform(0.8, 1.2, n) for n in tokens.shape]
-    taken = mixing.raked(tokens, targets, 0.5)
-    assert (taken <= tokens + 1e-9).all() and taken.sum() == pytest.approx(tokens.sum() * 0.5)
-    for axis, target in enumerate(targets):
-        have = taken.sum(tuple(k for k in range(3) if k != axis))
-        assert np.allclose(have / have.sum(), target / target.sum(), rtol=1e-5)
-
-
-def test_raking_keeps_the_cross_product_ratio():
-    tokens = np.array([[40.0, 10.0], [20.0, 30.0]])
-    taken = mixing.raked(tokens, [np.array([0.5, 0.5]), np.array([0.4, 0.6])], 0.2)
-    ratio = lambda t: t[0, 0] * t[1, 1] / (t[0, 1] * t[1, 0])
-    assert ratio(taken) == pytest.approx(ratio(tokens))
+    names = (lambda k: f"s{k}", lambda k: f"l{k}", int)
+    given = {m: {name(k): v for k, v in enumerate(t)} for m, name, t in zip(mixing.MARGINS, names, targets)}
+    cells = cells_of(spark, tokens)
+    goals = mixing.margin_goals(cells, given)
+    got = {(r.source, r.lang, r.topic): r.taken for r in mixing.raked(cells, goals, 0.5).collect()}
+    want = plain(tokens, targets, 0.5)
+    assert all(abs(got[f"s{i}", f"l{j}", k] - v) < 1e-3 * tokens.sum() for (i, j, k), v in np.ndenumerate(want))
+    have = np.array([got[f"s{i}", f"l{j}", k] for (i, j, k), _ in np.ndenumerate(tokens)]).reshape(tokens.shape)
+    assert (have <= tokens + 1e-9).all() and have.sum() == pytest.approx(tokens.sum() * 0.5, rel=1e-4)
+
+
+def test_thousands_of_sources_each_for_itself(spark):
+    pick = np.random.default_rng(9)
+    size = np.concatenate(([200_000.0], pick.integers(5, 60, 4999)))  # a hot source and a long tail far below 1/4096
+    rows = [(f"s{i}", f"l{j}", 0, float(max(1, n // 2))) for i, n in enumerate(size) for j in range(2)]
+    cells = spark.createDataFrame(rows, "source string, lang string, topic int, n double").repartition(4)
+    targets = {"source": {f"s{i}": 1.0 for i in range(5000)}}
+    goals = mixing.margin_goals(cells, targets)
+    budget = mixing.scarcest(goals) * 0.95
+    taken = mixing.raked(cells, goals, budget).toPandas().groupby("source").taken.sum()
+    assert len(taken) == 5000 and np.allclose(taken / taken.sum(), 1 / 5000, rtol=1e-3)
+
+
+def test_small_sources_with_targets_are_drawn(spark):
+    rows = [(k, f"word{k % 13} and more words for {k}", "en", "big") for k in range(6000)]
+    rows += [(10_000 + k, f"small text {k} of few", "en", f"tiny{k % 5}") for k in range(10)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, source string")
+    targets = {"source": {"big": 0.9} | {f"tiny{k}": 0.02 for k in range(5)}}
+    got = mixing.weights(docs, targets).where("source <> 'big'").collect()
+    assert len(got) == 10 and all(r.probability > 0.05 and r.weight > 5 for r in got)
 
 
 def test_whole_table(spark):
