@@ -13,8 +13,8 @@ answer can hold. Where the data has no structure (random directions) the reach g
 the answer stays right and the search approaches a blocked scan.
 
 Cases: vectors that are null, zero, hold a null or non-finite component, or have another length than the
-first take no part, nor do null ids; a repeated id is a candidate once for each different vector; fewer than k candidates
-give fewer rows; an empty input gives an empty result; other columns are not carried.
+commonest (of equally common ones the longest) take no part, nor do null ids; a repeated id is a query and a candidate with each of its different
+vectors, its nearest counts, and it is no neighbour of itself; fewer than k candidates give fewer rows; an empty input gives an empty result; other columns are not carried.
 """
 
 from __future__ import annotations
@@ -42,8 +42,8 @@ def usable(vectors: DataFrame, key: str = "vec_id", vector: str = "embedding") -
     rows = vectors.select(F.col(key).cast("bigint").alias("key"), v.alias("v")).where("key IS NOT NULL AND v IS NOT NULL AND size(v) > 0")
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
     rows = rows.where(~F.coalesce(bad, F.lit(True)) & F.exists("v", lambda x: x != 0))
-    first = rows.agg(F.min_by(F.size("v"), "key")).first()[0]
-    return rows.where(F.size("v") == (first or 0))
+    common = rows.groupBy(F.size("v").alias("d")).count().orderBy(F.desc("count"), F.desc("d")).first()
+    return rows.where(F.size("v") == (common["d"] if common else 0))
 
 
 def matrix(column: pa.Array | pa.ChunkedArray) -> np.ndarray:
@@ -104,15 +104,15 @@ class Orderings:
 
 
 def _ordered(rows: DataFrame, orderings: Orderings) -> DataFrame:
-    """(ordering, rank, key, candidate, asked): every row's rank in each ordering."""
+    """(ordering, rank, uid, key, candidate, asked): every row's rank in each ordering."""
     spark = rows.sparkSession
     shared = spark.sparkContext.broadcast(orderings)
-    names = ["ordering", "place", "key", "candidate", "asked"]
+    names = ["ordering", "place", "uid", "key", "candidate", "asked"]
 
     def keyed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for k, places in enumerate(shared.value.keys(matrix(batch.column("v"))) if batch.num_rows else []):
-                own = [batch.column(c) for c in ("key", "candidate", "asked")]
+                own = [batch.column(c) for c in names[2:]]
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(places), k, np.int32)), pa.array(places), *own], names)
 
     def numbered(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -123,15 +123,15 @@ def _ordered(rows: DataFrame, orderings: Orderings) -> DataFrame:
             yield pa.RecordBatch.from_arrays([*batch.columns, *more], [*batch.schema.names, "part", "at"])
             at += n
 
-    schema = "ordering int, place bigint, key bigint, candidate boolean, asked boolean"
-    table = stored(rows.select("key", "v", "candidate", "asked").mapInArrow(keyed, schema), "places")
+    schema = "ordering int, place bigint, uid bigint, key bigint, candidate boolean, asked boolean"
+    table = stored(rows.select("uid", "key", "v", "candidate", "asked").mapInArrow(keyed, schema), "places")
     parts = spark.conf.get("spark.sql.shuffle.partitions")
-    dealt = table.repartitionByRange(int(parts), "ordering", "place", "key").sortWithinPartitions("ordering", "place", "key")
-    table = stored(dealt.mapInArrow(numbered, schema + ", part int, at bigint"), "ranks")
+    dealt = table.repartitionByRange(int(parts), "ordering", "place", "uid").sortWithinPartitions("ordering", "place", "uid")
+    table = stored(dealt.mapInArrow(numbered, schema + ", part int, at bigint"), "ranks", (table,))
     sizes = table.groupBy("part").agg(F.count("*").alias("n"))
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row a partition
     bases = sizes.select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    return stored(table.join(bases, "part").select("ordering", (F.col("base") + F.col("at")).alias("rank"), "key", "candidate", "asked"), "ranked")
+    return stored(table.join(bases, "part").select("ordering", (F.col("base") + F.col("at")).alias("rank"), "uid", "key", "candidate", "asked"), "ranked", (table,))
 
 
 def _best(distance: np.ndarray, keys: np.ndarray, k: int) -> np.ndarray:
@@ -143,11 +143,18 @@ def _best(distance: np.ndarray, keys: np.ndarray, k: int) -> np.ndarray:
 
 
 def _exactly(asked: np.ndarray, asked_keys, x: np.ndarray, keys: np.ndarray, k: int) -> tuple[list, list, list]:
-    """For each query its k nearest of the rows ``x``: query, key, exact distance."""
+    """For each query its k nearest of the rows ``x``: query, key, exact distance. A key that is there several times counts once."""
     q, found, score = [], [], []
     square = (x * x).sum(1)
+    repeated = len(np.unique(keys)) < len(keys)
     for own, key in zip(asked, asked_keys):
-        near = _best(square - 2 * (x @ own), keys, k)
+        distance = square - 2 * (x @ own)
+        if repeated:
+            order = np.lexsort((distance, keys))
+            first = order[np.concatenate(([True], np.diff(keys[order]) > 0))]  # the nearest of each key, to rounding
+            near = first[_best(distance[first], keys[first], k)]
+        else:
+            near = _best(distance, keys, k)
         near = near[keys[near] != key]
         exact = np.sqrt(((x[near] - own) ** 2).sum(1))
         near, exact = (v[np.lexsort((keys[near], exact))[:k]] for v in (near, exact))
@@ -198,9 +205,9 @@ def reach(ranked: DataFrame, truth: DataFrame, wanted: float) -> int:
 def _search(rows: DataFrame, ranked: DataFrame, radius: int, k: int) -> DataFrame:
     keys = ["ordering", "window"]
     window = F.floor(F.col("rank") / WINDOW)
-    left = ranked.where("candidate").select("ordering", window.alias("window"), "key", F.lit(False).alias("asked"))
+    left = ranked.where("candidate").select("ordering", window.alias("window"), "uid", F.lit(False).alias("asked"))
     spread = F.explode(F.sequence(F.floor((F.col("rank") - radius) / WINDOW), F.floor((F.col("rank") + radius) / WINDOW)))
-    right = ranked.where("asked").select("ordering", spread.alias("window"), "key", F.lit(True).alias("asked"))
+    right = ranked.where("asked").select("ordering", spread.alias("window"), "uid", F.lit(True).alias("asked"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in runs(batches, keys):
@@ -212,7 +219,7 @@ def _search(rows: DataFrame, ranked: DataFrame, radius: int, k: int) -> DataFram
                 if len(q) and len(own):
                     yield _answer(*_exactly(x[q], key[q], x[own], key[own], k))
 
-    met = left.union(right).join(rows.select("key", "v"), "key").select(*keys, "key", "asked", "v")
+    met = left.union(right).join(rows.select("uid", "key", "v"), "uid").select(*keys, "key", "asked", "v")
     dealt = met.repartition(*keys).sortWithinPartitions(*keys)
     return _ranked(dealt.mapInArrow(run, _FOUND), k)
 
@@ -223,12 +230,13 @@ def nearest(vectors: DataFrame, queries: Column, k: int = 10, key: str = "vec_id
     ``queries`` is a condition on the column ``key``.
     """
     spark = vectors.sparkSession
-    rows = usable(vectors, key, vector)
+    rows = usable(vectors, key, vector).withColumn("uid", F.xxhash64("key", "v"))
+    rows = stored(rows.dropDuplicates(["uid"]), "rows")
     copies = Window.partitionBy("v").orderBy("key")
-    slim = rows.withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k + 1).select("key", F.lit(True).alias("candidate"))
-    known = rows.join(slim.distinct(), "key", "left").withColumn("asked", F.coalesce(queries, F.lit(False)))
-    known = known.withColumn("candidate", F.coalesce("candidate", F.lit(False))).where("candidate OR asked").dropDuplicates(["key"])
-    known = stored(known, "vectors")
+    slim = rows.withColumn("n", F.row_number().over(copies)).where(F.col("n") <= k + 1).select("uid", F.lit(True).alias("candidate"))
+    known = rows.join(slim, "uid", "left").withColumn("asked", F.coalesce(queries, F.lit(False)))
+    known = known.withColumn("candidate", F.coalesce("candidate", F.lit(False))).where("candidate OR asked")
+    known = stored(known, "vectors", (rows,))
     sample = known.orderBy(F.xxhash64("key")).limit(SAMPLE).select("v").collect()
     if not sample:
         return spark.createDataFrame([], "query_id bigint, rank int, vec_id bigint, score double")

@@ -61,3 +61,11 @@ def test_empty_and_single(spark):
     kind = "vec_id bigint, embedding array<float>"
     for rows in ([], [(100, [1.0, 2.0])]):
         assert hilbert.nearest(spark.createDataFrame(rows, kind), F.col("key") % 100 == 0).collect() == []
+
+
+def test_repeated_ids_with_different_vectors(spark):
+    rows = [(1, [1.0, 0.0]), (1, [0.0, 1.0]), (100, [1.0, 0.0]), (100, [0.0, 1.0]), (100, [0.0, 1.0]), (3, [3.0, 0.0]), (5, [9.0])]
+    rows += [(200, [2.0 + k, 1.0]) for k in range(40)]  # one id with many vectors
+    vectors = spark.createDataFrame(rows, "vec_id bigint, embedding array<double>").repartition(3)
+    got = sorted((r.query_id, r.rank, r.vec_id, round(r.score, 6)) for r in hilbert.nearest(vectors, F.col("key") % 100 == 0, 10).collect())
+    assert got == [(100, 1, 1, 0.0), (100, 2, 200, round(2**0.5, 6)), (100, 3, 3, 2.0), (200, 1, 3, 1.0), (200, 2, 1, round(2**0.5, 6)), (200, 3, 100, round(2**0.5, 6))]
