@@ -8,16 +8,16 @@ followed by joins, round by round, as far as the triangle inequality leaves a li
 verified by its cosine in double precision.
 
 Recall is audited against a blocked brute-force scan: nodes are drawn until ``LINKS`` true links have been seen, and the recalls of
-the linked nodes are averaged. If that is below ``RECALL`` the graph is built again with twice the overlap. If it is still below at
-the last overlap, or ``AUDITED`` nodes hold too few links to measure it, all nodes are compared exactly, block by block,
-without the rows that the triangle inequality rules out. Tasks return counts and a spanning forest of the links they find, so that a
+the linked nodes are averaged; where ``AUDITED`` nodes hold fewer, nodes that the graph has linked are audited as well. If the recall is
+below ``RECALL`` the graph is built again with twice the overlap; only if it is still below at the last overlap are all nodes compared
+exactly, block by block, without the rows that the triangle inequality rules out. Tasks return counts and a spanning forest of the links they find, so that a
 large group of near copies makes no list of its pairs.
 
 Bounds: the sample has at most 65536 rows and there are at most 16384 centres; a shard holds its vectors and no matrix of
 all its pairs.
 
-Cases: vectors that are null, zero, hold a null or non-finite component, or have another length than the first link
-with nothing and are components of their own; equal vectors are linked; an id with several vectors is one node, whose
+Cases: vectors that are null, zero, hold a null or non-finite component, or have another length than the commonest
+link with nothing and are components of their own; equal vectors are linked; an id with several vectors is one node, whose
 rows all get the links of its vectors together; a null id has no links; an empty input gives an empty result; other columns are not carried.
 """
 
@@ -280,8 +280,12 @@ def graph_links(nodes: DataFrame, least: float, overlap: int) -> tuple[DataFrame
     return counts.groupBy("key").agg(F.sum("n").alias("n")), edges
 
 
-def recall(nodes: DataFrame, counts: DataFrame, least: float) -> float | None:
-    """Mean share of its true links found of a linked node in a bounded sample; None if the sample has too few links."""
+def recall(nodes: DataFrame, counts: DataFrame, least: float) -> float:
+    """Mean share of its true links found of a linked node in a bounded sample.
+
+    Where links are so few that even ``AUDITED`` nodes have under ``LINKS`` of them, as many nodes that have links are audited too, and the
+    lesser of both shares counts.
+    """
     drawn = DRAWN
     while True:
         some = nodes.orderBy(F.xxhash64("key", F.lit(9))).limit(drawn).select("key", "v").collect()
@@ -293,8 +297,14 @@ def recall(nodes: DataFrame, counts: DataFrame, least: float) -> float | None:
         if (seen["t"] or 0) >= LINKS or len(some) < drawn:
             return 1.0 if seen["mean"] is None else seen["mean"]
         if drawn >= AUDITED:
-            return None
+            break
         drawn *= 8
+    linked = nodes.join(counts.where("n > 0"), "key", "left_semi").orderBy(F.xxhash64("key", F.lit(10))).limit(DRAWN).select("key", "v").collect()
+    if not linked:
+        return 1.0 if seen["mean"] is None else seen["mean"]
+    own = _true_links(nodes, linked, least).where(F.col("true") > 0).join(counts, "key", "left")
+    mean = own.agg(F.avg(F.least("true", F.coalesce("n", F.lit(0))) / F.col("true"))).first()[0]
+    return min(x for x in (mean, seen["mean"], 1.0) if x is not None)
 
 
 def _true_links(nodes: DataFrame, some: list, least: float) -> DataFrame:
@@ -382,9 +392,9 @@ def near_duplicates(vectors: DataFrame, least: float = 0.9, key: str = "vec_id",
         counts, edges = graph_links(nodes, least, overlap)
         counts = stored(counts, "counts")
         share = recall(nodes, counts, least)
-        if share is not None and share >= RECALL:
+        if share >= RECALL:
             break
-        if share is None or overlap >= 8 * OVERLAP:
+        if overlap >= 8 * OVERLAP:
             counts, edges = exact_links(nodes, least)
             counts = stored(counts, "counts")
             break

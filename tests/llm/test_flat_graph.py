@@ -70,15 +70,35 @@ def test_null_ids_and_empty(spark):
     assert flat_graph.near_duplicates(spark.createDataFrame([], kind)).collect() == []
 
 
-@pytest.mark.parametrize("pairs", [1, 60])
+def _pairs(pairs):
+    pick = np.random.default_rng(4)
+    base = pick.normal(size=(300, 32))
+    rows = [(k, v.tolist()) for k, v in enumerate(base)]
+    return rows + [(300 + k, (base[k % 30] + pick.normal(size=32) * 0.05).tolist()) for k in range(pairs)]
+
+
+@pytest.mark.parametrize("pairs", [1, 6])
+def test_few_links_stay_with_the_graph(spark, monkeypatch, pairs):
+    for name, value in (("SHARD", 100), ("DRAWN", 8), ("AUDITED", 64)):
+        monkeypatch.setattr(flat_graph, name, value)
+    monkeypatch.setattr(flat_graph, "exact_links", None)
+    rows = _pairs(pairs)
+    got = flat_graph.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert sorted(map(tuple, got)) == sorted(brute(rows)) and sum(r.n_links for r in got) >= 2 * pairs
+
+
+def test_one_odd_length_does_not_decide(spark):
+    rows = [(0, [1.0]), *[(k, [1.0, 2.0, 3.0]) for k in range(1, 5)]]
+    got = flat_graph.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
+    assert sorted((r.vec_id, r.n_links, r.component_id) for r in got) == [(0, 0, 0), *[(k, 3, 1) for k in range(1, 5)]]
+
+
+@pytest.mark.parametrize("pairs", [60])
 def test_links_that_the_graph_loses_are_found(spark, monkeypatch, pairs):
     for name, value in (("SHARD", 100), ("DRAWN", 8), ("AUDITED", 64), ("COMPARED", 60)):
         monkeypatch.setattr(flat_graph, name, value, raising=False)
     none = spark.createDataFrame([], "key bigint, n bigint"), spark.createDataFrame([], "a bigint, b bigint")
     monkeypatch.setattr(flat_graph, "graph_links", lambda *_: none)
-    pick = np.random.default_rng(4)
-    base = pick.normal(size=(300, 32))
-    rows = [(k, v.tolist()) for k, v in enumerate(base)]
-    rows += [(300 + k, (base[k % 30] + pick.normal(size=32) * 0.05).tolist()) for k in range(pairs)]
+    rows = _pairs(pairs)
     got = flat_graph.near_duplicates(spark.createDataFrame(rows, "vec_id bigint, embedding array<double>")).collect()
     assert sorted(map(tuple, got)) == sorted(brute(rows)) and sum(r.n_links for r in got) >= 2 * pairs
