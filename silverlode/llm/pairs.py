@@ -3,10 +3,10 @@
 A first round compares each bucket's members with its best connected member. What is still apart in
 a bucket is compared in tiles of bounded size, first in one bucket for each key and then in all buckets that still
 hold two components, by 256-fold MinHash bytes: every pair in two components whose estimate is within three standard errors of the threshold or above is a candidate. Texts of
-at most 256 k-mers bring them along, so a tile compares such candidates itself and returns only pairs
-that join what it has not joined yet; other candidates are all returned. Every returned pair is verified from its
-texts. So no pair list grows with a group's square once its members hang together, and no candidate is dropped for
-the size of its bucket.
+at most 8192 k-mers bring them along, so a tile compares such candidates itself and returns only pairs
+that join what it has not joined yet; candidates with a longer text are all returned. Every returned pair is verified from its
+texts. The tiles of one slice of a bucket come first, and what they join is known to the tiles of two slices. So no pair list grows
+with a group's square once its members hang together, and no candidate is dropped for the size of its bucket.
 """
 
 from __future__ import annotations
@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.buffers import groups, mix, occurrence, shingles, text_buffer, words
-from silverlode.llm.frames import stored
+from silverlode.llm.frames import release, stored
 from silverlode.llm.links import components, runs, starts
 
 WORDS, SIMILARITY = 5, 0.8
 BYTES = 256
-SHORT = 256
+SHORT = 8192
 ERRORS = 3.0
 TILE = 256
 _MORE = np.random.default_rng(78).integers(1, 1 << 63, (2, BYTES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -63,7 +63,7 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: Similarity, least:
 
 
 def _signed(texts: DataFrame) -> DataFrame:
-    """(key, signature, grams): one byte of each of 256 minima, and the k-mers (32 bits of each, in order) of a text with few of them."""
+    """(key, signature, grams): one byte of each of 256 minima, and the k-mers (32 bits of each, in order) of a text with at most ``SHORT`` of them."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -165,12 +165,31 @@ def near_links(
 
 
 def _compared(live: DataFrame, candidates: DataFrame, similarity: Similarity, least: float) -> DataFrame:
-    """Verified links between components that share a bucket of ``live`` (bucket, key, component, n)."""
+    """Verified links between components that share a bucket of ``live`` (bucket, key, component, n).
+
+    Slices are compared within themselves first. What that joins is known when slices of one bucket then meet, so that a large group is
+    joined once and not again in every tile.
+    """
     signed = _signed(candidates.join(live.select("key").distinct(), "key", "left_semi"))
     slices = F.ceil(F.col("n") / TILE).cast("int")
     sliced = live.join(signed, "key").withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("key"), "slices").cast("int"))
-    tiled = sliced.select("*", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("with"))
-    tiled = tiled.withColumns({"i": F.least("slice", "with"), "j": F.greatest("slice", "with")})
+    sliced = stored(sliced, "sliced")
     columns = ("bucket", "i", "j", "slice", "key", "component", "signature", "grams")
-    more = stored(_tiles(tiled.select(*columns), similarity, least), "pairs")
-    return stored(verified(more, candidates, similarity, least), "links", (more,))
+    alone = sliced.withColumns({"i": F.col("slice"), "j": F.col("slice")}).select(*columns)
+    more = stored(_tiles(alone, similarity, least), "pairs")
+    links = stored(verified(more, candidates, similarity, least), "links", (more,))
+    rest = sliced.where("slices > 1")
+    if rest.isEmpty():
+        release(sliced)
+        return links
+    known = rest.select(F.col("key").alias("a"), F.col("component").alias("b"))
+    joined = components(known.union(links.select("a", "b")))
+    placed = rest.drop("component").join(joined.withColumnRenamed("node", "key"), "key", "left")
+    placed = placed.withColumn("component", F.coalesce("component", "key"))
+    still = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
+    placed = stored(placed.join(still, "bucket"), "placed", (sliced, joined))
+    tiled = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("with")).where("slice <> with")
+    tiled = tiled.withColumns({"i": F.least("slice", "with"), "j": F.greatest("slice", "with")})
+    more = stored(_tiles(tiled.select(*columns), similarity, least), "pairs", (placed,))
+    last = stored(verified(more, candidates, similarity, least), "links", (more,))
+    return stored(links.union(last), "links", (links, last))

@@ -120,3 +120,35 @@ def test_components(spark):
             a, b = sorted((root(a), root(b)))
             parent[b] = a
     assert got == {x: root(x) for x in parent}
+
+
+@pytest.mark.parametrize("words", [60, 420])
+def test_large_groups_in_small_tiles(spark, monkeypatch, words):
+    """Near copies of short texts and of texts over 256 k-mers, in buckets of many slices; most pairs of a group are below the threshold."""
+    from silverlode.llm import pairs
+
+    monkeypatch.setattr(pairs, "TILE", 16)
+    pick = random.Random(words)
+    vocabulary = ["".join(pick.choices("abcdefgh", k=6)) for _ in range(2000)]
+    texts = []
+    for _ in range(3):
+        base = pick.choices(vocabulary, k=words)
+        for k in range(70):
+            copy = list(base)
+            for _ in range(max(1, int(words * pick.choice((0.004, 0.012, 0.02))))):
+                copy[pick.randrange(words)] = pick.choice(vocabulary)
+            texts.append(" ".join(copy))
+    texts += [" ".join(pick.choices(vocabulary, k=words)) for _ in range(30)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").repartition(5)
+    got = {r.doc_id: r.class_id for r in om.near_duplicates(docs).collect()}
+    data, offsets = text_buffer(pa.array(texts))
+    grams, begins = kmers(data, offsets)
+    own = [grams[a:b] for a, b in zip(begins[:-1], begins[1:])]
+    label = list(range(len(texts)))
+    near = [(i, j) for i in range(len(own)) for j in range(i) if om.similarity(own[i], own[j]) >= 0.8]
+    for i, j in near:
+        old, new = max(label[i], label[j]), min(label[i], label[j])
+        label = [new if x == old else x for x in label]
+    found = sum(got[i] == got[j] for i, j in near)
+    assert near and found >= 0.99 * len(near)
+    assert all(label[k] == label[c] for k, c in got.items())  # no class joins what no links join
