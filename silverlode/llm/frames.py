@@ -47,6 +47,14 @@ def release(*frames: DataFrame) -> None:
         remove(frame.sparkSession, frame.stored_at)
 
 
+def free_name(name: str, taken: list[str]) -> str:
+    """``name``, with underscores added while a column of ``taken`` (case aside) has it."""
+    used = {t.lower() for t in taken}
+    while name.lower() in used:
+        name += "_"
+    return name
+
+
 def small_batches(spark: SparkSession, rows: int = 1024) -> None:
     """Let Spark hand at most ``rows`` rows at a time to Python: rows hold whole texts, and both sides keep a batch in memory."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))

@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from silverlode.llm.buffers import text_buffer
-from silverlode.llm.frames import stored
+from silverlode.llm.frames import free_name, stored
 from silverlode.llm.tokens import encoder
 
 SALTS = 64
@@ -216,7 +216,7 @@ def plan(counts: dict[int, int], capacity: int) -> np.ndarray:
 
 
 def pack(frame: DataFrame, capacity: int, length: str = "length") -> DataFrame:
-    """``frame`` with sequence_id and offset; lengths must lie between 1 and ``capacity``."""
+    """``frame`` with sequence_id and offset (underscores added where a column has the name); lengths must lie between 1 and ``capacity``."""
     spark = frame.sparkSession
     kept = stored(frame, "pieces")
     counts = {r["n"]: r["c"] for r in kept.groupBy(F.col(length).alias("n")).agg(F.count("*").alias("c")).collect()}
@@ -227,7 +227,7 @@ def pack(frame: DataFrame, capacity: int, length: str = "length") -> DataFrame:
     @F.pandas_udf("sequence_id bigint, offset bigint")
     def place(size: pd.Series, rank: pd.Series) -> pd.DataFrame:
         segments = shared.value
-        at = np.searchsorted(segments[:, 0] * _RANKS + segments[:, 1], size.to_numpy() * _RANKS + rank.to_numpy(), "right") - 1
+        at = np.searchsorted(segments[:, 0] * _RANKS + segments[:, 1], size.to_numpy().astype(np.int64) * _RANKS + rank.to_numpy(), "right") - 1
         _, first, _, sequence, each, offset = segments[at].T
         beyond = rank.to_numpy() - first
         return pd.DataFrame({"sequence_id": sequence + beyond // each, "offset": offset + beyond % each * size.to_numpy()})
@@ -242,7 +242,7 @@ def pack(frame: DataFrame, capacity: int, length: str = "length") -> DataFrame:
     bases = sizes.select("_length", "_salt", F.coalesce(F.sum("_n").over(earlier), F.lit(0)).alias("_base"))
     joined = ranked.join(bases, ["_length", "_salt"])
     found = joined.select("_row", place(F.col("_length"), F.col("_base") + F.col("_rank") - 1).alias("_place"))
-    return found.select("_row.*", "_place.sequence_id", "_place.offset")
+    return found.select("_row.*", *[F.col(f"_place.{c}").alias(free_name(c, frame.columns)) for c in ("sequence_id", "offset")])
 
 
 def pack_documents(docs: DataFrame, tokenizer: str, end_id: int, capacity: int = 4096) -> DataFrame:

@@ -15,7 +15,7 @@ over 50 words; changed words are bridged only where whole lines are alike.
 
 Cases: null text counts as empty and stays null; a text without a marked run stays as it is, byte for
 byte; equal rows (doc_id and text) count as one document; a null doc_id sorts first; an empty input gives
-an empty result; other columns are carried along, whatever their names.
+an empty result; other columns are carried along, whatever their names: where one has the name of a count, the count gets underscores.
 """
 
 from __future__ import annotations
@@ -28,13 +28,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.buffers import groups, mix, prefix, ragged, slices, text_buffer, words
-from silverlode.llm.frames import release, stored
+from silverlode.llm.frames import free_name, release, stored
 from silverlode.llm.links import components
 from silverlode.llm.pairs import SIMILARITY, WORDS, kmers, near_links
 
 SHINGLED_WORDS = WORDS
 PASSAGE_WORDS = 50
 GRAM_WORDS = 13
+COUNTS = ("n_lines_removed", "n_bytes_removed")
 ROWS, RECALL = 2, 0.995
 _SEEDS = np.random.default_rng(79).integers(1, 1 << 63, (2, 64), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
@@ -160,6 +161,11 @@ def cut(text: bytes, marked: list[int], fewest: int) -> tuple[bytes, int]:
     return left, int((~keep).sum())
 
 
+def count_names(columns: list[str]) -> tuple[str, str]:
+    """What the two counts are called beside ``columns``: underscores are added where a name is taken."""
+    return tuple(free_name(c, columns) for c in COUNTS)
+
+
 def remove_passages(
     docs: DataFrame, least: float = SIMILARITY, fewest: int = PASSAGE_WORDS, doc_id: str = "doc_id", text: str = "text"
 ) -> DataFrame:
@@ -206,7 +212,7 @@ def remove_passages(
     joined = rows.select("row", "raw", "doc_key").join(marked, "doc_key", "left")
     done = joined.select("row", applied("raw", "marked").alias("cut"))
     columns = [F.col(f"cut.text").alias(text) if c == text else F.col(f"row.`{c}`") for c in docs.columns]
-    return done.select(*columns, "cut.n_lines_removed", "cut.n_bytes_removed")
+    return done.select(*columns, *[F.col(f"cut.{c}").alias(n) for c, n in zip(COUNTS, count_names(docs.columns))])
 
 
 def windows(hashed: np.ndarray, row: np.ndarray, n_rows: int, fewest: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -323,7 +329,7 @@ def remove_runs(docs: DataFrame, fewest: int = PASSAGE_WORDS, doc_id: str = "doc
 
     done = rows.select("row", "raw", "doc_key").join(marked, "doc_key", "left").select("row", applied("raw", "marked").alias("cut"))
     columns = [F.col("cut.text").alias(text) if c == text else F.col(f"row.`{c}`") for c in docs.columns]
-    return done.select(*columns, "cut.n_lines_removed", "cut.n_bytes_removed")
+    return done.select(*columns, *[F.col(f"cut.{c}").alias(n) for c, n in zip(COUNTS, count_names(docs.columns))])
 
 
 def remove_repeats(
@@ -331,16 +337,18 @@ def remove_repeats(
 ) -> DataFrame:
     """``remove_passages`` and then ``remove_runs``; the counts are those of both together."""
     whole = remove_passages(docs, least, fewest, doc_id, text)
-    counts = ("n_lines_removed", "n_bytes_removed")
-    before = whole.select(*[F.col(f"`{c}`") for c in docs.columns], F.struct(*counts).alias("_before"))
-    after = remove_runs(before, fewest, doc_id, text)
-    return after.select(*[F.col(f"`{c}`") for c in docs.columns], *[(F.col(c) + F.col(f"_before.{c}")).alias(c) for c in counts])
+    columns, before = [F.col(f"`{c}`") for c in docs.columns], free_name("_before", docs.columns)
+    lines_, bytes_ = count_names(docs.columns)
+    earlier = F.struct(F.col(f"`{lines_}`").alias("lines"), F.col(f"`{bytes_}`").alias("bytes")).alias(before)
+    after = remove_runs(whole.select(*columns, earlier), fewest, doc_id, text)
+    sums = [(F.col(f"`{n}`") + F.col(f"`{before}`.{c}")).alias(n) for n, c in ((lines_, "lines"), (bytes_, "bytes"))]
+    return after.select(*columns, *sums)
 
 
 def without_passages(docs: DataFrame, text: str = "text", size: str = "n_chars", **options) -> DataFrame:
     """The rows of ``docs`` with their passages cut and the column ``size`` (if there) counted anew where they were."""
     cut_rows = remove_repeats(docs, text=text, **options)
     if size in docs.columns:
-        counted = F.when(F.col("n_bytes_removed") > 0, F.length(text)).otherwise(F.col(size))
+        counted = F.when(F.col(f"`{count_names(docs.columns)[1]}`") > 0, F.length(text)).otherwise(F.col(size))
         cut_rows = cut_rows.withColumn(size, counted.cast(docs.schema[size].dataType))
     return cut_rows.select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -8,7 +8,7 @@ Mahalanobis log densities plus the log odds of the labels.
 
 Cases: null text counts as empty and is scored like any other; null or other labels are not learnt from;
 several labels of one doc_id all count; a label that never occurs gives a constant score; an empty input
-gives an empty result; other columns are carried along.
+gives an empty result; ``accepted`` carries all other columns along, ``score_documents`` none.
 """
 
 from __future__ import annotations

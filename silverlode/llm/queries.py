@@ -63,6 +63,7 @@ def op5_suffix_radix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
         removed.alias("n_removed"),
         F.size("spans").cast("bigint").alias("n_spans"),
         F.when(F.col("kept").isNull(), F.col("whole")).otherwise(F.sha2("kept", 256)).alias("kept_sha256"),
+        removed.alias("n_bytes_removed"),
     )
 
 

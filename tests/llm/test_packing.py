@@ -95,3 +95,10 @@ def test_documents(spark):
 def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id bigint, text string")
     assert packing.pack_documents(docs, WORDS, 1).collect() == []
+
+
+def test_clashing_names(spark):
+    rows = spark.createDataFrame([(3, 5, 6), (4, 5, 6)], "length int, sequence_id int, offset int")
+    got = packing.pack(rows, 8)
+    assert got.columns == ["length", "sequence_id", "offset", "sequence_id_", "offset_"]
+    assert len({r["sequence_id_"] for r in got.collect()}) == 1

@@ -114,6 +114,18 @@ def test_nulls_and_repeated_rows(spark):
     assert sorted((r.doc_id or 0, r.text or "") for r in got) == [(0, long), (0, long), (3, "start\nend"), (4, ""), (4, "")]
 
 
+def test_clashing_names(spark):
+    long = " ".join(f"w{k}" for k in range(60))
+    rows = [(1, long, 7, 8, 9, 70), (2, "start\n" + long, 7, 8, 9, 70)]
+    names = "doc_id bigint, text string, n_lines_removed int, N_bytes_removed int, _before int, n_chars int"
+    docs = spark.createDataFrame(rows, names)
+    got = {r.doc_id: r for r in paragraphs.remove_repeats(docs).collect()}
+    assert [tuple(got[k])[2:5] for k in (1, 2)] == [(7, 8, 9)] * 2
+    assert (got[2].text, got[2]["n_lines_removed_"], got[2]["n_bytes_removed_"]) == ("start\n", 1, len(long))
+    kept = paragraphs.without_passages(docs)
+    assert kept.columns == docs.columns and {r.doc_id: r.n_chars for r in kept.collect()} == {1: 70, 2: 6}
+
+
 def test_empty(spark):
     assert paragraphs.remove_passages(spark.createDataFrame([], "doc_id bigint, text string")).collect() == []
 
