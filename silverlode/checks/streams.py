@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.checks.changes import CUT, DELETED, KEYS, MIDDLE, SCD2, SEQ, scd1
+from silverlode.checks.changes import CUT, DELETED, FEED, KEYS, MIDDLE, SCD2, SEQ, scd1
 from silverlode.checks.registry import check, in_batches, table
 from silverlode.operators import bitmaps, cdc
 from silverlode.operators.quality import DROP, Rule, expect, with_stored_measure
@@ -274,3 +274,55 @@ def dq_missing_ids(spark: SparkSession, folder: str) -> DataFrame:
     """Which events the silver layer lacks, from both layers' bitmaps."""
     events = table(spark, folder, "events")
     return bitmaps.missing_ids(bitmaps.bitmaps(events, "event_id"), bitmaps.bitmaps(events.where("event_type <> 'error'"), "event_id"), "event_id")
+
+
+@check(
+    f"""SELECT 'upsert' AS form, user_id, event_id, CAST(NULL AS TIMESTAMP) AS end_at FROM ({scd1()}) a
+    UNION ALL SELECT 'merge', user_id, event_id, NULL FROM ({scd1()}) b UNION ALL SELECT 'history', user_id, event_id, end_at FROM ({SCD2}) c"""
+)
+def cdc_compacted_logs(spark: SparkSession, folder: str) -> DataFrame:
+    """Three logs compacted after three batches; their streams go on in the compacted folders with the last batch, late rows among it."""
+    root = new_folder(spark, "compacted")
+    events = _events(spark, folder)
+    schema = events.drop("batch").schema
+
+    def land(rows: DataFrame) -> None:
+        rows.drop("batch").coalesce(1).write.mode("append").parquet(f"{root}/in")
+
+    def run(stage: str) -> None:
+        rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        streams.upsert_stream(rows, KEYS, SEQ, f"{root}/{stage}/u", f"{root}/_cu", ["event_id"])
+        streams.merge_log_stream(rows, KEYS, SEQ, DELETED, f"{root}/{stage}/m", f"{root}/_cm")
+        history.scd2_stream(rows, KEYS, SEQ, f"{root}/{stage}/h", f"{root}/_ch", DELETED, ["event_id"], 4)
+
+    # The last batch has the newest event of every user: merges take batches in their order.
+    last = events.join(cdc.latest_per_key(events.drop("batch"), KEYS, SEQ, ["event_id"]).select("event_id"), "event_id", "left_semi")
+    late = events.where("event_id % 5 = 0").unionByName(last).distinct()
+    for number in range(3):
+        land(events.join(late.select("event_id"), "event_id", "left_anti").where(F.col("batch") == number))
+    run("first")
+    streams.compact_upserts(spark, f"{root}/first/u", f"{root}/second/u", KEYS, SEQ, ["event_id"])
+    streams.compact_merges(spark, f"{root}/first/m", f"{root}/second/m", KEYS, SEQ)
+    history.compact_scd2(spark, f"{root}/first/h", f"{root}/second/h", KEYS, 2)
+    land(late.unionByName(events.where("batch = 3")).distinct())
+    run("second")
+    kept = {
+        "upsert": streams.upserted_table(spark, f"{root}/second/u", KEYS, SEQ, DELETED, ["event_id"]),
+        "merge": streams.merged_table(spark, f"{root}/second/m", KEYS, DELETED),
+        "history": history.scd2_table(spark, f"{root}/second/h", KEYS),
+    }
+    found = None
+    for form, rows in kept.items():
+        end = F.col("end_at") if form == "history" else F.lit(None).cast("timestamp_ntz")
+        own = rows.select(F.lit(form).alias("form"), "user_id", "event_id", end.alias("end_at"))
+        found = own if found is None else found.unionByName(own)
+    return found
+
+
+@check(FEED)
+def cdc_merged_feed(spark: SparkSession, folder: str) -> DataFrame:
+    """The change feed of the second version of a merge log, from the states of the keys that its batch touched."""
+    root = new_folder(spark, "merged-feed")
+    rows = table(spark, folder, "events").withColumn("batch", F.when(F.col(SEQ) < F.lit(CUT).cast("timestamp_ntz"), 0).otherwise(1))
+    streams.merge_log_stream(in_batches(rows, f"{root}/in"), KEYS, SEQ, DELETED, f"{root}/m", f"{root}/_c")
+    return streams.merged_feed(spark, f"{root}/m", KEYS, DELETED, 1).select("user_id", "event_id", "value", "change_type")
