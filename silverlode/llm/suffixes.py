@@ -35,7 +35,7 @@ from silverlode.llm.frames import stored
 
 SCAN_BYTES = 1 << 19
 RUN = 16
-_PLACE = np.uint64(28)
+_PLACE = np.uint64(32)  # a text has at most 2^31 bytes
 _NODES = "digit bigint, rest bigint, key bigint, anchor int, first int, last int"
 
 
@@ -62,7 +62,7 @@ def samples(data: np.ndarray, offsets: np.ndarray, length: int):
     at = np.arange(len(data) - half + 1)
     hashed = slices(sums, at, at + half)
     ranked = (hashed >> _PLACE << _PLACE) | at.astype(np.uint64)
-    chosen = (sliding_min(ranked, length - half + 1) & np.uint64((1 << 28) - 1)).astype(np.int64)
+    chosen = (sliding_min(ranked, length - half + 1) & np.uint64((1 << 32) - 1)).astype(np.int64)
     start = np.arange(n)
     row = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))[:n]
     inside = start + length <= offsets[row + 1]
