@@ -3,9 +3,9 @@
 A first round compares each bucket's members with its best connected member. What is still apart in
 a bucket is compared in tiles of bounded size, first in one bucket for each key and then in all buckets that still
 hold two components, by 256-fold MinHash bytes: every pair in two components whose estimate is within three standard errors of the threshold or above is a candidate. Texts of
-at most 8192 k-mers bring them along, so a tile compares such candidates itself and returns only pairs
+at most 1024 k-mers bring them along, so a tile compares such candidates itself and returns only pairs
 that join what it has not joined yet; candidates with a longer text are all returned. Every returned pair is verified from its
-texts. The tiles of one slice of a bucket come first, and what they join is known to the tiles of two slices. So no pair list grows
+texts. The tiles of one slice of a bucket come first, and tiles of two slices know what each has joined in itself. So no pair list grows
 with a group's square once its members hang together, and no candidate is dropped for the size of its bucket.
 """
 
@@ -19,12 +19,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.buffers import groups, mix, occurrence, shingles, text_buffer, words
-from silverlode.llm.frames import release, stored
+from silverlode.llm.frames import stored
 from silverlode.llm.links import components, runs, starts
 
 WORDS, SIMILARITY = 5, 0.8
 BYTES = 256
-SHORT = 8192
+SHORT = 1024
 ERRORS = 3.0
 TILE = 256
 _MORE = np.random.default_rng(78).integers(1, 1 << 63, (2, BYTES), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -86,7 +86,10 @@ def _signed(texts: DataFrame) -> DataFrame:
 
 
 def _tiles(rows: DataFrame, similarity: Similarity, least: float) -> DataFrame:
-    """Pairs (a, b) of one tile in two components that are to be verified."""
+    """Pairs (a, b) of one tile in two components that are to be verified, and (bucket, a, label): its rows' components as the tile joined them.
+
+    A tile of two slices compares the one with the other only.
+    """
     cut = int(np.floor(BYTES * (least - ERRORS * np.sqrt(least * (1 - least) / BYTES))))
     keys = ["bucket", "i", "j"]
 
@@ -97,13 +100,15 @@ def _tiles(rows: DataFrame, similarity: Similarity, least: float) -> DataFrame:
             group = group.copy()
             signs = np.frombuffer(b"".join(table.column("signature").to_pylist()), np.uint8).reshape(-1, BYTES)
             texts = table.column("grams").to_pylist()
-            left, right = [], []
+            left, right, places = [], [], []
             for s, e in zip(edge[:-1], edge[1:]):
-                own = np.arange(s, e)[slice_[s:e] == i[s]]
-                other = own if i[s] == j[s] else np.arange(s, e)[slice_[s:e] == j[s]]
                 joined = group[s:e]  # components as far as this tile has joined them
+
+                own = np.arange(s, e)[slice_[s:e] == i[s]]
+                within = i[s] == j[s]
+                other = own if within else np.arange(s, e)[slice_[s:e] == j[s]]
                 for x in own:
-                    rest = other[(joined[other - s] != joined[x - s]) & ((node[other] > node[x]) | (i[s] != j[s]))]
+                    rest = other[(joined[other - s] != joined[x - s]) & ((node[other] > node[x]) | ~within)]
                     if not len(rest):
                         continue
                     for y in rest[(signs[rest] == signs[x]).sum(1) >= cut]:
@@ -116,11 +121,21 @@ def _tiles(rows: DataFrame, similarity: Similarity, least: float) -> DataFrame:
                             joined[joined == joined[y - s]] = joined[x - s]
                         left.append(node[x])
                         right.append(node[y])
+                if within:
+                    places.append(own)
             a, b = np.array(left, np.int64), np.array(right, np.int64)
-            yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], ["a", "b"])
+            at = np.concatenate(places) if places else np.zeros(0, np.int64)
+            none = np.zeros(len(a), np.int64)
+            columns = [
+                np.concatenate((np.minimum(a, b), node[at])),
+                np.concatenate((np.maximum(a, b), group[at])),
+                np.concatenate((none, np.array(table.column("bucket"))[at])),
+                np.concatenate((none.astype(bool), np.ones(len(at), bool))),
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], ["a", "b", "bucket", "labelled"])
 
     dealt = rows.repartition(*keys).sortWithinPartitions(*keys)
-    return dealt.mapInArrow(run, "a bigint, b bigint").distinct()
+    return dealt.mapInArrow(run, "a bigint, b bigint, bucket bigint, labelled boolean")
 
 
 def _live(members: DataFrame, found: DataFrame) -> DataFrame:
@@ -165,31 +180,19 @@ def near_links(
 
 
 def _compared(live: DataFrame, candidates: DataFrame, similarity: Similarity, least: float) -> DataFrame:
-    """Verified links between components that share a bucket of ``live`` (bucket, key, component, n).
-
-    Slices are compared within themselves first. What that joins is known when slices of one bucket then meet, so that a large group is
-    joined once and not again in every tile.
-    """
+    """Verified links between components that share a bucket of ``live`` (bucket, key, component, n)."""
     signed = _signed(candidates.join(live.select("key").distinct(), "key", "left_semi"))
     slices = F.ceil(F.col("n") / TILE).cast("int")
     sliced = live.join(signed, "key").withColumn("slices", slices).withColumn("slice", F.pmod(F.xxhash64("key"), "slices").cast("int"))
     sliced = stored(sliced, "sliced")
     columns = ("bucket", "i", "j", "slice", "key", "component", "signature", "grams")
     alone = sliced.withColumns({"i": F.col("slice"), "j": F.col("slice")}).select(*columns)
-    more = stored(_tiles(alone, similarity, least), "pairs")
-    links = stored(verified(more, candidates, similarity, least), "links", (more,))
-    rest = sliced.where("slices > 1")
-    if rest.isEmpty():
-        release(sliced)
-        return links
-    known = rest.select(F.col("key").alias("a"), F.col("component").alias("b"))
-    joined = components(known.union(links.select("a", "b")))
-    placed = rest.drop("component").join(joined.withColumnRenamed("node", "key"), "key", "left")
-    placed = placed.withColumn("component", F.coalesce("component", "key"))
-    still = placed.groupBy("bucket").agg(F.min("component").alias("x"), F.max("component").alias("y")).where("x <> y").select("bucket")
-    placed = stored(placed.join(still, "bucket"), "placed", (sliced, joined))
-    tiled = placed.select("*", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("with")).where("slice <> with")
+    found = stored(_tiles(alone, similarity, least), "pairs")
+    # Slices of one bucket meet with what each has joined in itself, so that a large group is not joined again in every tile.
+    labels = found.where("labelled").select("bucket", F.col("a").alias("key"), F.col("b").alias("component"))
+    tiled = sliced.where("slices > 1").drop("component").join(labels, ["bucket", "key"])
+    tiled = tiled.select("*", F.explode(F.sequence(F.lit(0), F.col("slices") - 1)).alias("with")).where("slice <> with")
     tiled = tiled.withColumns({"i": F.least("slice", "with"), "j": F.greatest("slice", "with")})
-    more = stored(_tiles(tiled.select(*columns), similarity, least), "pairs", (placed,))
-    last = stored(verified(more, candidates, similarity, least), "links", (more,))
-    return stored(links.union(last), "links", (links, last))
+    across = stored(_tiles(tiled.select(*columns), similarity, least), "pairs")
+    more = found.union(across).where("NOT labelled").select("a", "b").distinct()
+    return stored(verified(more, candidates, similarity, least), "links", (found, across, sliced))
