@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from functools import reduce
+from itertools import accumulate
 from math import ceil, log2
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 TARGET_FILE_BYTES = 256 << 20
+TARGET_FILE_ROWS = 4_000_000
 
 
 SAMPLED_TEXTS = 64
@@ -188,17 +190,22 @@ def folder_bytes(spark: SparkSession, path: str) -> int:
     return location.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(location).getLength()
 
 
-def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TARGET_FILE_BYTES) -> int:
-    """Rewrite a parquet folder into files of about ``file_bytes``; returns how many were asked for.
+def compact(spark: SparkSession, source: str, target: str, file_bytes: int = TARGET_FILE_BYTES, file_rows: int = TARGET_FILE_ROWS) -> int:
+    """Rewrite a parquet folder into files of about ``file_bytes`` and at most about ``file_rows``; returns how many were asked for.
 
-    Rows keep the order of the files (by name) and their order inside: the range partitioning follows file and
-    row number, so a clustered layout stays clustered and no key can make a file large.
+    Rows keep the order of the files (by name) and their order inside: each row's place in that order, one number, decides its
+    file and is what a file is sorted by, so a clustered layout stays clustered, no key can make a file large, and the memory of the
+    task that sorts a file follows ``file_rows``, however much there is. What reaches the driver is one row a source file.
     """
-    files = max(1, ceil(folder_bytes(spark, source) / file_bytes))
     rows = spark.read.parquet(source)
     columns = rows.columns
-    order = ["_file", "_row"]
-    placed = rows.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
-    ordered = placed.repartitionByRange(files, *order).sortWithinPartitions(*order).select(*columns)
-    ordered.write.mode("overwrite").parquet(target)
+    named = rows.withColumns({"_file": F.col("_metadata.file_path"), "_row": F.col("_metadata.row_index")})
+    counts = sorted(tuple(r) for r in named.groupBy("_file").count().collect())
+    total = sum(n for _, n in counts)
+    files = max(1, ceil(folder_bytes(spark, source) / file_bytes), ceil(total / file_rows))
+    starts = accumulate((n for _, n in counts), initial=0)
+    bases = spark.createDataFrame([(file, start) for (file, _), start in zip(counts, starts)], "_file string, _base long")
+    placed = named.join(F.broadcast(bases), "_file").select(*columns, (F.col("_base") + F.col("_row")).alias("_place"))
+    ordered = placed.repartitionById(files, F.expr(f"cast(_place * {files} div {max(1, total)} as int)")).sortWithinPartitions("_place")
+    ordered.select(*columns).write.mode("overwrite").parquet(target)
     return files

@@ -196,6 +196,13 @@ def test_compaction_keeps_the_order_of_rows(spark, folder):
     assert 3 <= len(spans) <= 5 and all(hi - lo + 1 == n for _, lo, hi, n in spans)
 
 
+def test_compaction_bounds_the_rows_of_a_file(spark, folder):
+    spark.range(0, 40000, 1, 16).write.parquet(f"{folder}/many")
+    assert layout.compact(spark, f"{folder}/many", f"{folder}/few", file_rows=5000) == 8
+    spans = spark.read.parquet(f"{folder}/few").groupBy(F.col("_metadata.file_name").alias("f")).agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("n"))
+    assert [(r.lo, r.hi, r.n) for r in spans.orderBy("f").collect()] == [(5000 * k, 5000 * k + 4999, 5000) for k in range(8)]
+
+
 def test_text_is_clustered_by_whole_values(spark):
     df = spark.range(20000).selectExpr("concat('Customer#', lpad(id, 9, '0')) AS name", "id")
     cells = layout.with_zorder_key(df, ["name"], 6).groupBy("_z").agg(F.min("id").alias("a"), F.max("id").alias("b"), F.count("*").alias("n"))
