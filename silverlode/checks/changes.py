@@ -7,7 +7,7 @@ import time
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from silverlode.checks.registry import check, in_batches, table
+from silverlode.checks.registry import check, files_for, in_batches, land, table
 from silverlode.functions.scalar import full_name
 from silverlode.operators import cdc
 from silverlode.operators.project import delete_where, update_where
@@ -246,13 +246,13 @@ def cdc_propagate_stream(spark: SparkSession, folder: str) -> DataFrame:
     """Feeds of three versions of the users replayed by a stream, one version a batch, without rewriting the target."""
     root = new_folder(spark, "propagate")
     events = _events(spark, folder)
-    before = events.limit(0)
+    before, files = events.limit(0), files_for(events.count())
     for version, until in enumerate((MIDDLE, CUT, "9999-01-01 00:00:00"), 1):
         after = cdc.apply_changes_scd1(events.where(F.col(SEQ) < F.lit(until).cast("timestamp")), KEYS, SEQ, DELETED, ["event_id"])
-        cdc.snapshot_diff(before, after, KEYS, version).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+        land(cdc.snapshot_diff(before, after, KEYS, version), f"{root}/feed", files)
         before = after
     schema = spark.read.parquet(f"{root}/feed").schema
-    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/feed")
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{root}/feed")
     clean = {"props": "regexp_replace(props, '\"', '')"}
     streams.propagate_log_stream(feed, KEYS, f"{root}/log", f"{root}/_checkpoint", clean)
     return streams.propagated_table(spark, f"{root}/log", KEYS)

@@ -218,7 +218,7 @@ def schema_all_files(spark: SparkSession, folder: str) -> DataFrame:
     """A column that only the oldest of many files holds stays in the pinned schema, and no column for broken lines."""
     root = new_folder(spark, "all-files")
     events = table(spark, folder, "events")
-    events.where("event_id % 50 = 0").select("event_id", F.lit(1).alias("old"), "value").coalesce(1).write.json(f"{root}/in")
+    events.where("event_id % 50 = 0").select("event_id", F.lit(1).alias("old"), "value").repartition(1).write.json(f"{root}/in")
     rest = events.where("event_id % 50 <> 0").select("event_id", "value")
     rest.repartition(40).write.mode("append").json(f"{root}/in")
     schema = files.infer_and_pin_schema(spark, f"{root}/in", f"{root}/schema")

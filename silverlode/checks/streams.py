@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from silverlode.checks.changes import CUT, DELETED, FEED, KEYS, MIDDLE, SCD2, SEQ, scd1
-from silverlode.checks.registry import check, in_batches, table
+from silverlode.checks.registry import check, files_for, in_batches, land, land_batches, table
 from silverlode.operators import bitmaps, cdc
 from silverlode.operators.quality import DROP, Rule, expect, with_stored_measure
 from silverlode.session import new_folder
@@ -51,10 +51,11 @@ def schema_per_batch(spark: SparkSession, folder: str) -> DataFrame:
         2: [*common, F.when(F.col("event_id") % 8 != 2, F.col("value")).alias("value"), F.when(F.col("event_id") % 8 == 2, text).alias("_text")],
         3: ["event_id", "value", F.struct(F.col("user_id").alias("id"), F.col("event_type").alias("type")).alias("user")],
     }
+    files = files_for(events.count())
     for number, columns in shapes.items():
         lines = events.where(F.col("event_id") % 4 == number).select(F.to_json(F.struct(*columns)).alias("value"))
-        lines.select(F.replace("value", F.lit('"_text"'), F.lit('"value"')).alias("value")).coalesce(1).write.mode("append").text(f"{root}/in")
-    variants.ingest_json_evolving(spark, f"{root}/in", f"{root}/out", f"{root}/schema", f"{root}/_checkpoint", max_files_per_batch=1)
+        land(lines.select(F.replace("value", F.lit('"_text"'), F.lit('"value"')).alias("value")), f"{root}/in", files, "text")
+    variants.ingest_json_evolving(spark, f"{root}/in", f"{root}/out", f"{root}/schema", f"{root}/_checkpoint", max_files_per_batch=files)
     rows = variants.evolving_table(spark, f"{root}/out", f"{root}/schema")
     kinds = dict(rows.dtypes)
     return rows.groupBy(F.col("batch_id").cast("bigint").alias("batch_id")).agg(
@@ -107,10 +108,10 @@ def stream_quarantine(spark: SparkSession, folder: str) -> DataFrame:
     """Every stream form keeps what it cannot use: quarantined rows of each, and the keys of the others."""
     root = new_folder(spark, "sides")
     rows = _odd(spark, folder)
-    in_batches(rows, f"{root}/in")
+    files = land_batches(rows, f"{root}/in")
 
     def stream() -> DataFrame:
-        return spark.readStream.schema(rows.drop("batch").schema).option("maxFilesPerTrigger", 2).parquet(f"{root}/in")
+        return spark.readStream.schema(rows.drop("batch").schema).option("maxFilesPerTrigger", 2 * files).parquet(f"{root}/in")
 
     streams.upsert_stream(stream(), KEYS, SEQ, f"{root}/u", f"{root}/_cu", ["event_id"])
     streams.merge_log_stream(stream(), KEYS, SEQ, DELETED, f"{root}/m", f"{root}/_cm")
@@ -217,10 +218,11 @@ def gold_incremental(spark: SparkSession, folder: str) -> DataFrame:
     versions = [events.limit(0)]
     cuts = [f"{DAYS[0]} 00:00:00", MIDDLE, CUT, "9999-01-01 00:00:00"]
     versions += [cdc.apply_changes_scd1(events.where(F.col(SEQ) < F.lit(c).cast("timestamp_ntz")), KEYS, SEQ, DELETED, ["event_id"]) for c in cuts]
+    files = files_for(events.count())
     for number, (before, after) in enumerate(zip(versions[:-1], versions[1:])):
-        cdc.snapshot_diff(before, after, KEYS, number).coalesce(1).write.mode("append").parquet(f"{root}/feed")
+        land(cdc.snapshot_diff(before, after, KEYS, number), f"{root}/feed", files)
     schema = spark.read.parquet(f"{root}/feed").schema
-    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/feed")
+    feed = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{root}/feed")
     sums, maxima = {"cents": "CAST(round(value * 100) AS BIGINT)"}, {"latest": "ts"}
     totals.totals_stream(feed, f"{root}/t", f"{root}/_c", ["event_type"], sums, maxima, lambda i: versions[i + 1])
     return totals.totals(spark, f"{root}/t", TOTALS, ["event_type"])
@@ -285,12 +287,10 @@ def cdc_compacted_logs(spark: SparkSession, folder: str) -> DataFrame:
     root = new_folder(spark, "compacted")
     events = _events(spark, folder)
     schema = events.drop("batch").schema
-
-    def land(rows: DataFrame) -> None:
-        rows.drop("batch").coalesce(1).write.mode("append").parquet(f"{root}/in")
+    files = files_for(events.count())
 
     def run(stage: str) -> None:
-        rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{root}/in")
+        rows = spark.readStream.schema(schema).option("maxFilesPerTrigger", files).parquet(f"{root}/in")
         streams.upsert_stream(rows, KEYS, SEQ, f"{root}/{stage}/u", f"{root}/_cu", ["event_id"])
         streams.merge_log_stream(rows, KEYS, SEQ, DELETED, f"{root}/{stage}/m", f"{root}/_cm")
         history.scd2_stream(rows, KEYS, SEQ, f"{root}/{stage}/h", f"{root}/_ch", DELETED, ["event_id"], 4)
@@ -299,12 +299,12 @@ def cdc_compacted_logs(spark: SparkSession, folder: str) -> DataFrame:
     last = events.join(cdc.latest_per_key(events.drop("batch"), KEYS, SEQ, ["event_id"]).select("event_id"), "event_id", "left_semi")
     late = events.where("event_id % 5 = 0").unionByName(last).distinct()
     for number in range(3):
-        land(events.join(late.select("event_id"), "event_id", "left_anti").where(F.col("batch") == number))
+        land(events.join(late.select("event_id"), "event_id", "left_anti").where(F.col("batch") == number).drop("batch"), f"{root}/in", files)
     run("first")
     streams.compact_upserts(spark, f"{root}/first/u", f"{root}/second/u", KEYS, SEQ, ["event_id"])
     streams.compact_merges(spark, f"{root}/first/m", f"{root}/second/m", KEYS, SEQ)
     history.compact_scd2(spark, f"{root}/first/h", f"{root}/second/h", KEYS, 2)
-    land(late.unionByName(events.where("batch = 3")).distinct())
+    land(late.unionByName(events.where("batch = 3")).distinct().drop("batch"), f"{root}/in", files)
     run("second")
     kept = {
         "upsert": streams.upserted_table(spark, f"{root}/second/u", KEYS, SEQ, DELETED, ["event_id"]),

@@ -5,18 +5,20 @@ from __future__ import annotations
 import itertools
 import random
 import time
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from silverlode.checks import registry
 from silverlode.functions import datagen
 from silverlode.operators import bitmaps, layout
 from silverlode.operators.quality import DROP, FAIL, ExpectationFailed, Rule
 from silverlode.sources import sinks, variants
 from silverlode.sources.storage import exists, names
 from silverlode.streaming import buckets, history, journal, totals
-from silverlode.streaming.writers import append_checked
+from silverlode.streaming.writers import append_checked, each_batch
 
 CHANGES = "k long, seq long, v string, gone boolean"
 
@@ -252,3 +254,13 @@ def test_schema_merging_keeps_pinned_types():
     found = T.StructType.fromDDL("a string, s struct<x: string, y: long>, l array<struct<q: long>>, z long")
     want = "struct<a:bigint,s:struct<x:bigint,y:bigint>,l:array<struct<p:bigint,q:bigint>>,z:bigint>"
     assert variants.merged_schema(pinned, found).simpleString() == want
+
+
+def test_a_batch_of_many_files_is_one_micro_batch(spark, folder, monkeypatch):
+    """No task takes a whole batch, and a batch smaller than its number of files is one all the same."""
+    monkeypatch.setattr(registry, "ROWS_PER_FILE", 10)
+    rows = spark.range(95).withColumn("batch", F.when(F.col("id") < 90, 0).when(F.col("id") < 92, 1).otherwise(2))
+    seen = {}
+    each_batch(registry.in_batches(rows, f"{folder}/in"), lambda batch, i: seen.update({i: sorted(r.id for r in batch.collect())}), f"{folder}/c")
+    assert seen == {0: list(range(90)), 1: [90, 91], 2: [92, 93, 94]}
+    assert len([p for p in Path(f"{folder}/in").iterdir() if p.name.startswith("part-")]) == 27
