@@ -1,6 +1,8 @@
 """A keyed table in hash buckets of which a batch rewrites only those it touches.
 
 A batch writes each touched bucket anew under its own batch id, by dynamic partition overwrite; a reader takes every bucket from its newest batch.
+Neighbouring buckets share a folder, of which there are at most ``PARTS``: what is listed, opened and renamed does not grow with the number of
+buckets. A batch's files in a folder hold the buckets that it touched there and a marker row for each.
 So a replay overwrites its own files, older batches can still be read until they are pruned, and nothing of the other buckets is
 read or written. When buckets have grown past ``rows_per_bucket`` on average, the number of buckets doubles: every bucket is split in two in one
 rewrite, whose cost is paid back by the batches that filled them.
@@ -21,7 +23,8 @@ from silverlode.sources.storage import names, remove
 from silverlode.streaming import journal
 from silverlode.streaming.writers import each_batch, read_side, write_sides
 
-BUCKET, BATCH, MARK = "_bucket", "batch_id", "_mark"
+BUCKET, PART, BATCH, MARK = "_bucket", "_part", "batch_id", "_mark"
+PARTS, BLOCKS = 64, 1024
 OPERATION = "MERGE"
 
 
@@ -31,7 +34,7 @@ def bucket_of(keys: Sequence[str], buckets: int):
 
 @dataclass(frozen=True)
 class Buckets:
-    """The folder ``folder/buckets=N/_bucket=b/batch_id=i`` of a keyed table."""
+    """The folder ``folder/buckets=N/_part=p/batch_id=i`` of a keyed table; a part is a bucket while there are at most ``PARTS`` of them."""
 
     spark: SparkSession
     folder: str
@@ -49,44 +52,78 @@ class Buckets:
         """The buckets that the keys of a batch fall into: at most ``count`` numbers."""
         return sorted(r[0] for r in self.placed(rows.select(*self.keys)).select(BUCKET).distinct().collect())
 
-    def newest(self, until: int | None = None, only: Sequence[int] | None = None) -> dict[int, int]:
-        """For each bucket its newest batch, not later than ``until``."""
-        wanted = None if only is None else set(only)
-        found = {}
+    def part_of(self, bucket: int) -> int:
+        return bucket * min(self.count, PARTS) // self.count
+
+    def batches(self, until: int | None = None, parts: set[int] | None = None) -> list[tuple[int, int]]:
+        """(part, batch) of the folders there are, not later than ``until``."""
+        found = []
         for name in names(self.spark, self.path):
-            if not name.startswith(f"{BUCKET}="):
-                continue
-            bucket = int(name.split("=")[1])
-            if wanted is not None and bucket not in wanted:
+            if not name.startswith(f"{PART}="):
                 continue
-            batches = [int(n.split("=")[1]) for n in names(self.spark, f"{self.path}/{name}") if n.startswith(f"{BATCH}=")]
-            batches = [b for b in batches if until is None or b <= until]
-            if batches:
-                found[bucket] = max(batches)
+            part = int(name.split("=")[1])
+            if parts is None or part in parts:
+                batches = [int(n.split("=")[1]) for n in names(self.spark, f"{self.path}/{name}") if n.startswith(f"{BATCH}=")]
+                found += [(part, b) for b in batches if until is None or b <= until]
         return found
 
+    def _rows(self, schema: T.StructType, folders: Sequence[tuple[int, int]]) -> DataFrame:
+        extra = [T.StructField(MARK, T.BooleanType()), T.StructField(BUCKET, T.IntegerType()), T.StructField(BATCH, T.IntegerType())]
+        reader = self.spark.read.schema(T.StructType([*schema.fields, *extra])).option("basePath", self.path)
+        return reader.parquet(*[f"{self.path}/{PART}={p}/{BATCH}={b}" for p, b in folders])
+
+    def newest(self, folders: Sequence[tuple[int, int]], only: Sequence[int] | None = None) -> DataFrame:
+        """(_bucket, batch_id): for each bucket its newest batch among the folders, by the marker rows."""
+        found = self._rows(T.StructType([]), folders).where(MARK).groupBy(BUCKET).agg(F.max(BATCH).alias(BATCH))
+        if only is None or len(only) == self.count:
+            return found
+        return found.join(self._numbers(only), BUCKET, "left_semi")
+
+    def _numbers(self, buckets: Sequence[int]) -> DataFrame:
+        if isinstance(buckets, range):
+            return self.spark.range(buckets.start, buckets.stop).select(F.col("id").cast("int").alias(BUCKET))
+        return self.spark.createDataFrame([(int(b),) for b in buckets], f"{BUCKET} int")
+
     def read(self, schema: T.StructType, until: int | None = None, only: Sequence[int] | None = None) -> DataFrame:
         """The rows of all buckets, or of some, as of a batch."""
-        paths = [f"{self.path}/{BUCKET}={b}/{BATCH}={i}" for b, i in self.newest(until, only).items()]
-        if not paths:
+        folders = self.batches(until, None if only is None else {self.part_of(b) for b in only})
+        if self.count <= PARTS:  # a folder is a bucket: its newest batch has all of it
+            rows = self._rows(schema, list(dict(sorted(folders)).items())) if folders else None
+        else:
+            rows = self._live(schema, folders, only) if folders else None
+        if rows is None:
             return self.spark.createDataFrame([], schema)
-        whole = T.StructType([*schema.fields, T.StructField(MARK, T.BooleanType())])
-        return self.spark.read.schema(whole).parquet(*paths).where(f"{MARK} IS NULL").drop(MARK)
+        return rows.where(f"{MARK} IS NULL").select(*[F.col(f"`{f.name}`") for f in schema.fields])
+
+    def _live(self, schema: T.StructType, folders: Sequence[tuple[int, int]], only: Sequence[int] | None) -> DataFrame | None:
+        newest = self.newest(folders, only)
+        live = self._live_folders(newest)
+        return self._rows(schema, live).join(newest, [BUCKET, BATCH], "left_semi") if live else None
+
+    def _live_folders(self, newest: DataFrame) -> list[tuple[int, int]]:
+        """(part, batch) of the folders that are the newest for one of their buckets."""
+        part = F.expr(f"cast({BUCKET} * {min(self.count, PARTS)}L div {self.count} as int)")
+        return sorted(tuple(r) for r in newest.select(part, BATCH).distinct().collect())
 
     def write(self, rows: DataFrame, batch_id: int, touched: Sequence[int]) -> None:
         """Write the touched buckets; each gets a marker row, so that one that lost all its rows is new too."""
-        marks = self.spark.createDataFrame([(int(b),) for b in touched], f"{BUCKET} int").withColumn(MARK, F.lit(True))
+        marks = self._numbers(touched).withColumn(MARK, F.lit(True))
         marked = self.placed(rows).withColumn(MARK, F.lit(None).cast("boolean")).unionByName(marks, allowMissingColumns=True)
-        dealt = marked.withColumn(BATCH, F.lit(batch_id)).repartition(BUCKET)
-        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET, BATCH).parquet(self.path)
+        part = F.expr(f"cast({BUCKET} * {min(self.count, PARTS)}L div {self.count} as int)")
+        # Blocks of neighbouring buckets, so that a task writes into few folders, and a folder's files have narrow ranges of buckets.
+        block = F.expr(f"{BUCKET} * {min(self.count, BLOCKS)}L div {self.count}")
+        dealt = marked.repartition(block).withColumns({PART: part, BATCH: F.lit(batch_id)}).sortWithinPartitions(PART, BATCH, BUCKET)
+        dealt.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(PART, BATCH).parquet(self.path)
 
     def prune(self, until: int) -> None:
-        """Delete what no reader of batch ``until`` or later takes."""
-        for bucket, newest in self.newest(until).items():
-            folder = f"{self.path}/{BUCKET}={bucket}"
-            for name in names(self.spark, folder):
-                if name.startswith(f"{BATCH}=") and int(name.split("=")[1]) < newest:
-                    remove(self.spark, f"{folder}/{name}")
+        """Delete the folders of which no reader of batch ``until`` or later takes a bucket."""
+        folders = self.batches(until)
+        if self.count <= PARTS:
+            live = list(dict(sorted(folders)).items())
+        else:
+            live = self._live_folders(self.newest(folders)) if folders else []
+        for part, batch in set(folders) - set(live):
+            remove(self.spark, f"{self.path}/{PART}={part}/{BATCH}={batch}")
 
 
 def merge_batch(

@@ -114,6 +114,28 @@ def test_untouched_buckets_are_not_written(spark, folder):
     assert buckets.bucketed_table(spark, folder, ["k"], first.schema).count() == 200
 
 
+def test_many_buckets_share_few_folders(spark, folder):
+    def changes(keys, seq, gone=False):
+        return spark.createDataFrame([(k, seq, f"{seq}", gone) for k in keys], CHANGES)
+
+    def merge(batch, number):
+        buckets.merge_batch(batch, number, folder, ["k"], "seq", "gone", buckets=2, rows_per_bucket=1, keep_batches=1)
+
+    merge(changes(range(300), 1), 0)
+    merge(changes([5, 6], 2), 1)
+    merge(changes([7], 3, True), 2)
+    path = f"{folder}/table/buckets=512"
+    parts = names(spark, path)
+    assert len([p for p in parts if p.startswith("_part=")]) <= 64
+    counts = journal.last_batch(spark, folder, 3)["counts"]
+    assert counts["buckets"] == 512 and counts["buckets_written"] == 1 and counts["rows"] == 299
+    wanted = sorted((k, 2 if k in (5, 6) else 1, "2" if k in (5, 6) else "1", False) for k in range(300) if k != 7)
+    table = buckets.bucketed_table(spark, folder, ["k"], changes([], 0).schema)
+    assert sorted(map(tuple, table.collect())) == wanted
+    older = buckets.bucketed_table(spark, folder, ["k"], changes([], 0).schema, 1)
+    assert older.count() == 300
+
+
 def test_history_reads_the_log_for_late_keys_alone(spark, folder):
     for i in range(4):
         batch = spark.createDataFrame([(k, 10 * i + 1, f"{i}", False) for k in range(8)], CHANGES)
