@@ -66,6 +66,12 @@ def publish_checked(df: DataFrame, rules: Sequence[Rule], target: str) -> None:
     replace(spark, staged, target)
 
 
+def _one_reader(df: DataFrame, folder: str) -> DataFrame:
+    """The rows for one task, which reads their compressed columns from ``folder``; no row goes through a shuffle."""
+    df.write.mode("overwrite").option("compression", "zstd").parquet(folder)
+    return df.sparkSession.read.schema(df.schema).parquet(folder).coalesce(1)
+
+
 def publish_csv(
     df: DataFrame,
     folder: str,
@@ -77,14 +83,15 @@ def publish_csv(
 ) -> list[str]:
     """Publish a gold table as CSV; returns the published paths.
 
-    The caller chooses the form: ``single`` gives the one file ``folder/file``, written by one task; otherwise
-    the folder ``folder/file`` gets parts that are written in parallel. Both are written beside the target and then
-    put in its place, whichever form was there before.
+    The caller chooses the form: ``single`` gives the one file ``folder/file``, written by one task, which reads nothing but the
+    compressed columns of the rows: they are worked out and staged in parallel. Otherwise the folder ``folder/file`` gets parts
+    that are written in parallel. Both are written beside the target and then put in its place, whichever form was there before.
     """
     spark = df.sparkSession
     target = f"{folder.rstrip('/')}/{file}"
     staging = f"{folder.rstrip('/')}/_staging-{file}"
-    writer = (df.repartition(1) if single else df).write.mode("overwrite")
+    columns = f"{folder.rstrip('/')}/_columns-{file}"
+    writer = (_one_reader(df, columns) if single else df).write.mode("overwrite")
     writer = writer.option("header", header).option("delimiter", delimiter)
     if compression:
         writer = writer.option("compression", compression)
@@ -95,6 +102,7 @@ def publish_csv(
         return [f"{target}/{n}" for n in parts]
     replace(spark, f"{staging}/{parts[0]}", target)
     remove(spark, staging)
+    remove(spark, columns)
     return [target]
 
 

@@ -181,6 +181,16 @@ def test_copy_tables(spark, folder):
     assert spark.read.parquet(f"{folder}/backup/a").count() == 100
 
 
+def test_a_single_csv_is_written_from_staged_columns(spark, folder):
+    df = spark.range(100000).selectExpr("id", "id % 7 AS day", "concat('n', id % 5, ', \"x\"') AS `a b`").repartition(4)
+    rows = sinks._one_reader(df, f"{folder}/columns")
+    assert rows.rdd.getNumPartitions() == 1
+    assert "Exchange" not in rows._jdf.queryExecution().executedPlan().toString()
+    found = spark.read.option("header", True).csv(sinks.publish_csv(df, folder, "t.csv"))
+    assert sorted(map(tuple, found.collect())) == sorted((str(r.id), str(r.day), r["a b"]) for r in df.collect())
+    assert sinks.publish_csv(df.limit(0), folder, "none.csv") and Path(f"{folder}/none.csv").read_text().strip() == "id,day,a b"
+
+
 def test_publishing_changes_its_form_in_both_directions(spark, folder):
     df = spark.range(100).repartition(2)
     for single, rows in ((False, 100), (True, 7), (True, 9), (False, 60), (True, 5)):
