@@ -7,7 +7,7 @@ one state vector holds the next A and B token of all lanes, each step compares t
 or both with a cut, and lanes that reach their end are compacted away. A step emits the tokens it passed and the cuts it made.
 
 Links are all pairs of an A and a B token in one group. How many documents link a pair of ids is counted over the corpus: batches
-of at most ``buffers.GROUP_BYTES`` (one longer document is a batch by itself) send each different pair once with its number of documents,
+of at most 2 MB (one longer document is a batch by itself) send each different pair once with its number of documents,
 Spark sums them by pair, and every batch gets back the counts of its own pairs, so that a frequent pair is one row for each batch.
 
 ``groups`` returns the alignment itself (ids, group sizes, cuts), ``agreement`` the figures for each document.

@@ -18,6 +18,7 @@ from tokenizers import Tokenizer
 from silverlode.llm.buffers import LOWER, groups, prefix, ragged, slices
 
 # Fixed: ASCII graphic characters and the lead byte of U+00C0..U+00FF, none of them white space.
+ENCODE_BYTES = 1 << 21  # distinct stretches are encoded once a group
 _PLAIN = np.zeros(256, bool)
 _PLAIN[0x21:0x7F] = True
 _PLAIN[0xC3] = True
@@ -120,7 +121,7 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray):
         """Yield (first row, ids, offsets of the ids) for runs of rows."""
-        for i, j in groups(offsets):
+        for i, j in groups(offsets, ENCODE_BYTES):
             own = data[offsets[i] : offsets[j]]
             if len(own):
                 ids, places = self._group(own, offsets[i : j + 1] - offsets[i])

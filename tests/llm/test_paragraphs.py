@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 import re
 
+import pyarrow as pa
 import pytest
 
 from silverlode.llm import paragraphs
@@ -190,3 +191,25 @@ def test_short_wrapped_lines_with_changes_go(spark):
     rows = [(1, text(wrapped)), (2, "start here\n" + text(changed) + "\nand end")]
     got = {r.doc_id: r for r in paragraphs.remove_passages(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
     assert got[1].text == rows[0][1] and got[2].text == "start here\nand end" and got[2].n_lines_removed == 4
+
+
+def test_working_arrays_of_a_batch_stay_small():
+    import tracemalloc
+
+    class Rows:
+        """A frame of texts that hands one batch to the function it is mapped by."""
+
+        def select(self, *_):
+            return self
+
+        def mapInArrow(self, run, _):
+            texts = pa.array([" ".join(f"w{k * n % 991}" for k in range(900)) for n in range(1, 1000)])
+            tracemalloc.start()
+            for _ in run(iter([pa.RecordBatch.from_arrays([texts], ["text"])])):
+                pass
+            self.peak = tracemalloc.get_traced_memory()[1]
+            tracemalloc.stop()
+
+    rows = Rows()
+    paragraphs._members(rows, 0.8, 5)
+    assert rows.peak < 64 << 20
