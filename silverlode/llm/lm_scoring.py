@@ -17,22 +17,25 @@ result; a null doc_id is scored and never in the target; other columns are not c
 
 ``word_cross_entropy_difference``, which the query uses, does the same with words in place of bytes: one to three
 words of all documents are counted in Spark tables that grow with the corpus, over the shared vocabulary of all words, and each
-document's different trigrams are joined to the losses. A text without words has no tokens there.
+document's different trigrams are joined to the losses. The trigrams are taken in ``SLICES`` turns by a hash of their middle word, which all
+counts but those of single words share, so that only one slice of them is on disk at a time. A text without words has no tokens there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from silverlode.llm.buffers import groups, text_buffer, words
-from silverlode.llm.frames import stored
+from silverlode.llm.buffers import groups, mix, text_buffer, words
+from silverlode.llm.frames import release, stored
 
 SYMBOLS = 160
+SLICES = 8
 WEIGHTS = (0.02, 0.08, 0.25, 0.65)  # of orders 0 to 3
 _marks = [c for c in range(0x21, 0x7F) if not chr(c).isalnum()]
 _OF_BYTE = np.zeros(256, np.int64)
@@ -130,8 +133,25 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str
     return rows.mapInArrow(run, schema)
 
 
-def word_trigrams(rows: DataFrame) -> DataFrame:
-    """(doc_key, wanted, a, b, z, n): the different word trigrams of each row; zeros stand before a text."""
+def word_counts(rows: DataFrame) -> DataFrame:
+    """(z, c1_target, c1_background): every word and how often it comes in the target and in all of (wanted, text)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(1))
+            wanted = np.array(batch.column(0).fill_null(False))
+            for i, j in groups(offsets):
+                hashed, _, _, row = words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                z, which, number = np.unique(hashed.view(np.int64), return_inverse=True, return_counts=True)
+                target = np.bincount(which, wanted[i:j][row], len(z)).astype(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (z, target, number.astype(np.int64))], ["z", "target", "background"])
+
+    parts = rows.select("wanted", "text").mapInArrow(run, "z bigint, target bigint, background bigint")
+    return parts.groupBy("z").agg(F.sum("target").alias("c1_target"), F.sum("background").alias("c1_background"))
+
+
+def word_trigrams(rows: DataFrame, number: int = 0, slices: int = 1) -> DataFrame:
+    """(doc_key, wanted, a, b, z, n): the different word trigrams of each row in one slice; zeros stand before a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -142,21 +162,23 @@ def word_trigrams(rows: DataFrame) -> DataFrame:
                 z = hashed.view(np.int64)
                 b, a = np.zeros_like(z), np.zeros_like(z)
                 b[1:], a[2:] = np.where(row[1:] == row[:-1], z[:-1], 0), np.where(row[2:] == row[:-2], z[:-2], 0)
+                own = np.flatnonzero(mix(b.view(np.uint64)) % np.uint64(slices) == number)
+                row, a, b, z = row[own], a[own], b[own], z[own]
                 order = np.lexsort((z, b, a, row))
                 row, a, b, z = row[order], a[order], b[order], z[order]
                 new = np.ones(len(z), bool)
                 new[1:] = (row[1:] != row[:-1]) | (a[1:] != a[:-1]) | (b[1:] != b[:-1]) | (z[1:] != z[:-1])
                 first = np.flatnonzero(new)
-                number = np.diff(np.append(first, len(z))).astype(np.int64)
-                columns = (keys[i:j][row[first]], wanted[i:j][row[first]], a[first], b[first], z[first], number)
+                times = np.diff(np.append(first, len(z))).astype(np.int64)
+                columns = (keys[i:j][row[first]], wanted[i:j][row[first]], a[first], b[first], z[first], times)
                 yield pa.RecordBatch.from_arrays([pa.array(v) for v in columns], ["doc_key", "wanted", "a", "b", "z", "n"])
 
     kind = "doc_key bigint, wanted boolean, a bigint, b bigint, z bigint, n bigint"
     return rows.select("doc_key", "wanted", "text").mapInArrow(run, kind)
 
 
-def word_losses(grams: DataFrame) -> DataFrame:
-    """(a, b, z, target_loss, background_loss) of every trigram."""
+def word_losses(grams: DataFrame, one: DataFrame) -> DataFrame:
+    """(a, b, z, target_loss, background_loss) of every trigram; ``grams`` has all those of its middle words, ``one`` counts all words."""
     kinds = ("target", "background")
 
     def summed(df: DataFrame, *by: str, label: str) -> DataFrame:
@@ -168,7 +190,6 @@ def word_losses(grams: DataFrame) -> DataFrame:
     counted = F.sum(F.when(F.col("wanted"), F.col("n")).otherwise(0)).alias("c3_target"), F.sum("n").alias("c3_background")
     three = stored(grams.groupBy("a", "b", "z").agg(*counted), "trigrams")
     two = stored(summed(renamed(three, "c3"), "b", "z", label="c2"), "bigrams")
-    one = stored(summed(renamed(two, "c2"), "z", label="c1"), "words")
     total = one.agg(F.count("*").alias("size"), *[F.sum(f"c1_{k}").alias(k) for k in kinds]).first()
     size = max(1, total["size"])
     w0, w1, w2, w3 = WEIGHTS
@@ -180,10 +201,10 @@ def word_losses(grams: DataFrame) -> DataFrame:
     for k in kinds:
         alone = F.col(f"c1_{k}") / total[k] if total[k] else F.lit(1 / size)
         low = low.withColumn(f"p2_{k}", w0 / size + w1 * alone + w2 * share(f"c2_{k}", f"h2_{k}"))
-    low = stored(low.select("b", "z", *[f"p2_{k}" for k in kinds]), "bigram-shares")
+    low = stored(low.select("b", "z", *[f"p2_{k}" for k in kinds]), "bigram-shares", (two,))
     whole = three.join(summed(renamed(three, "c3"), "a", "b", label="h3"), ["a", "b"]).join(low, ["b", "z"])
     found = [(-F.log(F.col(f"p2_{k}") + w3 * share(f"c3_{k}", f"h3_{k}"))).alias(f"{k}_loss") for k in kinds]
-    return stored(whole.select("a", "b", "z", *found), "losses", (three, two, one, low))
+    return stored(whole.select("a", "b", "z", *found), "losses", (three, low))
 
 
 def word_cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -192,13 +213,20 @@ def word_cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id
     rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), value.alias("text"), F.xxhash64(F.col(f"`{doc_id}`"), value).alias("doc_key"))
     wanted = target_ids.select("doc_id").distinct().withColumn("wanted", F.lit(True))
     # A merge join at every size: what is moved then follows the input.
-    grams = stored(word_trigrams(rows.join(wanted.hint("merge"), "doc_id", "left")), "grams")
-    # A document has at most one row for a trigram; a common trigram is split by Spark's skew join.
-    losses = word_losses(grams)
-    met = grams.join(losses.hint("merge"), ["a", "b", "z"])
+    texts = stored(rows.join(wanted.hint("merge"), "doc_id", "left").select("doc_key", "wanted", "text"), "texts")
+    one = stored(word_counts(texts), "words")
     kinds = ("target_loss", "background_loss")
-    scores = met.groupBy("doc_key").agg(F.sum("n").alias("n"), *[(F.sum(F.col("n") * F.col(k)) / F.sum("n")).alias(k) for k in kinds])
-    scores = stored(scores, "scores", (grams, losses))
+    parts = []
+    for number in range(SLICES):
+        grams = stored(word_trigrams(texts, number, SLICES), "grams")
+        # A document has at most one row for a trigram; a common trigram is split by Spark's skew join.
+        losses = word_losses(grams, one)
+        met = grams.join(losses.hint("merge"), ["a", "b", "z"])
+        sums = met.groupBy("doc_key").agg(F.sum("n").alias("n"), *[F.sum(F.col("n") * F.col(k)).alias(k) for k in kinds])
+        parts.append(stored(sums, "sums", (grams, losses)))
+    release(texts, one)
+    scores = reduce(DataFrame.union, parts).groupBy("doc_key").agg(F.sum("n").alias("n"), *[(F.sum(k) / F.sum("n")).alias(k) for k in kinds])
+    scores = stored(scores, "scores", tuple(parts))
     keys = rows.select("doc_id", "doc_key")
     copies = keys.groupBy("doc_key").agg(F.count("*").alias("copies"))  # equal rows were counted together
     joined = keys.join(copies, "doc_key").join(scores, "doc_key", "left")

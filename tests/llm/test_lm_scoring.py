@@ -105,3 +105,20 @@ def test_query_scores_words_against_a_plain_model(spark, tmp_path):
     assert [g[:2] for g in got] == [w[:2] for w in want]
     assert all(g[2:] == pytest.approx(w[2:]) for g, w in zip(got, want))
     assert all(r.difference == pytest.approx(r.target_loss - r.background_loss) for r in rows)
+
+
+def test_slices_of_trigrams_are_a_partition_by_middle_word(spark, monkeypatch):
+    texts = ["a b c a b d e", "", None, "b", "x y z x y z x y", "a b c a b d e"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string")
+    rows = docs.selectExpr("doc_id AS doc_key", "doc_id % 2 = 0 AS wanted", "coalesce(text, '') AS text")
+    whole = sorted(map(tuple, lm_scoring.word_trigrams(rows).collect()))
+    parts = [lm_scoring.word_trigrams(rows, k, 3).collect() for k in range(3)]
+    assert sorted(tuple(r) for p in parts for r in p) == whole
+    middles = [{r["b"] for r in p} for p in parts]
+    assert sum(len(m) for m in middles) == len(set().union(*middles)) and sum(1 for m in middles if m) > 1
+    found = {}
+    for slices in (1, 5):
+        monkeypatch.setattr(lm_scoring, "SLICES", slices)
+        found[slices] = sorted(map(tuple, lm_scoring.word_cross_entropy_difference(docs, docs.where("doc_id < 2").select("doc_id")).collect()))
+    for one, five in zip(found[1], found[5]):
+        assert one[:2] == five[:2] and one[2:] == pytest.approx(five[2:])
