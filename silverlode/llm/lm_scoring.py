@@ -15,27 +15,31 @@ Cases: null text counts as empty and has no tokens and losses of 0; a target of
 losses; repeated ids in the target count once, repeated documents each time; an empty input gives an empty
 result; a null doc_id is scored and never in the target; other columns are not carried.
 
-``word_cross_entropy_difference``, which the query uses, does the same with words in place of bytes: one to three
-words of all documents are counted in Spark tables that grow with the corpus, over the shared vocabulary of all words, and each
-document's different trigrams are joined to the losses. The trigrams are taken in ``SLICES`` turns by a hash of their middle word, which all
-counts but those of single words share, so that only one slice of them is on disk at a time. A text without words has no tokens there.
+``word_cross_entropy_difference``, which the query uses, does the same with words in place of bytes, over the shared vocabulary of all
+words. Batches of about ``TOKENS`` words send each of their different n-grams once, as a 64-bit fingerprint with its counts; Spark deals
+those by ranges of the fingerprint, so that a common n-gram is one entry for each batch and no range is larger than another, sums each range, and
+gives every batch back what the others counted; the batch then works out its documents' losses. Words and pairs go first, trigrams after
+them, so that only one of the two is on disk at a time. A text without words has no tokens there.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+import pyarrow.compute as pc
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from silverlode.llm.buffers import groups, mix, text_buffer, words
-from silverlode.llm.frames import release, stored
+from silverlode.llm.frames import stored
 
 SYMBOLS = 160
-SLICES = 8
+SLICES = 8  # ranges of fingerprints, at least
+TOKENS = 1 << 19
+RANGE_TOKENS = 3 << 19
+_FACTORS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F], np.uint64)
 WEIGHTS = (0.02, 0.08, 0.25, 0.65)  # of orders 0 to 3
 _marks = [c for c in range(0x21, 0x7F) if not chr(c).isalnum()]
 _OF_BYTE = np.zeros(256, np.int64)
@@ -133,25 +137,8 @@ def cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str
     return rows.mapInArrow(run, schema)
 
 
-def word_counts(rows: DataFrame) -> DataFrame:
-    """(z, c1_target, c1_background): every word and how often it comes in the target and in all of (wanted, text)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            data, offsets = text_buffer(batch.column(1))
-            wanted = np.array(batch.column(0).fill_null(False))
-            for i, j in groups(offsets):
-                hashed, _, _, row = words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
-                z, which, number = np.unique(hashed.view(np.int64), return_inverse=True, return_counts=True)
-                target = np.bincount(which, wanted[i:j][row], len(z)).astype(np.int64)
-                yield pa.RecordBatch.from_arrays([pa.array(v) for v in (z, target, number.astype(np.int64))], ["z", "target", "background"])
-
-    parts = rows.select("wanted", "text").mapInArrow(run, "z bigint, target bigint, background bigint")
-    return parts.groupBy("z").agg(F.sum("target").alias("c1_target"), F.sum("background").alias("c1_background"))
-
-
 def word_trigrams(rows: DataFrame, number: int = 0, slices: int = 1) -> DataFrame:
-    """(doc_key, wanted, a, b, z, n): the different word trigrams of each row in one slice; zeros stand before a text."""
+    """(doc_key, wanted, a, b, z, n): the different word trigrams of each row, or those of one slice by their middle word; zeros stand before a text."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -177,61 +164,185 @@ def word_trigrams(rows: DataFrame, number: int = 0, slices: int = 1) -> DataFram
     return rows.select("doc_key", "wanted", "text").mapInArrow(run, kind)
 
 
-def word_losses(grams: DataFrame, one: DataFrame) -> DataFrame:
-    """(a, b, z, target_loss, background_loss) of every trigram; ``grams`` has all those of its middle words, ``one`` counts all words."""
-    kinds = ("target", "background")
+def _packed(values: np.ndarray) -> bytes:
+    return pa.compress(values.tobytes(), "zstd", asbytes=True)  # small numbers: what the JVM holds and moves is a tenth
 
-    def summed(df: DataFrame, *by: str, label: str) -> DataFrame:
-        return df.groupBy(*by).agg(*[F.sum(k).alias(f"{label}_{k}") for k in kinds])
 
-    def renamed(df: DataFrame, label: str) -> DataFrame:
-        return df.withColumnsRenamed({f"{label}_{k}": k for k in kinds})
+def _unpacked(cell: pa.Scalar, number: int, kind: str) -> np.ndarray:
+    return np.frombuffer(pa.decompress(cell.as_buffer(), number * np.dtype(kind).itemsize, "zstd"), kind)
 
-    counted = F.sum(F.when(F.col("wanted"), F.col("n")).otherwise(0)).alias("c3_target"), F.sum("n").alias("c3_background")
-    three = stored(grams.groupBy("a", "b", "z").agg(*counted), "trigrams")
-    two = stored(summed(renamed(three, "c3"), "b", "z", label="c2"), "bigrams")
-    total = one.agg(F.count("*").alias("size"), *[F.sum(f"c1_{k}").alias(k) for k in kinds]).first()
-    size = max(1, total["size"])
-    w0, w1, w2, w3 = WEIGHTS
 
-    def share(c: str, h: str) -> Column:
-        return F.when(F.col(h) > 0, F.col(c) / F.col(h)).otherwise(1 / size)
+def word_batches(rows: DataFrame) -> DataFrame:
+    """(batch, doc_id, wanted, lengths, vocabulary, tokens, n_tokens, n_target) from (doc_id, wanted, text): runs of documents as places in their own vocabulary."""
 
-    low = two.join(summed(renamed(two, "c2"), "b", label="h2"), "b").join(one, "z")
-    for k in kinds:
-        alone = F.col(f"c1_{k}") / total[k] if total[k] else F.lit(1 / size)
-        low = low.withColumn(f"p2_{k}", w0 / size + w1 * alone + w2 * share(f"c2_{k}", f"h2_{k}"))
-    low = stored(low.select("b", "z", *[f"p2_{k}" for k in kinds]), "bigram-shares", (two,))
-    whole = three.join(summed(renamed(three, "c3"), "a", "b", label="h3"), ["a", "b"]).join(low, ["b", "z"])
-    found = [(-F.log(F.col(f"p2_{k}") + w3 * share(f"c3_{k}", f"h3_{k}"))).alias(f"{k}_loss") for k in kinds]
-    return stored(whole.select("a", "b", "z", *found), "losses", (three, low))
+    def packed(held: list[tuple]) -> pa.RecordBatch:
+        ids, wanted, lengths, hashed = (list(c) for c in zip(*held))
+        wanted, lengths = np.concatenate(wanted), np.concatenate(lengths)
+        vocabulary, tokens = np.unique(np.concatenate(hashed), return_inverse=True)
+        ids = pa.concat_arrays(ids)
+        cells = [[wanted.tobytes()], [lengths.astype("<u4").tobytes()], [vocabulary.astype("<u8").tobytes()], [_packed(tokens.astype("<u4"))]]
+        numbers = [[int(lengths.sum())], [int(lengths[wanted].sum())]]
+        columns = [pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), ids), *(pa.array(c, pa.binary()) for c in cells)]
+        return pa.RecordBatch.from_arrays([*columns, *(pa.array(n, pa.int64()) for n in numbers)], names)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            data, offsets = text_buffer(batch.column(2))
+            wanted = np.array(batch.column(1).fill_null(False), bool)
+            for i, j in groups(offsets):
+                hashed, _, _, row = words(data[offsets[i] : offsets[j]], offsets[i : j + 1] - offsets[i])
+                held.append((batch.column(0).slice(i, j - i), wanted[i:j], np.bincount(row, minlength=j - i), hashed))
+                size += len(hashed) + j - i
+                if size >= TOKENS:
+                    yield packed(held)
+                    held, size = [], 0
+        if held:
+            yield packed(held)
+
+    names = ["doc_id", "wanted", "lengths", "vocabulary", "tokens", "n_tokens", "n_target"]
+    kind = f"doc_id array<{rows.schema['doc_id'].dataType.simpleString()}>, wanted binary, lengths binary, vocabulary binary, tokens binary"
+    found = rows.select("doc_id", "wanted", "text").mapInArrow(run, f"{kind}, n_tokens bigint, n_target bigint")
+    return found.withColumn("batch", F.monotonically_increasing_id())
+
+
+class NGrams:
+    """The words of a batch, a mark before each text that has any, and the fingerprints and counts of their n-grams."""
+
+    def __init__(self, wanted: pa.Scalar, lengths: pa.Scalar, vocabulary: pa.Scalar, tokens: pa.Scalar) -> None:
+        self.wanted, self.lengths = np.frombuffer(wanted.as_buffer(), bool), np.frombuffer(lengths.as_buffer(), "<u4").astype(np.int64)
+        self.vocabulary = np.concatenate((np.zeros(1, np.uint64), np.frombuffer(vocabulary.as_buffer(), "<u8")))
+        size = self.lengths + (self.lengths > 0)
+        stop = np.cumsum(size)[self.lengths > 0]
+        self.first = stop - size[self.lengths > 0]
+        self.token = np.ones(int(size.sum()), bool)
+        self.token[self.first] = False
+        self.history = np.ones(len(self.token), bool)
+        self.history[stop - 1] = False
+        self.target = np.repeat(self.wanted, size)
+        self.words = np.zeros(len(self.token), np.int64)
+        self.words[self.token] = _unpacked(tokens, int(self.lengths.sum()), "<u4").astype(np.int64) + 1
+        self.hashed = self.vocabulary[self.words]
+        self.before = np.zeros_like(self.hashed)
+        self.before[1:] = self.hashed[:-1]
+        self.before[self.first] = 0
+
+    def short(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Words (odd fingerprints) and pairs (even): fingerprints, counts, and the place of each word and of each pair of the batch.
+
+        Counts are how often one ends a text's prefix (in the target, in all) and how often a word follows it (the same).
+        """
+        different, pair = np.unique(mix(self.before * _FACTORS[0] + self.hashed) & ~np.uint64(1), return_inverse=True)
+        keys = np.concatenate((mix(self.vocabulary + _FACTORS[1]) | np.uint64(1), different))
+        order = np.argsort(keys)
+        place = np.empty_like(order)
+        place[order] = np.arange(len(order))
+        word, pair = place[self.words], place[pair + len(self.vocabulary)]
+        counts = np.zeros((len(keys), 4), np.int64)
+        for k, which in enumerate((self.token & self.target, self.token, self.history & self.target, self.history)):
+            counts[:, k] = np.bincount(word[which], minlength=len(keys)) + np.bincount(pair[which], minlength=len(keys))
+        return keys[order], counts, word, pair
+
+    def long(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Trigrams: fingerprints, counts (in the target, in all), and the place of each of the batch."""
+        real = self.token[1:]
+        whole = mix(self.before[:-1][real] * _FACTORS[0] + self.hashed[:-1][real] * _FACTORS[1] + self.hashed[1:][real])
+        keys, place = np.unique(whole, return_inverse=True)
+        counts = np.zeros((len(keys), 2), np.int64)
+        counts[:, 0] = np.bincount(place[self.target[1:][real]], minlength=len(keys))
+        counts[:, 1] = np.bincount(place, minlength=len(keys))
+        return keys, counts, place
+
+
+def counted_elsewhere(batches: DataFrame, order: str, ranges: int) -> DataFrame:
+    """(batch, part, n_keys, counts, n_words): what all other batches counted of each n-gram of a batch, by ranges of fingerprints, in their order.
+
+    ``n_words`` adds up to the number of different words, the mark before texts among them.
+    """
+    width = 4 if order == "short" else 2
+    columns = ["wanted", "lengths", "vocabulary", "tokens"]
+
+    def send(batches_: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bounds = np.array([(k << 64) // ranges for k in range(1, ranges)], np.uint64)
+        for batch in batches_:
+            for k in range(batch.num_rows):
+                keys, counts = getattr(NGrams(*(batch.column(c)[k] for c in columns)), order)()[:2]
+                at = np.concatenate(([0], np.searchsorted(keys, bounds), [len(keys)]))
+                used = np.flatnonzero(np.diff(at))
+                number = pa.array(np.full(len(used), batch.column("batch")[k].as_py()), pa.int64())
+                cells = [[keys[at[r] : at[r + 1]].astype("<u8").tobytes() for r in used], [_packed(counts[at[r] : at[r + 1]].astype("<u4")) for r in used]]
+                cells = [number, pa.array(used.astype(np.int32)), *(pa.array(c, pa.binary()) for c in cells)]
+                yield pa.RecordBatch.from_arrays(cells, ["batch", "part", "keys", "counts"])
+
+    def add(rows: pa.Table) -> pa.Table:
+        keys, offsets = text_buffer(rows["keys"])
+        at = offsets // 8
+        own = [_unpacked(c, n * width, "<u4") for c, n in zip(rows["counts"], np.diff(at).tolist())]
+        keys, own = keys.view("<u8"), np.concatenate(own).reshape(-1, width)
+        by_key = np.argsort(keys)
+        ordered = keys[by_key]
+        new = np.append(True, ordered[1:] != ordered[:-1])
+        found = np.zeros(rows.num_rows, np.int64)
+        found[0] = np.count_nonzero(new & (ordered & np.uint64(1) == 1))
+        del keys, ordered
+        starts, which = np.flatnonzero(new), np.cumsum(new) - 1
+        others = np.empty(own.shape, "<i8")
+        for k in range(width):  # column by column, so that working arrays stay small
+            column = own[by_key, k].astype(np.int64)
+            others[by_key, k] = np.add.reduceat(column, starts)[which] - column
+        cells = pa.array([_packed(others[i:j]) for i, j in zip(at[:-1], at[1:])], pa.binary())
+        n_keys = pa.array(np.diff(at).astype(np.int32))
+        return pa.table([rows["batch"], rows["part"], n_keys, cells, pa.array(found)], ["batch", "part", "n_keys", "counts", "n_words"])
+
+    sent = batches.select("batch", *columns).mapInArrow(send, "batch bigint, part int, keys binary, counts binary")
+    return sent.groupBy("part").applyInArrow(add, "batch bigint, part int, n_keys int, counts binary, n_words bigint")
 
 
 def word_cross_entropy_difference(docs: DataFrame, target_ids: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, difference) of every row by models of one to three words."""
-    value = F.coalesce(F.col(f"`{text}`"), F.lit(""))
-    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), value.alias("text"), F.xxhash64(F.col(f"`{doc_id}`"), value).alias("doc_key"))
+    rows = docs.select(F.col(f"`{doc_id}`").alias("doc_id"), F.col(f"`{text}`").alias("text"))
     wanted = target_ids.select("doc_id").distinct().withColumn("wanted", F.lit(True))
     # A merge join at every size: what is moved then follows the input.
-    texts = stored(rows.join(wanted.hint("merge"), "doc_id", "left").select("doc_key", "wanted", "text"), "texts")
-    one = stored(word_counts(texts), "words")
-    kinds = ("target_loss", "background_loss")
-    parts = []
-    for number in range(SLICES):
-        grams = stored(word_trigrams(texts, number, SLICES), "grams")
-        # A document has at most one row for a trigram; a common trigram is split by Spark's skew join.
-        losses = word_losses(grams, one)
-        met = grams.join(losses.hint("merge"), ["a", "b", "z"])
-        sums = met.groupBy("doc_key").agg(F.sum("n").alias("n"), *[F.sum(F.col("n") * F.col(k)).alias(k) for k in kinds])
-        parts.append(stored(sums, "sums", (grams, losses)))
-    release(texts, one)
-    scores = reduce(DataFrame.union, parts).groupBy("doc_key").agg(F.sum("n").alias("n"), *[(F.sum(k) / F.sum("n")).alias(k) for k in kinds])
-    scores = stored(scores, "scores", tuple(parts))
-    keys = rows.select("doc_id", "doc_key")
-    copies = keys.groupBy("doc_key").agg(F.count("*").alias("copies"))  # equal rows were counted together
-    joined = keys.join(copies, "doc_key").join(scores, "doc_key", "left")
-    target, background = (F.coalesce(k, F.lit(0.0)) for k in kinds)
-    number = F.coalesce(F.col("n") / F.col("copies"), F.lit(0)).cast("bigint")
-    return joined.select(
-        "doc_id", number.alias("n_tokens"), target.alias(kinds[0]), background.alias(kinds[1]), (target - background).alias("difference")
-    )
+    batches = stored(word_batches(rows.join(wanted.hint("merge"), "doc_id", "left")), "batches")
+    sums = batches.agg(F.sum("n_target"), F.sum("n_tokens")).first()
+    totals = [n or 0 for n in sums]
+    ranges = max(SLICES, -(-totals[1] // RANGE_TOKENS))
+    short, long = (stored(counted_elsewhere(batches, order, ranges), order) for order in ("short", "long"))
+    size = max(1, (short.agg(F.sum("n_words")).first()[0] or 0) - 1)
+    w0, w1, w2, w3 = WEIGHTS
+
+    def share(c: np.ndarray, h: np.ndarray) -> np.ndarray:
+        return np.divide(c, h, out=np.full(len(c), 1 / size), where=h > 0)
+
+    def run(own: pa.Table, others: pa.Table) -> pa.Table:
+        grams = NGrams(*(own[c][0] for c in ("wanted", "lengths", "vocabulary", "tokens")))
+        others = others.sort_by("part")
+
+        def whole(order: str, counts: np.ndarray) -> np.ndarray:
+            rows = others.filter(pc.equal(others["kind"], order))
+            cells = [_unpacked(c, n * counts.shape[1], "<i8") for c, n in zip(rows["counts"], rows["n_keys"].to_pylist())]
+            return counts + np.concatenate([np.zeros(0, "<i8"), *cells]).reshape(counts.shape)
+
+        _, counts, word, pair = grams.short()
+        counts = whole("short", counts)
+        at = np.flatnonzero(grams.token)  # a token's history is the entry before it
+        alone, two, one_before, two_before = counts[word[at]], counts[pair[at]], counts[word[at - 1]], counts[pair[at - 1]]
+        _, counts, place = grams.long()
+        three = whole("long", counts)[place]
+        found = np.zeros((2, len(grams.lengths)))
+        full = grams.lengths > 0
+        stop = np.cumsum(grams.lengths)[full]
+        for k in (0, 1):
+            p = w0 / size + w1 * (alone[:, k] / totals[k] if totals[k] else 1 / size) + w2 * share(two[:, k], one_before[:, 2 + k])
+            loss = -np.log(p + w3 * share(three[:, k], two_before[:, 2 + k]))
+            if len(loss):
+                found[k, full] = np.add.reduceat(loss, stop - grams.lengths[full]) / grams.lengths[full]
+        figures = [pa.array(v) for v in (grams.lengths, *found, found[0] - found[1])]
+        return pa.table([own["doc_id"].combine_chunks().flatten(), *figures], names)
+
+    names = ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"]
+    schema = rows.select("doc_id").schema.add("n_tokens", "long")
+    for name in names[2:]:
+        schema = schema.add(name, "double")
+    known = short.withColumn("kind", F.lit("short")).unionByName(long.withColumn("kind", F.lit("long"))).drop("n_words")
+    return batches.groupBy("batch").cogroup(known.groupBy("batch")).applyInArrow(run, schema)

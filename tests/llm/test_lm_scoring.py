@@ -122,3 +122,24 @@ def test_slices_of_trigrams_are_a_partition_by_middle_word(spark, monkeypatch):
         found[slices] = sorted(map(tuple, lm_scoring.word_cross_entropy_difference(docs, docs.where("doc_id < 2").select("doc_id")).collect()))
     for one, five in zip(found[1], found[5]):
         assert one[:2] == five[:2] and one[2:] == pytest.approx(five[2:])
+
+
+def test_a_common_pair_is_one_entry_a_batch_and_batches_do_not_show(spark, monkeypatch):
+    texts = [f"of the {w} of the {w}{k % 3} of the" for k in range(40) for w in ("a", "b")] + ["", None, "of the"]
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(texts)], "doc_id long, text string").coalesce(1)
+    good = docs.where("doc_id % 3 = 0").select("doc_id")
+    whole = sorted(map(tuple, lm_scoring.word_cross_entropy_difference(docs, good).collect()))
+    monkeypatch.setattr(lm_scoring, "TOKENS", 50)
+    monkeypatch.setattr(lm_scoring, "RANGE_TOKENS", 100)
+    monkeypatch.setattr("silverlode.llm.lm_scoring.groups", lambda offsets: ((k, k + 1) for k in range(len(offsets) - 1)))
+    rows = docs.selectExpr("doc_id", "doc_id % 3 = 0 AS wanted", "text")
+    batches = lm_scoring.stored(lm_scoring.word_batches(rows), "batches")
+    many = batches.count()
+    sent = lm_scoring.counted_elsewhere(batches, "short", 1).collect()
+    pairs = len({g for t in texts for w in [["", *(t or "").split()]] for g in zip(w, w[1:])})
+    names = len({w for t in texts for w in (t or "").split()}) + 1
+    assert many > 5 and len(sent) == many and all(r.n_keys <= pairs + names + 1 for r in sent)
+    assert sum(r.n_words for r in sent) == names
+    cut = sorted(map(tuple, lm_scoring.word_cross_entropy_difference(docs, good).collect()))
+    assert [r[:2] for r in cut] == [r[:2] for r in whole]
+    assert all(a[2:] == pytest.approx(b[2:]) for a, b in zip(cut, whole))
