@@ -62,6 +62,13 @@ def byte_level_spelling(path: str) -> Spelling:
     return _spelt[path]
 
 
+def _holds(ordered: np.ndarray, values: np.ndarray) -> np.ndarray:
+    """Which values an ordered array has; nothing is built from the array, which may be large."""
+    if not len(ordered):
+        return np.zeros(len(values), bool)
+    return ordered[np.minimum(np.searchsorted(ordered, values), len(ordered) - 1)] == values
+
+
 class Pieces:
     """B's ids of byte buffers that start with a space; no piece has a space after another character, so words stand alone.
 
@@ -104,7 +111,7 @@ class Pieces:
         start = np.flatnonzero(cut)
         end = np.append(start[1:], len(data))
         keys, first, which = np.unique(slices(prefix(data), start, end), return_index=True, return_inverse=True)
-        known = np.isin(keys, self.keys)
+        known = _holds(self.keys, keys)
         if len(self.keys) + (~known).sum() > self.room:
             self._forget()
             known[:] = False
@@ -230,7 +237,7 @@ class Alignment:
         if len(data) < 3:
             return edges
         open_ = np.flatnonzero((data[1:-1] == _SPACE) & (data[:-2] != _SPACE) & _PLAIN[data[2:]]) + 1
-        open_ = open_[np.isin(open_, a_end) & np.isin(open_, b_end)]
+        open_ = open_[_holds(a_end, open_) & _holds(b_end, open_)]
         step = open_ // LANE_BYTES
         return np.union1d(edges, open_[np.flatnonzero(np.diff(step, prepend=-1))])
 

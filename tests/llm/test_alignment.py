@@ -157,3 +157,21 @@ def test_any_texts(texts):
     data = np.frombuffer(b"".join(encoded), np.uint8)
     found = alignment.Alignment(data, np.concatenate(([0], np.cumsum([len(e) for e in encoded]))).astype(np.int64), A, B)
     assert [t.decode() for t in found.spelt_groups()] == [shown(plain(t)) for t in texts]
+
+
+def test_known_stretches_are_looked_up_in_place(monkeypatch):
+    texts = ["the cat sat " * 200, "", "a dog, the cat", "x" * 3000 + " y"]
+    encoded = [t.encode() for t in texts]
+    data, offsets = np.frombuffer(b"".join(encoded), np.uint8), np.concatenate(([0], np.cumsum([len(e) for e in encoded]))).astype(np.int64)
+    rng = np.random.default_rng(1)
+    for size in (0, 1, 50):
+        ordered, values = np.unique(rng.integers(0, 99, size)), rng.integers(0, 120, 40)
+        assert alignment._holds(ordered, values).tolist() == np.isin(values, ordered).tolist()
+
+    def whole(*_):
+        raise AssertionError("goes over the whole memory for every batch")
+
+    monkeypatch.setattr(np, "isin", whole)
+    for _ in range(2):
+        found = alignment.Alignment(data, offsets, A, B)
+        assert [t.decode() for t in found.spelt_groups()] == [shown(plain(t)) for t in texts]
