@@ -15,7 +15,7 @@ from pyspark.sql.streaming import StreamingQuery
 from silverlode.operators import cdc
 from silverlode.sources.storage import Snapshots
 from silverlode.streaming import journal
-from silverlode.streaming.writers import each_batch, read_side, write_batch, write_sides
+from silverlode.streaming.writers import each_batch, read_side, side_counts, write_batch, write_sides
 
 VERSION = "batch_id"
 
@@ -24,8 +24,8 @@ def _add(good: DataFrame, rest: DataFrame, folder: str, batch_id: int, operation
     """Both sides of a batch in one write, and then its journal row."""
     write_sides(good, rest, folder, batch_id)
     spark = good.sparkSession
-    sides = read_side(spark, folder).where(F.col(VERSION) == batch_id).count(), quarantined(spark, folder).where(F.col(VERSION) == batch_id).count()
-    journal.commit(spark, folder, batch_id, operation, {"keys": sides[0], "quarantined": sides[1]})
+    sides = side_counts(spark, folder, batch_id)
+    journal.commit(spark, folder, batch_id, operation, {"keys": sides["good"], "quarantined": sides["quarantine"]})
 
 
 def quarantined(spark: SparkSession, folder: str) -> DataFrame:

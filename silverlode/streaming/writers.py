@@ -72,6 +72,12 @@ def write_sides(good: DataFrame, quarantined: DataFrame, folder: str, batch_id:
     sides.write.mode("overwrite").partitionBy(SIDE).parquet(f"{folder.rstrip('/')}/batch_id={batch_id}")
 
 
+def side_counts(spark: SparkSession, folder: str, batch_id: int) -> dict[str, int]:
+    """How many rows of a batch are on each side, from the footers of its own files."""
+    rows = spark.read.schema(f"{SIDE} string").parquet(f"{folder.rstrip('/')}/batch_id={batch_id}")
+    return rows.agg(*[F.count_if(F.col(SIDE) == side).alias(side) for side in ("good", "quarantine")]).first().asDict()
+
+
 def read_side(spark: SparkSession, folder: str, side: str = "good") -> DataFrame:
     """One side of all batches; only its files are read."""
     return spark.read.parquet(folder).where(F.col(SIDE) == side).drop(SIDE)

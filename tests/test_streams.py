@@ -7,17 +7,21 @@ import random
 import time
 from pathlib import Path
 
+import duckdb
 import pytest
+from compare import differences
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from silverlode.checks import registry
+from silverlode.checks import streams as checks
 from silverlode.functions import datagen
 from silverlode.operators import bitmaps, layout
 from silverlode.operators.quality import DROP, FAIL, ExpectationFailed, Rule
 from silverlode.sources import sinks, variants
 from silverlode.sources.storage import exists, names
-from silverlode.streaming import buckets, history, journal, totals
+from silverlode.streaming import buckets, history, journal, totals, writers
+from silverlode.streaming import changes as streams
 from silverlode.streaming.writers import append_checked, each_batch
 
 CHANGES = "k long, seq long, v string, gone boolean"
@@ -286,3 +290,48 @@ def test_a_batch_of_many_files_is_one_micro_batch(spark, folder, monkeypatch):
     each_batch(registry.in_batches(rows, f"{folder}/in"), lambda batch, i: seen.update({i: sorted(r.id for r in batch.collect())}), f"{folder}/c")
     assert seen == {0: list(range(90)), 1: [90, 91], 2: [92, 93, 94]}
     assert len([p for p in Path(f"{folder}/in").iterdir() if p.name.startswith("part-")]) == 27
+
+
+def counted(spark, df, column):
+    """The same rows, and how many of them were worked out so far."""
+    seen = spark.sparkContext.accumulator(0)
+
+    def see(value):
+        seen.add(1)
+        return value
+
+    return df.withColumn(column, F.udf(see, df.schema[column].dataType)(column)), seen
+
+
+def test_compacted_logs_read_the_events_twice(spark, folder, monkeypatch):
+    n = 400
+    made = spark.range(n).select(
+        F.col("id").alias("event_id"),
+        F.expr("timestampadd(MINUTE, cast(id * 7919 % 43200 as int), timestamp_ntz'2024-01-01 00:00:00')").alias("ts"),
+        (F.col("id") % 17).alias("user_id"),
+        F.when(F.col("id") % 9 == 0, "error").otherwise("view").alias("event_type"),
+        F.col("id").cast("double").alias("value"),
+        F.lit("{}").alias("props"),
+    )
+    made.unionByName(made.where("event_id % 50 = 1")).coalesce(1).write.parquet(f"{folder}/events.parquet")
+    events, seen = counted(spark, spark.read.parquet(f"{folder}/events.parquet"), "value")
+    monkeypatch.setattr(checks, "table", lambda *_: events)
+    found = checks.cdc_compacted_logs(spark, folder)
+    connection = duckdb.connect()
+    # The SQL numbers rows; copies of an event are one change.
+    connection.execute(f"CREATE VIEW events AS SELECT DISTINCT * FROM '{folder}/events.parquet/*.parquet'")
+    assert differences(found, registry.ORACLE["cdc_compacted_logs"], connection) == []
+    assert seen.value <= 2 * (n + n // 50)
+
+
+def test_a_log_counts_its_sides_with_one_job(spark, folder):
+    made = spark.createDataFrame([(1, 1, "x", False), (1, 2, "y", False), (None, 3, "z", False), (2, None, "w", True)], CHANGES)
+    streams._add(streams.cdc.latest_per_key(made, ["k"], "seq"), streams.cdc.unusable(made, ["k"], "seq"), f"{folder}/u", 0, "TEST")
+    spark.sparkContext.setJobGroup("sides", "")
+    try:
+        assert writers.side_counts(spark, f"{folder}/u", 0) == {"good": 1, "quarantine": 2}
+        plans = spark.sparkContext.statusTracker().getJobIdsForGroup("sides")
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(plans) <= 2  # an adaptive plan's shuffle is a job of its own
+    assert journal.history(spark, f"{folder}/u").first()["counts"] == {"keys": 1, "quarantined": 2}
