@@ -42,13 +42,17 @@ def _rank_columns(df: DataFrame, keys: Sequence[str], seq: str, tiebreak: Sequen
     return [*first, *rest]
 
 
+def is_usable(keys: Sequence[str], seq: str) -> Column:
+    return _all_present([*keys, seq])
+
+
 def usable(changes: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
-    return changes.where(_all_present([*keys, seq]))
+    return changes.where(is_usable(keys, seq))
 
 
 def unusable(changes: DataFrame, keys: Sequence[str], seq: str) -> DataFrame:
     """Rows that cannot be ordered or matched; meant for quarantine."""
-    return changes.where(~_all_present([*keys, seq]))
+    return changes.where(~is_usable(keys, seq))
 
 
 def latest_per_key(

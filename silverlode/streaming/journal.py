@@ -24,8 +24,9 @@ def commit(spark: SparkSession, folder: str, batch_id: int, operation: str, coun
     at = datetime.now(timezone.utc)
     if exists(spark, f"{target}/batch_id={batch_id}/_SUCCESS"):
         at = spark.read.schema(SCHEMA).parquet(f"{target}/batch_id={batch_id}").first()["committed_at"].astimezone(timezone.utc)
-    row = spark.createDataFrame([(at, operation, {k: int(v) for k, v in counts.items()})], SCHEMA)
-    write_batch(row.coalesce(1), target, batch_id)
+    pairs = F.create_map(*[F.lit(part) for k, v in counts.items() for part in (k, int(v))])
+    row = spark.range(0, 1, 1, 1).select(F.lit(at).alias("committed_at"), F.lit(operation).alias("operation"), pairs.cast("map<string,bigint>").alias("counts"))
+    write_batch(row, target, batch_id)
 
 
 def history(spark: SparkSession, folder: str) -> DataFrame:

@@ -324,6 +324,15 @@ def test_compacted_logs_read_the_events_twice(spark, folder, monkeypatch):
     assert seen.value <= 2 * (n + n // 50)
 
 
+def test_a_history_batch_reads_its_changes_once_for_the_log(spark, folder):
+    made = spark.createDataFrame([(i % 7 if i % 5 else None, i, "x", False) for i in range(60)], CHANGES)
+    batch, seen = counted(spark, made, "v")
+    history.add_scd2_batch(batch, 0, f"{folder}/h", ["k"], "seq", "gone", ["v"], 4)
+    assert seen.value == 60
+    assert history.scd2_table(spark, f"{folder}/h", ["k"]).count() == 48
+    assert history.scd2_quarantine(spark, f"{folder}/h").count() == 12
+
+
 def test_a_log_counts_its_sides_with_one_job(spark, folder):
     made = spark.createDataFrame([(1, 1, "x", False), (1, 2, "y", False), (None, 3, "z", False), (2, None, "w", True)], CHANGES)
     streams._add(streams.cdc.latest_per_key(made, ["k"], "seq"), streams.cdc.unusable(made, ["k"], "seq"), f"{folder}/u", 0, "TEST")
