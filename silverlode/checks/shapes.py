@@ -131,12 +131,14 @@ def layout_zorder(spark: SparkSession, folder: str) -> DataFrame:
 def zorder_spans(spark: SparkSession, folder: str) -> DataFrame:
     """Lines clustered by part and date into 64 files along both curves: a filter on either column, and one on a box, skips most files."""
     lines = table(spark, folder, "lineitem")
+    columns = ["l_partkey", "l_shipdate"]
+    cells = layout.measure_cells(lines, columns, layout.bits_for(64, len(columns)))
+    total = lines.agg(F.max("l_partkey").alias("parts")).first()["parts"]
     found = None
-    for curve in ("hilbert", "morton"):
+    for curve in layout.CURVES:
         path = new_folder(spark, curve)
-        layout.cluster(lines, ["l_partkey", "l_shipdate"], 64, curve).write.parquet(path)
-        spans = layout.file_spans(spark, path, ["l_partkey", "l_shipdate"])
-        total = lines.agg(F.max("l_partkey").alias("parts")).first()["parts"]
+        layout.cluster(lines, columns, 64, curve, cells=cells).write.parquet(path)
+        spans = layout.file_spans(spark, path, columns)
         low = F.col("min_l_partkey") <= total // 20  # a twentieth of the parts lies in few of the files
         late = F.col("max_l_shipdate") >= F.lit("2001-01-01").cast("date")
         both = (F.col("min_l_partkey") <= total // 4) & late

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 from itertools import accumulate
 from math import ceil, log2
@@ -14,8 +15,9 @@ from pyspark.sql import types as T
 TARGET_FILE_BYTES = 256 << 20
 TARGET_FILE_ROWS = 4_000_000
 
-
 SAMPLED_TEXTS = 64
+COUNTED_CELLS = 1 << 16
+CURVES = ("hilbert", "morton")
 
 
 def _is_text(kind: T.DataType) -> bool:
@@ -132,40 +134,98 @@ def _hilbert_axes(df: DataFrame, names: Sequence[str], bits: int) -> DataFrame:
     return df.withColumns({name: F.col(name).bitwiseXOR(F.col("_t")) for name in names}).drop("_t")
 
 
-def with_cells(df: DataFrame, columns: Sequence[str], bits: int) -> DataFrame:
-    """``df`` with the cell number of each column as ``_b0``, ``_b1``, ...: its place among quantiles of the column."""
+def _numbered(df: DataFrame, columns: Sequence[str]) -> DataFrame:
+    return df.withColumns({f"_n{i}": _as_ordered(df, c) for i, c in enumerate(columns)})
+
+
+def cell_cuts(df: DataFrame, columns: Sequence[str], bits: int) -> list[list]:
+    """For each column the quantiles that bound its cells, rising."""
     cells = 1 << bits
-    numbered = df.withColumns({f"_n{i}": _as_ordered(df, c) for i, c in enumerate(columns)})
+    numbered = _numbered(df, columns)
     texts = {i for i, c in enumerate(columns) if _is_text(df.schema[c].dataType)}
     fractions = f"array({', '.join(str(i / cells) for i in range(1, cells))})"
     numbers = [i for i in range(len(columns)) if i not in texts]
     quantiles = [F.expr(f"percentile_approx(_n{i}, {fractions})").alias(f"_q{i}") for i in numbers]
     row = numbered.agg(*quantiles).first() if quantiles else {}
     bounds = [_text_cuts(numbered, f"_n{i}", cells) if i in texts else row[f"_q{i}"] for i in range(len(columns))]
-    for i, found in enumerate(bounds):
-        cuts = sorted(set(found or []), key=lambda v: v.encode() if isinstance(v, str) else v)
-        numbered = _with_bucket(numbered, f"_n{i}", f"_b{i}", cuts, bits)
+    return [sorted(set(found or []), key=lambda v: v.encode() if isinstance(v, str) else v) for found in bounds]
+
+
+def with_cells(df: DataFrame, columns: Sequence[str], bits: int, cuts: Sequence[list] | None = None) -> DataFrame:
+    """``df`` with the cell number of each column as ``_b0``, ``_b1``, ...: its place among quantiles of the column."""
+    numbered = _numbered(df, columns)
+    for i, found in enumerate(cuts or cell_cuts(df, columns, bits)):
+        numbered = _with_bucket(numbered, f"_n{i}", f"_b{i}", found, bits)
     return numbered.select(*df.columns, *[f"_b{i}" for i in range(len(columns))])
 
 
 def with_curve_key(df: DataFrame, columns: Sequence[str], bits: int, curve: str = "hilbert", name: str = "_z") -> DataFrame:
     """Add a binary key along a Hilbert or Morton curve through the columns' cells, of bits x columns bits, however many."""
-    if curve not in ("hilbert", "morton"):
+    if curve not in CURVES:
         raise ValueError(f"unknown curve {curve!r}")
-    cells = [f"_b{i}" for i in range(len(columns))]
-    placed = with_cells(df, columns, bits)
+    return _with_key(with_cells(df, columns, bits), len(columns), bits, curve, name).select(*df.columns, name)
+
+
+def _with_key(placed: DataFrame, columns: int, bits: int, curve: str, name: str = "_z") -> DataFrame:
+    cells = [f"_b{i}" for i in range(columns)]
     if curve == "hilbert":
         placed = _hilbert_axes(placed, cells, bits)
     interleaved = [_bit(F.col(c), bit) for bit in range(bits - 1, -1, -1) for c in cells]
-    return placed.withColumn(name, _packed(interleaved)).select(*df.columns, name)
+    return placed.withColumn(name, _packed(interleaved))
+
+
+@dataclass(frozen=True)
+class Cells:
+    """The cells of a table: their bounds, and the rows in each that has any. Layouts along several curves can share them."""
+
+    columns: tuple[str, ...]
+    bits: int
+    cuts: list[list]
+    counts: list[tuple[int, ...]]
 
 
-def cluster(df: DataFrame, columns: Sequence[str], files: int, curve: str = "hilbert", bits: int | None = None) -> DataFrame:
+def measure_cells(df: DataFrame, columns: Sequence[str], bits: int) -> Cells:
+    """Two passes over the named columns alone; one row a cell reaches the driver, at most ``COUNTED_CELLS``."""
+    if bits * len(columns) > log2(COUNTED_CELLS):
+        raise ValueError(f"more than {COUNTED_CELLS} cells are not counted")
+    cuts = cell_cuts(df, columns, bits)
+    names = [f"_b{i}" for i in range(len(columns))]
+    placed = with_cells(df.select(*columns), columns, bits, cuts)
+    return Cells(tuple(columns), bits, cuts, [tuple(r) for r in placed.groupBy(*names).count().collect()])
+
+
+def _along(df: DataFrame, cells: Cells, files: int, curve: str) -> DataFrame:
+    """Each row has a place along the curve, in its cell by a hash of the row: places decide the file, and no range has to be sampled."""
+    spark, names = df.sparkSession, [f"_b{i}" for i in range(len(cells.columns))]
+    counted = spark.createDataFrame(cells.counts, ", ".join([*[f"{n} int" for n in names], "_rows long"]))
+    in_order = _with_key(counted, len(names), cells.bits, curve).orderBy("_z").select(*names, "_rows").collect()
+    total = sum(r["_rows"] for r in in_order)
+    starts = accumulate((r["_rows"] for r in in_order), initial=0)
+    bases = spark.createDataFrame([(*r, start) for r, start in zip(in_order, starts)], f"{counted.schema.simpleString()[7:-1]}, _start long")
+    spread = F.xxhash64(*[c for c in df.columns if not has_map(df.schema[c].dataType)])
+    # A row whose cell was not counted, since the table has changed meanwhile, is still kept.
+    placed = with_cells(df, cells.columns, cells.bits, cells.cuts).join(F.broadcast(bases), names, "left")
+    start = F.coalesce(F.col("_start"), F.lit(0))
+    rows = placed.withColumns({"_start": start, "_place": start + F.coalesce(F.pmod(spread, F.col("_rows")), F.lit(0))})
+    dealt = rows.select(*df.columns, "_start", F.expr(f"cast(_place * {files} div {max(1, total)} as int)").alias("_file"))
+    ordered = dealt.repartitionById(files, F.col("_file"))
+    return ordered.sortWithinPartitions("_start", *cells.columns).select(*df.columns)
+
+
+def cluster(
+    df: DataFrame, columns: Sequence[str], files: int, curve: str = "hilbert", bits: int | None = None, cells: Cells | None = None
+) -> DataFrame:
     """Same rows, clustered along a curve for ``files`` files; the cells are as fine as that number of files needs.
 
-    A row hash follows the key in the range partitioning, so one heavy cell spreads over several files.
+    Up to ``COUNTED_CELLS`` cells are counted (``cells``, if they were before), which makes the files about equal; beyond that the key is
+    range partitioned. Either way a row hash comes after the cell, so one heavy cell spreads over several files.
     """
-    keyed = with_curve_key(df, columns, bits or bits_for(files, len(columns)), curve)
+    if curve not in CURVES:
+        raise ValueError(f"unknown curve {curve!r}")
+    bits = bits or bits_for(files, len(columns))
+    if cells or bits * len(columns) <= log2(COUNTED_CELLS):
+        return _along(df, cells or measure_cells(df, columns, bits), files, curve)
+    keyed = with_curve_key(df, columns, bits, curve)
     spread = F.xxhash64(*[c for c in df.columns if not has_map(df.schema[c].dataType)])
     return keyed.repartitionByRange(files, F.col("_z"), spread).sortWithinPartitions("_z", *columns).drop("_z")
 

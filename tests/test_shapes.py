@@ -150,3 +150,23 @@ def test_lenient_cast_is_try_cast(spark):
         assert [r[0] for r in df.select(guarded).collect()] == [
             r[0] for r in df.select(F.col("t").try_cast(kind).cast("string")).collect()
         ]
+
+
+def test_clustered_files_are_about_equal_without_a_sampled_range(spark, folder):
+    numbers = spark.range(4000).select(F.when(F.col("id") % 50 != 0, (F.col("id") * 7919) % 4000).alias("a"), (F.col("id") % 61).alias("b"))
+    df = numbers.unionByName(numbers.limit(40))  # some rows twice, some without ``a``
+    cells = layout.measure_cells(df, ["a", "b"], layout.bits_for(8, 2))
+    for curve in layout.CURVES:
+        found = layout.cluster(df, ["a", "b"], 8, curve, cells=cells)
+        assert "rangepartitioning" not in found._jdf.queryExecution().toString().lower()
+        found.write.parquet(f"{folder}/{curve}")
+        sizes = [r["row_count"] for r in layout.file_spans(spark, f"{folder}/{curve}", ["a", "b"]).collect()]
+        assert len(sizes) == 8 and max(sizes) - min(sizes) < 100
+        assert rows(spark.read.parquet(f"{folder}/{curve}")) == rows(df)
+
+
+def test_a_row_whose_cell_was_not_counted_is_kept(spark):
+    df = spark.range(100).select(F.col("id").alias("a"), F.col("id").alias("b"))
+    cells = layout.measure_cells(df, ["a", "b"], 3)
+    later = df.unionByName(spark.createDataFrame([(0, 99)], "a long, b long"))
+    assert layout.cluster(later, ["a", "b"], 4, cells=cells).count() == 101
