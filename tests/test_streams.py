@@ -326,7 +326,7 @@ def test_compacted_logs_read_the_events_twice(spark, folder, monkeypatch):
 
 def test_a_history_batch_reads_its_changes_once_for_the_log(spark, folder):
     made = spark.createDataFrame([(i % 7 if i % 5 else None, i, "x", False) for i in range(60)], CHANGES)
-    batch, seen = counted(spark, made, "v")
+    batch, seen = counted(spark, made, "k")
     history.add_scd2_batch(batch, 0, f"{folder}/h", ["k"], "seq", "gone", ["v"], 4)
     assert seen.value == 60
     assert history.scd2_table(spark, f"{folder}/h", ["k"]).count() == 48
